@@ -67,7 +67,7 @@ def event_date(c: ColumnOrName, data_type: T.DataType | None = None,
     date/timestamp column (truncated to its calendar day)."""
     c = as_col(c)
     if isinstance(data_type, T.StringType):
-        return F.try_to_date(c, F.lit(pattern))
+        return F.try_to_date(c, pattern)
     if isinstance(data_type, T.DateType):
         return c
     return F.to_date(c)
@@ -78,7 +78,7 @@ def date_from_parts(y: ColumnOrName, m: ColumnOrName, d: ColumnOrName) -> Column
     part gives null (``concat_ws`` skips nulls, so the pattern no longer fits)."""
     text = F.concat_ws("-", as_col(y).cast("string"), as_col(m).cast("string"),
                        as_col(d).cast("string"))
-    return F.try_to_date(text, F.lit("yyyy-M-d"))
+    return F.try_to_date(text, "yyyy-M-d")
 
 
 def month_key(date_col: ColumnOrName) -> Column:

@@ -182,3 +182,35 @@ def order_segment_missing(spark: SparkSession, sf_dir: str,
     cn = customer_nations(spark, sf_dir)
     return (per_cust.join(cn, per_cust.o_custkey == cn.c_custkey, "left")
             .select("segment", "n", "missing"))
+
+
+# -- register-style panel and raw text events on lineitem ------------------------------
+
+def line_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Register-like panel: integer keys and date parts plus coded values."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"),
+        "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+
+
+# Raw event-log view: text date and reference-style spaced column names.
+TEXT_DATE = "SHIP DATE"
+TEXT_SEGMENT = "RETURN FLAG"
+TEXT_KEEP = ["LINE STATUS", "SUPPLIER"]
+TEXT_COUNTS = ["QUANTITY", "FATAL"]
+
+
+def line_text_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem as a raw text extract would deliver it: the date as
+    ``MM/dd/yyyy`` text, codes as text, counts as integers."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        F.date_format("l_shipdate", "MM/dd/yyyy").alias(TEXT_DATE),
+        F.col("l_returnflag").alias(TEXT_SEGMENT),
+        F.col("l_linestatus").alias("LINE STATUS"),
+        F.col("l_suppkey").cast("string").alias("SUPPLIER"),
+        F.col("l_quantity").cast("int").alias("QUANTITY"),
+        flag(F.col("l_linestatus") == F.lit(roles.FATAL_STATUS)).alias("FATAL"))

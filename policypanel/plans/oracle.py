@@ -222,3 +222,190 @@ m AS (
          avg(CASE WHEN year >= {R.EVENT_CUT} THEN CAST(persons_killed AS DOUBLE) END)
   FROM a)
 SELECT measure, pre_mean, post_mean, (pre_mean - post_mean) / pre_mean * 100 AS pct_drop FROM m"""
+
+
+# -- cleaning, sources and sinks ------------------------------------------------------
+
+def _dbl(x) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def _range_case(col: str, spec: dict) -> str:
+    x = f"abs({col})" if spec.get("absolute") else col
+    bad = []
+    if spec.get("lo") is not None:
+        bad.append(f"{x} < {_dbl(spec['lo'])}")
+    if spec.get("hi") is not None:
+        bad.append(f"{x} > {_dbl(spec['hi'])}")
+    if spec.get("zero_is_missing"):
+        bad.append(f"{col} = 0")
+    return f"CASE WHEN {' OR '.join(bad)} THEN NULL ELSE {col} END AS {col}"
+
+
+def _sentinel_case(col: str, values) -> str:
+    vals = ", ".join(_dbl(v) for v in values)
+    return f"CASE WHEN {col} IN ({vals}) THEN NULL ELSE {col} END AS {col}"
+
+
+_critical = " AND ".join(f"{c} IS NOT NULL" for c in R.PANEL_CRITICAL)
+_in_window = f"year(l_shipdate) BETWEEN {_ELO} AND {_EHI}"
+_panel_cols = []
+for _c in ["l_quantity", "l_discount", "l_tax"]:
+    if _c in R.PANEL_SENTINELS:
+        _panel_cols.append(_sentinel_case(_c, R.PANEL_SENTINELS[_c]))
+    elif _c in R.PANEL_RANGES:
+        _panel_cols.append(_range_case(_c, R.PANEL_RANGES[_c]))
+    else:
+        _panel_cols.append(_c)
+
+SQL["panel_clean"] = f"""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+       CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
+       {', '.join(_panel_cols)}, l_returnflag, l_linestatus
+FROM lineitem
+WHERE {_in_window} AND {_critical}"""
+
+_FATAL = f"CASE WHEN l_linestatus = '{R.FATAL_STATUS}' THEN 1 ELSE 0 END"
+SQL["events_clean"] = f"""
+SELECT strftime(l_shipdate, '%m/%d/%Y') AS ship_date,
+       upper(trim(l_returnflag)) AS return_flag,
+       l_linestatus AS line_status,
+       CAST(l_suppkey AS VARCHAR) AS supplier,
+       coalesce(CAST(l_quantity AS INTEGER), 0) AS quantity,
+       {_FATAL} AS fatal
+FROM lineitem
+WHERE l_shipdate IS NOT NULL AND l_returnflag IS NOT NULL
+  AND upper(trim(l_returnflag)) NOT IN ('', 'NULL', '0')"""
+
+SQL["events_prepare"] = f"""
+SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS event_date,
+       CAST(year(l_shipdate) AS INTEGER) AS year, strftime(l_shipdate, '%Y-%m') AS month,
+       CASE WHEN year(l_shipdate) >= {R.EVENT_CUT} THEN 'post' ELSE 'pre' END AS era,
+       coalesce(CAST(l_quantity AS INTEGER), 0) AS quantity, {_FATAL} AS fatal
+FROM lineitem
+WHERE l_shipdate IS NOT NULL AND {_in_window}"""
+
+SQL["date_from_parts"] = """
+WITH p AS (
+  SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS INTEGER) AS y,
+         CAST(month(l_shipdate) AS INTEGER) AS m,
+         CAST(day(l_shipdate) + l_linenumber AS INTEGER) AS d
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, y, m, d,
+       CASE WHEN y IS NOT NULL AND m IS NOT NULL
+                 AND d BETWEEN 1 AND day(last_day(make_date(y, m, 1)))
+            THEN strftime(make_date(y, m, d), '%Y-%m-%d') END AS event_date
+FROM p"""
+
+SQL["yearly_union"] = f"""
+SELECT l_orderkey AS "ORDERKEY", l_linenumber AS "LINENUMBER",
+       CAST(year(l_shipdate) AS INTEGER) AS "YEAR", CAST(month(l_shipdate) AS INTEGER) AS "MONTH",
+       l_quantity AS "QUANTITY", l_discount AS "DISCOUNT", l_tax AS "TAX",
+       l_returnflag AS "RETURNFLAG"
+FROM lineitem WHERE {_in_window}"""
+
+SQL["csv_permissive"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       TRY_CAST(o_orderpriority AS INTEGER) AS o_orderpriority
+FROM orders"""
+
+SQL["csv_ctrl_a_roundtrip"] = SQL["events_clean"]
+SQL["table_register_scan"] = SQL["events_clean"]
+SQL["csv_single_part"] = SQL["annual_summary"]
+SQL["csv_parts_verify"] = f"""
+SELECT count(*) AS rows_written, count(*) AS rows_read, true AS matches
+FROM ({SQL['panel_clean']}) p"""
+
+_codes_values = ", ".join(f"({r}, {k}, '{u}')" for (r, k), u in R.UNIT_CODES.items())
+SQL["inline_dim"] = f"""
+WITH codes(n_regionkey, n_nationkey, unit) AS (VALUES {_codes_values}),
+cust AS (SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY 1)
+SELECT codes.unit, n.n_name, coalesce(cust.customers, 0) AS customers
+FROM nation n
+JOIN codes ON n.n_regionkey = codes.n_regionkey AND n.n_nationkey = codes.n_nationkey
+LEFT JOIN cust ON n.n_nationkey = cust.c_nationkey"""
+
+
+# -- profiling ---------------------------------------------------------------------------
+
+def _union(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["row_audit"] = _union([
+    "SELECT 0 AS step, 'raw' AS stage, count(*) AS rows FROM lineitem",
+    f"SELECT 1, 'year_window', count(*) FROM lineitem WHERE {_in_window}",
+    f"SELECT 2, 'critical_not_null', count(*) FROM lineitem WHERE {_in_window} AND {_critical}",
+])
+
+SQL["value_counts"] = _union([
+    f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS count
+FROM orders GROUP BY {c}""" for c in ["o_orderstatus", "o_orderpriority"]])
+
+SQL["key_counts_lexical"] = """
+SELECT CAST(c_nationkey AS VARCHAR) AS c_nationkey, count(*) AS count
+FROM customer GROUP BY 1 ORDER BY 1"""
+
+
+def _distinct_with_null(c: str) -> str:
+    return f"count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)"
+
+
+_LINE_CODES = ["l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_suppkey"]
+SQL["distinct_counts"] = _union([
+    f"""SELECT '{c}' AS "column", {_distinct_with_null(c)} AS distinct_values FROM lineitem"""
+    for c in _LINE_CODES])
+
+_PANEL_TYPES = [("l_orderkey", False), ("l_partkey", False), ("l_suppkey", False),
+                ("l_linenumber", False), ("year", False), ("month", False),
+                ("l_quantity", False), ("l_discount", False), ("l_tax", False),
+                ("l_returnflag", True), ("l_linestatus", True)]
+SQL["null_counts"] = f"WITH p AS ({SQL['panel_clean']})\n" + _union([
+    f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE {c} IS NULL) AS nulls,
+       count(*) FILTER (WHERE {c} IS NULL {f"OR trim({c}) = ''" if text else ''}) AS null_or_blank
+FROM p""" for c, text in _PANEL_TYPES])
+
+SQL["range_stats"] = _union([
+    f"""SELECT '{c}' AS "column", CAST(min({c}) AS DOUBLE) AS min_value,
+       CAST(max({c}) AS DOUBLE) AS max_value FROM lineitem"""
+    for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]])
+
+SQL["length_stats"] = _union([
+    f"""SELECT '{c}' AS "column", CAST(min(length({c})) AS INTEGER) AS min_len,
+       CAST(max(length({c})) AS INTEGER) AS max_len, avg(length({c})) AS avg_len
+FROM documents""" for c in ["text", "lang", "source"]])
+
+_STATS = ["l_quantity", "l_discount", "l_tax"]
+SQL["summary_stats"] = _union([
+    f"""SELECT * FROM (
+  WITH m AS (SELECT CAST({c} AS DOUBLE) AS value, count(*) AS n FROM lineitem GROUP BY 1),
+  best AS (SELECT value, n FROM m ORDER BY n DESC, value ASC NULLS FIRST LIMIT 1)
+  SELECT '{c}' AS "column", round(avg(CAST({c} AS DOUBLE)), 9) AS mean,
+         CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS median,
+         (SELECT value FROM best) AS mode, (SELECT n FROM best) AS mode_count,
+         round(stddev_samp(CAST({c} AS DOUBLE)), 9) AS stddev
+  FROM lineitem)""" for c in _STATS])
+
+SQL["describe_numeric"] = _union([
+    f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 9) AS mean,
+       round(stddev_samp(CAST({c} AS DOUBLE)), 9) AS stddev,
+       CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max
+FROM lineitem""" for c in _STATS])
+
+_PART = [("p_partkey", "num"), ("p_name", "text"), ("p_brand", "text"), ("p_type", "text"),
+         ("p_size", "num"), ("p_retailprice", "num")]
+
+
+def _profile_row(c: str, kind: str) -> str:
+    num = kind == "num"
+    mn = f"CAST(min({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"
+    mx = f"CAST(max({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"
+    ln = f"CAST(min(length({c})) AS INTEGER)" if not num else "CAST(NULL AS INTEGER)"
+    lx = f"CAST(max(length({c})) AS INTEGER)" if not num else "CAST(NULL AS INTEGER)"
+    return f"""SELECT '{c}' AS "column", count(*) AS rows,
+       count(*) FILTER (WHERE {c} IS NULL) AS nulls, {_distinct_with_null(c)} AS distinct_values,
+       {mn} AS min_value, {mx} AS max_value, {ln} AS min_len, {lx} AS max_len
+FROM part"""
+
+
+SQL["profile_all"] = _union([_profile_row(c, k) for c, k in _PART])

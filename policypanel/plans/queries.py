@@ -145,3 +145,9 @@ QUERIES: dict[str, Query] = {
     "missing_share": missing_share,
     "pre_post_change": pre_post_change,
 }
+
+from policypanel.plans.etl_queries import ETL_QUERIES  # noqa: E402
+from policypanel.plans.profile_queries import PROFILE_QUERIES  # noqa: E402
+
+QUERIES.update(ETL_QUERIES)
+QUERIES.update(PROFILE_QUERIES)
