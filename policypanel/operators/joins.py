@@ -6,9 +6,12 @@ A broadcast hint is given only behind a proven bound on the small side:
 * the caller proves it by construction (top-k output, the two-row era table), or
 * a capped count ``limit(max_rows + 1).count()`` shows it is at most ``max_rows``.
 
-Otherwise no hint is given and Spark decides: a sort-merge join by default, which
-AQE turns into a broadcast at runtime when the materialised side is below
-``spark.sql.adaptive.autoBroadcastJoinThreshold`` (a size check with a fallback).
+Otherwise no hint is given and Spark decides with its own size check: the planner
+broadcasts a side whose estimated size is below ``spark.sql.autoBroadcastJoinThreshold``
+and otherwise plans a sort-merge join, and AQE re-checks the *materialised* size of
+each shuffle stage (``spark.sql.adaptive.autoBroadcastJoinThreshold``) before the
+join runs. Base-table dimensions (nation, part, supplier) and aggregates of large
+tables go through that path, so nothing grows past the threshold unchecked.
 """
 
 from __future__ import annotations

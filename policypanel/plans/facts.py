@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from policypanel.functions.columns import era, flag
 from policypanel.operators.clean import prepare_events
-from policypanel.operators.joins import bounded
 from policypanel.plans import roles
 from policypanel.sources.tables import parquet_table
 
@@ -43,12 +42,13 @@ def in_years(df: DataFrame, column: str, lo: int, hi: int) -> DataFrame:
 
 
 def nation_names(spark: SparkSession, sf_dir: str, names: Sequence[str] | None = None) -> DataFrame:
-    """nationkey -> name (optionally only ``names``); a code table of a few rows,
-    broadcast behind a capped row count."""
+    """nationkey -> name (optionally only ``names``). No hint: the scan's size
+    statistics decide (broadcast below ``spark.sql.autoBroadcastJoinThreshold``,
+    sort-merge join above it)."""
     nation = table(spark, sf_dir, "nation")
     if names is not None:
         nation = nation.filter(F.col("n_name").isin(list(names)))
-    return bounded(nation.select("n_nationkey", "n_name"), 100_000)
+    return nation.select("n_nationkey", "n_name")
 
 
 def customer_units(spark: SparkSession, sf_dir: str, units: Sequence[str]) -> DataFrame:

@@ -57,7 +57,7 @@ def did_flags(spark: SparkSession, d: str) -> DataFrame:
     orders = X.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = X.table(spark, d, "customer").select("c_custkey", "c_nationkey")
     nation = X.table(spark, d, "nation").select("n_nationkey", "n_regionkey")
-    coded = cust.join(X.bounded(nation, 100_000), cust.c_nationkey == nation.n_nationkey)
+    coded = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
     units = D.label_units(coded, R.UNIT_CODES, ["n_regionkey", "n_nationkey"], "unit")
     rows = orders.join(units.select("c_custkey", "unit"), orders.o_custkey == units.c_custkey)
     rows = rows.select("o_orderkey", "unit", F.year("o_orderdate").alias("year"))

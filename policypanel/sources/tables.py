@@ -6,11 +6,22 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Footer schemas already read in this process, per path: later reads pass the
+# schema explicitly and skip Spark's schema-inference job.
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 def parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``{sf_dir}/{name}.parquet``; projections and filters reach the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
 
 
 def scan_table(spark: SparkSession, name: str, not_null: Sequence[str] = ()) -> DataFrame:
@@ -23,6 +34,25 @@ def scan_table(spark: SparkSession, name: str, not_null: Sequence[str] = ()) ->
 
 
 def inline_table(spark: SparkSession, rows: Iterable[tuple], ddl: str) -> DataFrame:
-    """A small literal table held on the driver (a code table, a population
-    table). It is a local relation, so joins may broadcast it."""
-    return spark.createDataFrame(list(rows), ddl)
+    """A small literal table (a code table, a population table) as a SQL
+    ``VALUES`` list with bound parameters: Spark plans it as a LocalTableScan with
+    exact size statistics (no Python RDD behind it). It is held on the driver, so
+    it carries a broadcast hint for any join it takes part in."""
+    schema = T._parse_datatype_string(ddl)
+    args: dict[str, object] = {}
+    tuples = []
+    for i, row in enumerate(rows):
+        if len(row) != len(schema.fields):
+            raise ValueError(f"row {i} has {len(row)} values, schema has {len(schema.fields)}")
+        marks = []
+        for j, value in enumerate(row):
+            args[f"v{i}_{j}"] = value
+            marks.append(f":v{i}_{j}")
+        tuples.append("(" + ", ".join(marks) + ")")
+    if not tuples:
+        return spark.createDataFrame([], schema)
+    cols = ", ".join(f"c{j}" for j in range(len(schema.fields)))
+    df = spark.sql(f"SELECT * FROM VALUES {', '.join(tuples)} AS t({cols})", args=args)
+    typed = df.select(*[F.col(f"c{j}").cast(f.dataType).alias(f.name)
+                        for j, f in enumerate(schema.fields)])
+    return F.broadcast(typed)
