@@ -40,12 +40,13 @@ l AS (
          avg(CASE WHEN unit <> '{_T}' AND post = 0 THEN v END) AS control_pre,
          avg(CASE WHEN unit <> '{_T}' AND post = 1 THEN v END) AS control_post
   FROM t)
-SELECT treated_pre, treated_post, control_pre, control_post,
-       treated_post - treated_pre AS treated_change,
-       control_post - control_pre AS control_change,
-       (treated_post - treated_pre) - (control_post - control_pre) AS did_estimate,
-       (treated_post - treated_pre) / treated_pre * 100 AS treated_pct_change,
-       (control_post - control_pre) / control_pre * 100 AS control_pct_change
+SELECT round(treated_pre, 9) AS treated_pre, round(treated_post, 9) AS treated_post,
+       round(control_pre, 9) AS control_pre, round(control_post, 9) AS control_post,
+       round(treated_post - treated_pre, 9) AS treated_change,
+       round(control_post - control_pre, 9) AS control_change,
+       round((treated_post - treated_pre) - (control_post - control_pre), 9) AS did_estimate,
+       round((treated_post - treated_pre) / treated_pre * 100, 9) AS treated_pct_change,
+       round((control_post - control_pre) / control_pre * 100, 9) AS control_pct_change
 FROM l"""
 
 

@@ -18,9 +18,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 # -- cross-unit difference-in-differences ------------------------------------------
 
 
+# The control level is a mean of a few doubles; its last bits depend on the
+# summation order (partitioning), so estimates are reported to 9 decimals.
+DIGITS = 9
+
+
 def _did(facts: DataFrame, cut: int, divisors, count_col: str) -> DataFrame:
-    return D.did_estimate(facts, "unit", "year", R.TREATED, R.CONTROLS, cut,
-                          divisors=divisors, count_col=count_col)
+    est = D.did_estimate(facts, "unit", "year", R.TREATED, R.CONTROLS, cut,
+                         divisors=divisors, count_col=count_col)
+    return est.select(*[F.round(c, DIGITS).alias(c) for c in est.columns])
 
 
 def did_total(spark: SparkSession, d: str) -> DataFrame:

@@ -74,3 +74,15 @@ def test_profile_columns(spark):
     assert got["x"].nulls == 1 and got["x"].distinct_values == 3
     assert (got["x"].min_value, got["x"].max_value) == (1.0, 3.0)
     assert (got["s"].min_len, got["s"].max_len) == (2, 4) and got["s"].min_value is None
+
+
+@pytest.mark.parametrize("accuracy", [100, 10000])
+def test_approx_median_within_rank_error(spark, accuracy):
+    """The sketch median is an element whose rank is within n / accuracy of n / 2."""
+    df = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select("l_extendedprice")
+    n = df.count()
+    m = summary_stats(df, ["l_extendedprice"], accuracy=accuracy).first().median
+    below = df.filter(F.col("l_extendedprice") < m).count()
+    upto = df.filter(F.col("l_extendedprice") <= m).count()
+    slack = n / accuracy + 1
+    assert upto >= n / 2 - slack and below <= n / 2 + slack
