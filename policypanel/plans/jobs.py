@@ -36,9 +36,11 @@ def materialise(spark: SparkSession, df: DataFrame, name: str,
 # -- register: clean, write, register -----------------------------------------------------
 
 def clean_register_job(spark: SparkSession, yearly_paths: Mapping[int, str], out_path: str,
-                       table: str | None = None) -> dict[str, DataFrame]:
+                       table: str | None = None, partition_by: Sequence[str] = ("YEAR",)
+                       ) -> dict[str, DataFrame]:
     """Yearly extracts -> union -> stage audit -> cleaned panel written as CSV
-    parts -> read-back check -> optional external table + catalog check."""
+    parts (one folder per year, so year windows prune folders) -> read-back check
+    -> optional external table + catalog check."""
     canonical = dict(SC.REGISTER_COLUMNS)
     raw = read_yearly(spark, yearly_paths, canonical)
     lo, hi = SC.REGISTER_WINDOW
@@ -51,13 +53,17 @@ def clean_register_job(spark: SparkSession, yearly_paths: Mapping[int, str], out
     cleaned = C.clean_panel(raw, "YEAR", SC.REGISTER_WINDOW, SC.REGISTER_CRITICAL,
                             SC.REGISTER_SENTINELS, SC.REGISTER_RANGES)
     nulls_after = Pr.null_counts(cleaned, ["HOUR", "MINUTE", "LATITUDE", "LONGITUD"])
-    sinks.write_parts(cleaned, out_path, fmt="csv")
-    schema = SC.register_schema()
+    parts = list(partition_by)
+    sinks.write_parts(cleaned, out_path, fmt="csv", partition_by=parts or None)
+    # partition columns live in the folder names and come last in the table
+    cols = [(n, t) for n, t in SC.REGISTER_COLUMNS if n not in parts] + \
+           [(n, t) for n, t in SC.REGISTER_COLUMNS if n in parts]
+    ddl = ", ".join(f"{n} {t}" for n, t in cols)
     out = {"audit": audit, "nulls_after": nulls_after,
-           "verify": sinks.verify_sink(spark, cleaned, out_path, schema)}
+           "verify": sinks.verify_sink(spark, cleaned, out_path, ddl)}
     if table:
-        ddl = ", ".join(f"{n} {t}" for n, t in SC.REGISTER_COLUMNS)
-        sinks.register_csv_table(spark, table, ddl, out_path, header=True, replace=True)
+        sinks.register_csv_table(spark, table, ddl, out_path, header=True, replace=True,
+                                 partition_by=parts or None)
         out.update(sinks.catalog_check(spark, table))
     return out
 
@@ -126,7 +132,8 @@ def prepost_job(spark: SparkSession, raw: DataFrame, out_base: str | None = None
     needed = ["CRASH DATE", "BOROUGH", "CONTRIBUTING FACTOR VEHICLE 1", *SC.COLLISION_COUNTS]
     prepared = C.prepare_events(raw.select(*needed), "CRASH DATE", SC.COLLISION_COUNTS, cut=cut,
                                 year_min=year_min, year_max=year_max)
-    prepared = materialise(spark, prepared.drop("CRASH DATE", "event_date"), "prepared_events")
+    prepared = materialise(spark, prepared.drop("CRASH DATE", "event_date"), "prepared_events",
+                           partition_by=["year"])
     if population is None:
         population = inline_table(spark, SC.BOROUGH_POPULATION, "segment string, population long")
     cat = {f"{k}_{kind}": f"NUMBER OF {v} {kind.upper()}"

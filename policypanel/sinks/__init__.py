@@ -63,9 +63,15 @@ def read_ctrl_a(spark: SparkSession, path: str, schema: T.StructType | str) -> D
 
 def register_csv_table(spark: SparkSession, table: str, schema_ddl: str, location: str,
                        header: bool = True, sep: str = ",", replace: bool = True,
-                       database_location: str | None = None) -> str:
-    """External CSV table over ``location`` in the session catalog."""
+                       database_location: str | None = None,
+                       partition_by: list[str] | None = None) -> str:
+    """External CSV table over ``location`` in the session catalog. With
+    ``partition_by`` the folder holds ``col=value`` sub-folders (as written by
+    ``write_parts(partition_by=...)``): they are registered, so filters on those
+    columns prune whole folders."""
     _ident(table)
+    for c in partition_by or []:
+        _ident(c)
     if "." in table:
         db = table.split(".")[0]
         where = f" LOCATION '{database_location}'" if database_location else ""
@@ -74,9 +80,12 @@ def register_csv_table(spark: SparkSession, table: str, schema_ddl: str, locatio
         spark.sql(f"DROP TABLE IF EXISTS {table}")
     exists = "" if replace else "IF NOT EXISTS "
     sep_sql = "\\u0001" if sep == CTRL_A else sep.replace("'", "\\'")
+    parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(
         f"CREATE TABLE {exists}{table} ({schema_ddl}) USING csv "
-        f"OPTIONS (header '{str(header).lower()}', sep '{sep_sql}') LOCATION '{location}'")
+        f"OPTIONS (header '{str(header).lower()}', sep '{sep_sql}'){parts} LOCATION '{location}'")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return table
 
 

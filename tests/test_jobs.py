@@ -103,6 +103,13 @@ def test_clean_register_job(spark, tmp_dir):
     nulls = {r.column: r.nulls for r in out["nulls_after"].collect()}
     assert nulls["HOUR"] == 1 and nulls["LATITUDE"] == 1
     assert out["count"].first().total == 3
+    pruned = spark.table("pp_jobs.register").filter("YEAR = 2023")
+    assert pruned.count() == 2
+    import contextlib, io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        pruned.explain(mode="formatted")
+    assert "PartitionFilters: [isnotnull(YEAR" in buf.getvalue()
 
 
 def test_did_job(spark):

@@ -67,7 +67,7 @@ def test_ctrl_a_roundtrip_keeps_commas(spark, tmp_dir):
     path = sinks.write_ctrl_a(df, f"{tmp_dir}/ctrl_a")
     back = sinks.read_ctrl_a(spark, path, ",".join(f"{n} {t}" for n, t in df.dtypes))
     assert back.collect() == df.collect()
-    text = open(glob.glob(f"{path}/part-*")[0], encoding="utf-8").read()
+    text = "".join(open(f, encoding="utf-8").read() for f in glob.glob(f"{path}/part-*"))
     assert "\x01a, b\x01" in text
 
 
