@@ -31,7 +31,7 @@ from policypanel.functions.columns import (
 from policypanel.operators.aggregate import count_expr, measure_aggs
 from policypanel.operators.joins import join_small
 
-Years = str | Mapping[str, int]
+Years = str | Mapping[str, int] | DataFrame
 
 
 def tag_era(df: DataFrame, year_col: str, cut: int, era_col: str = "era") -> DataFrame:
@@ -55,11 +55,14 @@ def _fixed_years(era_col: str, years: Mapping[str, int]) -> Column:
 
 def with_years(agg: DataFrame, source: DataFrame, years: Years = "observed",
                era_col: str = "era", year_col: str = "year") -> DataFrame:
-    """Attach ``years_in_era`` to an era-keyed aggregate."""
+    """Attach ``years_in_era`` to an era-keyed aggregate: fixed divisors, a
+    precomputed ``(era, years_in_era)`` table, or the distinct years per era
+    observed in ``source``."""
     if isinstance(years, Mapping):
         return agg.withColumn("years_in_era", _fixed_years(era_col, years))
+    table = years if isinstance(years, DataFrame) else years_per_era(source, era_col, year_col)
     # One row per era label: bounded by construction, safe to broadcast.
-    return join_small(agg, years_per_era(source, era_col, year_col), [era_col], "left",
+    return join_small(agg, table.select(era_col, "years_in_era"), [era_col], "left",
                       proven_small=True)
 
 

@@ -152,17 +152,34 @@ def prepared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                           cut=roles.EVENT_CUT, year_min=lo, year_max=hi)
 
 
+def years_by_era(wide: DataFrame, years: Sequence[int], cut: int,
+                 measures: Sequence[str]) -> DataFrame:
+    """``era, years_in_era``: distinct years with at least one event per era,
+    from the per-key wide aggregate before any label join. It unpivots the same
+    columns as the labelled facts, so both read one shared aggregate exchange."""
+    long = by_year_long(wide, [], years, list(measures))
+    return (long.withColumn("era", era("year", cut))
+            .groupBy("era").agg(F.count_distinct("year").alias("years_in_era")))
+
+
 def line_label_facts(spark: SparkSession, sf_dir: str, key: str, mapping: DataFrame,
-                     map_key: str, label: str, measures: Sequence[str]) -> DataFrame:
+                     map_key: str, label: str, measures: Sequence[str]
+                     ) -> tuple[DataFrame, DataFrame]:
     """``label, year, era, n, measures...`` from lineitem collapsed per ``key``
-    and joined (left: unmatched keys keep a null label) to ``mapping``."""
+    and joined (left: unmatched keys keep a null label) to ``mapping``, plus the
+    observed years per era of the whole event log."""
     lo, hi = roles.EVENT_WINDOW
     years = list(range(lo, hi + 1))
-    wide = per_key_by_year(prepared_lines(spark, sf_dir), key, "year", years,
-                           {m: m for m in measures})
+    # Events without a key can never be labelled. Dropping them up front keeps the
+    # collapsed facts identical on every branch of a plan (the segment filter turns
+    # the left join into an inner one, whose inferred key filter would otherwise
+    # reach only that branch's scan), so Spark reuses one exchange for all.
+    keyed = prepared_lines(spark, sf_dir).filter(F.col(key).isNotNull())
+    wide = per_key_by_year(keyed, key, "year", years, {m: m for m in measures})
     labelled = wide.join(mapping, wide[key] == mapping[map_key], "left")
     long = by_year_long(labelled, [label], years, list(measures))
-    return long.withColumn("era", era("year", roles.EVENT_CUT))
+    return (long.withColumn("era", era("year", roles.EVENT_CUT)),
+            years_by_era(wide, years, roles.EVENT_CUT, measures))
 
 
 def part_brands(spark: SparkSession, sf_dir: str) -> DataFrame:

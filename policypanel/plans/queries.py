@@ -96,18 +96,18 @@ def category_pre_post(spark: SparkSession, d: str) -> DataFrame:
 
 
 def segment_pre_post(spark: SparkSession, d: str) -> DataFrame:
-    facts = X.line_label_facts(spark, d, "l_suppkey", X.supplier_nations(spark, d), "s_suppkey",
-                               "segment", ["persons_killed", "persons_injured"])
+    facts, years = X.line_label_facts(spark, d, "l_suppkey", X.supplier_nations(spark, d),
+                                      "s_suppkey", "segment", ["persons_killed", "persons_injured"])
     return P.segment_pre_post(
         facts, "segment", {"killed": "persons_killed", "injured": "persons_injured"},
-        population=X.nation_population(spark, d), pop_key="segment", count_col="n")
+        population=X.nation_population(spark, d), pop_key="segment", count_col="n", years=years)
 
 
 def topk_shift(spark: SparkSession, d: str) -> DataFrame:
-    facts = X.line_label_facts(spark, d, "l_partkey", X.part_brands(spark, d), "p_partkey",
-                               "factor_raw", ["persons_killed"])
+    facts, years = X.line_label_facts(spark, d, "l_partkey", X.part_brands(spark, d),
+                                      "p_partkey", "factor_raw", ["persons_killed"])
     return P.topk_shift(facts, "factor_raw", {"killed": "persons_killed"}, k=R.TOP_K,
-                        count_col="n")
+                        count_col="n", years=years)
 
 
 def monthly_series(spark: SparkSession, d: str) -> DataFrame:

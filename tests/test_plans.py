@@ -59,3 +59,28 @@ def test_segment_population_join_is_broadcast_at_runtime(spark):
 def test_profile_queries_are_single_aggregate_passes(spark):
     text = plan_text(queries()["null_counts"](spark, SF))
     assert len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) == 1
+
+
+def _final_scans(spark, name):
+    from tools.plan_report import _tree
+    df = queries()[name](spark, SF)
+    text = plan_text(df, executed=True)
+    ids = {int(i) for i in re.findall(r"\((\d+)\)", _tree(text))}
+    return [re.findall(r"Location: \w+ \[([^\]]*)\]", m.group(0))[0].rsplit("/", 1)[-1]
+            for m in re.finditer(r"^\((\d+)\) Scan [^\n]*\n(?:[^\n]+\n)*", text, re.M)
+            if int(m.group(1)) in ids]
+
+
+@pytest.mark.parametrize("name", ["segment_pre_post", "topk_shift", "did_summary"])
+def test_fact_table_scanned_once(spark, name):
+    scans = _final_scans(spark, name)
+    fact = "orders.parquet" if name.startswith("did") else "lineitem.parquet"
+    assert scans.count(fact) == 1, scans
+
+
+def test_fact_collapsed_before_shuffle(spark):
+    """The first exchange over the fact table carries partial aggregates."""
+    text = plan_text(queries()["segment_pre_post"](spark, SF))
+    m = re.search(r"Functions \[\d+\]: \[partial_count", text)
+    assert m is not None
+    assert "hashpartitioning(l_suppkey" in text
