@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators (cleaning, profiling, pre/post, DiD)."""
 
-from policypanel.operators.aggregate import pre_aggregate, roll_up
+from policypanel.operators.aggregate import collapse_by_key, unpivot_periods
 from policypanel.operators.clean import (
     clean_events,
     clean_panel,
@@ -21,7 +21,7 @@ from policypanel.operators.did import (
     unit_filter,
     unit_panel,
 )
-from policypanel.operators.joins import bounded, join_small
+from policypanel.operators.joins import join_small
 from policypanel.operators.prepost import (
     annualise,
     missing_share,
@@ -50,12 +50,12 @@ from policypanel.operators.profiling import (
 )
 
 __all__ = [
-    "annualise", "bounded", "clean_events", "clean_panel", "describe_numeric",
+    "annualise", "clean_events", "collapse_by_key", "clean_panel", "describe_numeric",
     "did_estimate", "did_flags", "did_summary", "distinct_counts", "distinct_values",
     "drop_blank", "drop_missing", "join_small", "key_counts_lexical", "label_units",
     "length_stats", "missing_share", "modes", "null_counts", "null_ranges", "null_sentinels",
-    "period_summary", "pre_aggregate", "pre_post_change", "pre_post_summary", "prepare_events",
-    "profile", "range_stats", "roll_up", "row_audit", "segment_pre_post", "snake_case_columns",
+    "period_summary", "pre_post_change", "pre_post_summary", "prepare_events",
+    "profile", "range_stats", "row_audit", "segment_pre_post", "snake_case_columns",
     "summary_stats", "tag_era", "topk_shift", "unit_era", "unit_filter", "unit_panel",
-    "value_counts", "window_rate", "years_per_era", "zero_fill",
+    "unpivot_periods", "value_counts", "window_rate", "years_per_era", "zero_fill",
 ]

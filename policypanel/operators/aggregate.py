@@ -4,9 +4,9 @@ A *measure spec* is an ordered mapping ``{output_name: input column}`` of values
 that are summed. Event counts are either ``count(*)`` over raw rows or, when the
 input was pre-aggregated, ``sum(count_col)``; both give the same bigint. Because
 every measure is additive, an operator gives the same answer on raw events and
-on facts that were grouped at a finer grain first (``pre_aggregate``): that is
-what lets the plans collapse big fact tables (and hot keys) map-side before any
-join or shuffle.
+on facts that were grouped at a finer grain first (``collapse_by_key`` then
+``unpivot_periods``): that is what lets the plans collapse big fact tables (and
+hot keys) map-side before any join or shuffle.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from policypanel.functions.columns import ColumnOrName, as_col
-from policypanel.operators.joins import join_small
 
 
 def count_expr(count_col: ColumnOrName | None) -> Column:
@@ -37,20 +36,34 @@ def measure_aggs(count_name: str | None, measures: Mapping[str, ColumnOrName],
     return aggs + sum_exprs(measures)
 
 
-def pre_aggregate(df: DataFrame, keys: Sequence[ColumnOrName],
-                  measures: Mapping[str, ColumnOrName], count_name: str = "n") -> DataFrame:
-    """Collapse events to additive partials at the grain ``keys``.
+def collapse_by_key(df: DataFrame, key: str, period: str, periods: Sequence,
+                    measures: Mapping[str, ColumnOrName], count_prefix: str = "n") -> DataFrame:
+    """One row per ``key`` with, for every period value ``p`` of a bounded list
+    (the years of an analysis window), the event count ``n_<p>`` and the sums
+    ``<measure>_<p>``.
 
-    Spark runs this as partial (map-side) + final hash aggregation, so a key that
-    holds a third of all rows leaves each map task as a single row.
+    Spark runs it as a partial (map-side) plus final hash aggregation, so a key
+    holding a third of all rows leaves every map task as one row, and the result
+    is hash-partitioned on ``key``: a join on ``key`` that follows reuses that
+    partitioning and only the other side is shuffled.
     """
-    return df.groupBy(*keys).agg(*measure_aggs(count_name, measures))
-
-
-def roll_up(facts: DataFrame, key: str | Sequence[str], mapping: DataFrame,
-            label: str, how: str = "left") -> DataFrame:
-    """Attach a coarser label (segment, unit, factor) to pre-aggregated facts by a
-    key -> label mapping. Facts keep their additive columns, so a later
-    ``groupBy(label)`` with ``count_col=`` gives exact totals."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return join_small(facts, mapping.select(*keys, label), keys, how)
+    aggs = []
+    for p in periods:
+        in_p = as_col(period) == F.lit(p)
+        aggs.append(F.count_if(in_p).alias(f"{count_prefix}_{p}"))
+        for name, src in measures.items():
+            aggs.append(F.sum(F.when(in_p, as_col(src))).alias(f"{name}_{p}"))
+    return df.groupBy(key).agg(*aggs)
+
+
+def unpivot_periods(df: DataFrame, ids: Sequence[str], periods: Sequence, measures: Sequence[str],
+                    period: str = "year", count_prefix: str = "n", count_name: str = "n"
+                    ) -> DataFrame:
+    """Rows ``ids..., period, n, measures...`` back from ``collapse_by_key``
+    columns (one ``inline(array(struct))``, JVM-side); cells without events are
+    dropped, so a (label, period) with no events has no row."""
+    structs = [F.struct(F.lit(p).alias(period), F.col(f"{count_prefix}_{p}").alias(count_name),
+                        *[F.coalesce(F.col(f"{m}_{p}"), F.lit(0)).alias(m) for m in measures])
+               for p in periods]
+    long = df.select(*ids, F.inline(F.array(*structs)))
+    return long.filter(F.col(count_name) > 0)

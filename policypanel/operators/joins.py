@@ -3,8 +3,7 @@
 A broadcast hint is given only behind a proven bound on the small side:
 
 * the relation already sits in driver memory (an inline literal table), or
-* the caller proves it by construction (top-k output, the two-row era table), or
-* a capped count ``limit(max_rows + 1).count()`` shows it is at most ``max_rows``.
+* the caller proves it by construction (top-k output, the two-row era table).
 
 Otherwise no hint is given and Spark decides with its own size check: the planner
 broadcasts a side whose estimated size is below ``spark.sql.autoBroadcastJoinThreshold``
@@ -21,9 +20,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many rows a dimension is never broadcast by hint.
-MAX_BROADCAST_ROWS = 1_000_000
-
 
 def is_driver_local(df: DataFrame) -> bool:
     """True for relations held on the driver (``createDataFrame`` of a list)."""
@@ -33,20 +29,6 @@ def is_driver_local(df: DataFrame) -> bool:
         return False
 
 
-def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when the row bound is proven, else ``df`` unchanged.
-
-    The capped count runs a job over ``df``: use it for dimensions that are cheap
-    to scan (code tables, the nation table); for dimensions that are aggregates of
-    large tables, pass them unhinted and let AQE size them at runtime.
-    """
-    if is_driver_local(df):
-        return F.broadcast(df)
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def join_small(left: DataFrame, right: DataFrame, on: str | Sequence[str],
                how: str = "left", proven_small: bool = False) -> DataFrame:
     """Equi-join to a dimension. The hint is added only for a driver-local right

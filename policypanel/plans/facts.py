@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from policypanel.functions.columns import era, flag
+from policypanel.operators.aggregate import collapse_by_key, unpivot_periods
 from policypanel.operators.clean import prepare_events
 from policypanel.plans import roles
 from policypanel.sources.tables import parquet_table
@@ -89,24 +90,13 @@ def nation_population(spark: SparkSession, sf_dir: str) -> DataFrame:
 def per_key_by_year(df: DataFrame, key: str, year_col: str, years: Sequence[int],
                     measures: Mapping[str, str]) -> DataFrame:
     """One row per key: ``n_<y>`` events and ``<m>_<y>`` sums for every year."""
-    aggs = []
-    for y in years:
-        in_y = F.col(year_col) == F.lit(y)
-        aggs.append(F.count_if(in_y).alias(f"n_{y}"))
-        for name, src in measures.items():
-            aggs.append(F.sum(F.when(in_y, F.col(src))).alias(f"{name}_{y}"))
-    return df.groupBy(key).agg(*aggs)
+    return collapse_by_key(df, key, year_col, years, measures)
 
 
 def by_year_long(df: DataFrame, ids: Sequence[str], years: Sequence[int],
                  measures: Sequence[str], count_name: str = "n") -> DataFrame:
-    """Wide per-year columns back to rows ``ids..., year, n, measures...``; cells
-    without events are dropped (a unit-year with no events has no row)."""
-    structs = [F.struct(F.lit(y).alias("year"), F.col(f"n_{y}").alias(count_name),
-                        *[F.coalesce(F.col(f"{m}_{y}"), F.lit(0)).alias(m) for m in measures])
-               for y in years]
-    long = df.select(*ids, F.inline(F.array(*structs)))
-    return long.filter(F.col(count_name) > 0)
+    """Wide per-year columns back to rows ``ids..., year, n, measures...``."""
+    return unpivot_periods(df, ids, years, measures, period="year", count_name=count_name)
 
 
 # -- cross-unit panel on orders ----------------------------------------------------

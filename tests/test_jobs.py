@@ -137,3 +137,15 @@ def test_did_job(spark):
     summary = {r.analysis: r.did_estimate_per_year for r in out["did_summary"].collect()}
     assert summary["total"] == pytest.approx(-1.5)
     assert len(out["yearly_trends"].collect()) == 60
+
+
+def test_profile_and_stats_jobs(spark):
+    df = spark.createDataFrame([(36, 1, 2.0, "a"), (36, 10, None, "bb"), (6, 2, 4.0, None)],
+                               "STATE int, FATALS int, LATITUDE double, NOTE string")
+    out = jobs.profile_job(df, ["STATE"], ["FATALS", "LATITUDE"], text=["NOTE"])
+    assert [(r.STATE, r["count"]) for r in out["counts_STATE"].collect()] == [("36", 2), ("6", 1)]
+    assert {r.column: r.distinct_values for r in out["distinct"].collect()}["LATITUDE"] == 3
+    assert {r.column: r.nulls for r in out["nulls"].collect()}["NOTE"] == 1
+    assert out["lengths"].first().max_len == 2
+    stats = {r.column: r for r in jobs.stats_job(df, ["FATALS"]).collect()}
+    assert stats["FATALS"].median == 2.0 and stats["FATALS"].mode_count == 1
