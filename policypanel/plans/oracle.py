@@ -306,8 +306,9 @@ SELECT l_orderkey AS "ORDERKEY", l_linenumber AS "LINENUMBER",
 FROM lineitem WHERE {_in_window}"""
 
 SQL["csv_permissive"] = """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
-       TRY_CAST(o_orderpriority AS INTEGER) AS o_orderpriority
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+       TRY_CAST(o_orderpriority AS DOUBLE) AS o_orderpriority
 FROM orders"""
 
 SQL["csv_ctrl_a_roundtrip"] = SQL["events_clean"]
@@ -401,8 +402,8 @@ def _profile_row(c: str, kind: str) -> str:
     num = kind == "num"
     mn = f"CAST(min({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"
     mx = f"CAST(max({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)"
-    ln = f"CAST(min(length({c})) AS INTEGER)" if not num else "CAST(NULL AS INTEGER)"
-    lx = f"CAST(max(length({c})) AS INTEGER)" if not num else "CAST(NULL AS INTEGER)"
+    ln = f"CAST(min(length({c})) AS DOUBLE)" if not num else "CAST(NULL AS DOUBLE)"
+    lx = f"CAST(max(length({c})) AS DOUBLE)" if not num else "CAST(NULL AS DOUBLE)"
     return f"""SELECT '{c}' AS "column", count(*) AS rows,
        count(*) FILTER (WHERE {c} IS NULL) AS nulls, {_distinct_with_null(c)} AS distinct_values,
        {mn} AS min_value, {mx} AS max_value, {ln} AS min_len, {lx} AS max_len

@@ -69,7 +69,10 @@ def describe_numeric(spark: SparkSession, d: str) -> DataFrame:
 
 
 def profile_all(spark: SparkSession, d: str) -> DataFrame:
-    return Pr.profile(X.table(spark, d, "part"))
+    # text lengths are null for numeric columns; reported as double so the
+    # nullable column has one representation in every engine
+    out = Pr.profile(X.table(spark, d, "part"))
+    return out.withColumns({c: F.col(c).cast("double") for c in ("min_len", "max_len")})
 
 
 PROFILE_QUERIES = {
