@@ -79,9 +79,19 @@ def key_counts_lexical(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(k).agg(F.count(F.lit(1)).alias("count")).orderBy(key)
 
 
-def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def distinct_counts(df: DataFrame, columns: Sequence[str], approx: bool = False,
+                    rsd: float = 0.01) -> DataFrame:
     """Distinct values per column with null counted as a value: ``column,
-    distinct_values``. Two partial aggregations instead of one per column."""
+    distinct_values``. Exact: two partial aggregations over an unpivot instead of
+    one job per column. ``approx=True``: one pass of HyperLogLog++ sketches
+    (``approx_count_distinct`` with relative error ``rsd``), whose memory does not
+    grow with the data, for very high-cardinality columns."""
+    if approx:
+        aggs = []
+        for c in columns:
+            has_null = F.max(F.col(c).isNull().cast("long"))
+            aggs.append((F.approx_count_distinct(c, rsd) + has_null).alias(f"{c}__distinct"))
+        return _long_form(df.agg(*aggs), columns, {"distinct": "distinct_values"})
     return (_unpivot(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
             .orderBy("column"))

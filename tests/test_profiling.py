@@ -86,3 +86,12 @@ def test_approx_median_within_rank_error(spark, accuracy):
     upto = df.filter(F.col("l_extendedprice") <= m).count()
     slack = n / accuracy + 1
     assert upto >= n / 2 - slack and below <= n / 2 + slack
+
+
+def test_approx_distinct_counts_close_to_exact(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    cols = ["l_partkey", "l_returnflag", "l_quantity"]
+    exact = {r.column: r.distinct_values for r in distinct_counts(df, cols).collect()}
+    approx = {r.column: r.distinct_values for r in distinct_counts(df, cols, approx=True).collect()}
+    for c in cols:
+        assert abs(approx[c] - exact[c]) <= max(2, 0.05 * exact[c]), (c, approx[c], exact[c])
