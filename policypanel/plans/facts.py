@@ -52,12 +52,21 @@ def nation_names(spark: SparkSession, sf_dir: str, names: Sequence[str] | None =
     return nation.select("n_nationkey", "n_name")
 
 
-def customer_units(spark: SparkSession, sf_dir: str, units: Sequence[str]) -> DataFrame:
-    """c_custkey -> unit for customers of the study nations."""
+def customer_units(spark: SparkSession, sf_dir: str,
+                   codes: Mapping[int, str] | None = None) -> DataFrame:
+    """c_custkey -> unit for customers of the study nations, selected and
+    labelled by nation code (a pushable ``IN`` filter plus a CASE chain).
+
+    A literal filter over the customer scan is what lets Spark, at scale, build
+    a runtime Bloom filter of the selected customer keys and apply it to the
+    orders scan below the per-customer aggregate, so orders of other nations
+    never reach the shuffle.
+    """
+    from policypanel.operators.did import label_units
+    codes = codes if codes is not None else roles.UNIT_NATION_KEYS
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nat = nation_names(spark, sf_dir, units)
-    return (cust.join(nat, cust.c_nationkey == nat.n_nationkey)
-            .select("c_custkey", F.col("n_name").alias("unit")))
+    labelled = label_units(cust, {(k,): u for k, u in codes.items()}, ["c_nationkey"], "unit")
+    return labelled.select("c_custkey", "unit")
 
 
 def customer_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +124,8 @@ def order_unit_facts(spark: SparkSession, sf_dir: str, units: Sequence[str] = ro
         F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
     )
     wide = per_key_by_year(ev, "o_custkey", "year", years, {"n_sub": "sub", "price": "price"})
-    cu = customer_units(spark, sf_dir, units)
+    cu = customer_units(spark, sf_dir, {k: u for k, u in roles.UNIT_NATION_KEYS.items()
+                                        if u in units})
     labelled = wide.join(cu, wide.o_custkey == cu.c_custkey)
     return by_year_long(labelled, ["unit"], years, ["n_sub", "price"])
 

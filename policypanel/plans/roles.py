@@ -28,6 +28,8 @@ UNIT_CODES = {
     (0, 15): "NATION_15",
     (0, 20): "NATION_20",
 }
+# n_nationkey -> unit (the same units by nation code alone).
+UNIT_NATION_KEYS = {k: u for (_, k), u in UNIT_CODES.items()}
 DID_WINDOW = (1995, 2000)
 DID_CUT = 1998
 DID_DIVISORS = {0: 3, 1: 3}

@@ -84,3 +84,27 @@ def test_fact_collapsed_before_shuffle(spark):
     m = re.search(r"Functions \[\d+\]: \[partial_count", text)
     assert m is not None
     assert "hashpartitioning(l_suppkey" in text
+
+
+def test_runtime_bloom_filter_prunes_orders_at_scale(spark):
+    """With sizes that force shuffle joins (as at scale), Spark builds a Bloom
+    filter from the selected customers and applies it to the orders scan below
+    the per-customer aggregate."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.enabled": "false",
+            "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        text = plan_text(queries()["did_total"](spark, SF))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    orders_filter = [blk for blk in text.split("\n\n") if "might_contain" in blk
+                     and "o_custkey" in blk]
+    assert orders_filter, "no runtime filter on the orders side"
