@@ -149,3 +149,11 @@ def test_profile_and_stats_jobs(spark):
     assert out["lengths"].first().max_len == 2
     stats = {r.column: r for r in jobs.stats_job(df, ["FATALS"]).collect()}
     assert stats["FATALS"].median == 2.0 and stats["FATALS"].mode_count == 1
+
+
+def test_cli_prepost_and_did(spark, tmp_dir, capsys):
+    from policypanel.__main__ import main
+    _collision_csv(f"{tmp_dir}/in/crashes.csv", ROWS)
+    main(["prepost", f"{tmp_dir}/in/crashes.csv", f"{tmp_dir}/out"])
+    assert os.path.isdir(f"{tmp_dir}/out/annual_summary")
+    assert "pre_post_summary" in capsys.readouterr().out
