@@ -144,9 +144,11 @@ def topk_shift(df: DataFrame, factor: str, measures: Mapping[str, ColumnOrName],
     The top-k is a ``TakeOrderedAndProject`` (no full sort) and has at most ``k``
     rows, so the semi-join back is a bounded broadcast.
     """
+    # the explicit not-null on the key equals the constraint the semi-join below
+    # infers, so both uses of ``agg`` stay identical and Spark computes it once
     keyed = (df.filter(F.col(factor).isNotNull())
              .withColumn(factor_out, normalise_key(factor))
-             .filter(~is_missing_token(factor_out, exclude)))
+             .filter(F.col(factor_out).isNotNull() & ~is_missing_token(factor_out, exclude)))
     agg = keyed.groupBy(factor_out, era_col).agg(*measure_aggs(count_name, measures, count_col))
     agg = with_years(agg, df, years, era_col, year_col)
     agg = annualise(agg, {f"{count_name}_per_year": count_name})
