@@ -161,9 +161,12 @@ TABLE_NAME = "policypanel_db.events_clean"
 def table_register_scan(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "catalog")
     data = sinks.write_ctrl_a(events_clean(spark, d), f"{root}/events_clean")
-    sinks.register_csv_table(spark, TABLE_NAME, EVENTS_CLEAN_SCHEMA, data, header=False,
+    # one table per call (the folder name is unique), so concurrent runs never
+    # drop each other's table
+    table = f"{TABLE_NAME}_{root.rsplit('-', 1)[-1]}"
+    sinks.register_csv_table(spark, table, EVENTS_CLEAN_SCHEMA, data, header=False,
                              sep=sinks.CTRL_A, replace=True, database_location=f"{root}/db")
-    return scan_table(spark, TABLE_NAME, not_null=["ship_date"])
+    return scan_table(spark, table, not_null=["ship_date"])
 
 
 def inline_dim(spark: SparkSession, d: str) -> DataFrame:
