@@ -177,8 +177,11 @@ def did_job(spark: SparkSession, panel: DataFrame, out_base: str | None = None,
             controls: Sequence[str] = SC.CONTROL_CITIES, cut: int = SC.POLICY_YEAR,
             divisors: Mapping[int, int] = SC.DID_DIVISORS, placebo_cut: int = SC.PLACEBO_YEAR,
             placebo_divisors: Mapping[int, int] = SC.PLACEBO_DIVISORS,
-            subgroup: str = "PEDS > 0", measure: str = "FATALS") -> dict[str, DataFrame]:
-    """Yearly unit panel, total / subgroup / placebo estimates and their summary."""
+            subgroup: str = "PEDS > 0", measure: str = "FATALS",
+            outcome_label: str = SC.OUTCOME_LABEL, subgroup_label: str = SC.SUBGROUP_LABEL
+            ) -> dict[str, DataFrame]:
+    """Yearly unit panel, total / subgroup / placebo estimates and their summary
+    (one row per analysis, labelled with its cut year)."""
     units = D.label_units(panel.filter(F.col("ST_CASE").isNotNull()), codes, ["STATE", "CITY"],
                           "CITY_NAME")
     flagged = D.did_flags(units, "CITY_NAME", treated, "YEAR", cut)
@@ -193,7 +196,10 @@ def did_job(spark: SparkSession, panel: DataFrame, out_base: str | None = None,
     out = {
         "yearly_trends": D.unit_panel(flagged, "CITY_NAME", "YEAR", measure=measure),
         "did_total": total, "did_subgroup": sub, "did_placebo": placebo,
-        "did_summary": D.did_summary({"total": total, "subgroup": sub, "placebo": placebo}),
+        "did_summary": D.did_summary({
+            f"Real DiD ({cut}) - total {outcome_label}": total,
+            f"Real DiD ({cut}) - {subgroup_label} {outcome_label}": sub,
+            f"Placebo DiD ({placebo_cut}) - total {outcome_label}": placebo}),
     }
     if out_base:
         for name in ("yearly_trends", "did_summary"):

@@ -135,7 +135,10 @@ def test_did_job(spark):
     assert (t.control_pre, t.control_post) == (1.0, 1.5)
     assert t.did_estimate == pytest.approx(-1.5)
     summary = {r.analysis: r.did_estimate_per_year for r in out["did_summary"].collect()}
-    assert summary["total"] == pytest.approx(-1.5)
+    assert summary["Real DiD (2014) - total fatalities"] == pytest.approx(-1.5)
+    assert set(summary) == {"Real DiD (2014) - total fatalities",
+                            "Real DiD (2014) - pedestrian fatalities",
+                            "Placebo DiD (2010) - total fatalities"}
     assert len(out["yearly_trends"].collect()) == 60
 
 
