@@ -84,11 +84,18 @@ def read_yearly(spark: SparkSession, paths: Mapping[int, str],
                 canonical: Mapping[str, T.DataType | str], sep: str = ",") -> DataFrame:
     """One frame from yearly CSV extracts with drifting headers.
 
-    Each file is read as text with its own header (no inference pass), repaired
-    and typed by ``normalise_header``, then all years are unioned by name.
+    Each file is read as text with its own header (no type-inference pass),
+    repaired and typed by ``normalise_header``, then all years are unioned by
+    name. Reading a header is a small job per file; those jobs are submitted
+    together so many yearly files do not queue one after another.
     """
-    frames = []
-    for year in sorted(paths):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def load(year: int) -> DataFrame:
         raw = spark.read.option("header", True).option("sep", sep).csv(paths[year])
-        frames.append(normalise_header(raw, canonical))
+        return normalise_header(raw, canonical)
+
+    years = sorted(paths)
+    with ThreadPoolExecutor(max_workers=min(8, len(years))) as pool:
+        frames = list(pool.map(load, years))
     return reduce(DataFrame.unionByName, frames)
