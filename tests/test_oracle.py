@@ -25,3 +25,8 @@ def test_entry_smoke(spark):
     from __spark_entry__ import entry
     rows = entry(spark).collect()
     assert len(rows) == 1
+
+
+def test_every_query_lists_its_inventory_ids():
+    from policypanel.plans.queries import COVERS
+    assert set(COVERS) == set(queries())
