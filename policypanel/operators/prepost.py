@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from policypanel.functions.columns import (
     ColumnOrName,
     as_col,
+    era,
     is_missing_token,
     is_present,
     normalise_key,
@@ -36,7 +37,6 @@ Years = str | Mapping[str, int] | DataFrame
 
 def tag_era(df: DataFrame, year_col: str, cut: int, era_col: str = "era") -> DataFrame:
     """Era label ``post`` if year >= cut else ``pre``."""
-    from policypanel.functions.columns import era
     return df.withColumn(era_col, era(year_col, cut))
 
 

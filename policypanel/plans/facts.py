@@ -19,9 +19,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policypanel.functions.columns import era, flag
+from policypanel.functions.columns import era, flag, is_missing_token
 from policypanel.operators.aggregate import collapse_by_key, unpivot_periods
 from policypanel.operators.clean import prepare_events
+from policypanel.operators.did import label_units
 from policypanel.plans import roles
 from policypanel.sources.tables import parquet_table
 
@@ -62,7 +63,6 @@ def customer_units(spark: SparkSession, sf_dir: str,
     orders scan below the per-customer aggregate, so orders of other nations
     never reach the shuffle.
     """
-    from policypanel.operators.did import label_units
     codes = codes if codes is not None else roles.UNIT_NATION_KEYS
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     labelled = label_units(cust, {(k,): u for k, u in codes.items()}, ["c_nationkey"], "unit")
@@ -190,7 +190,6 @@ def order_segment_missing(spark: SparkSession, sf_dir: str,
                           tokens: Sequence[str] = roles.UNSPECIFIED_TOKENS) -> DataFrame:
     """``segment, n, missing`` per customer (collapsed before the join), for the
     unspecified-value audit of ``o_orderpriority``."""
-    from policypanel.functions.columns import is_missing_token
     lo, hi = roles.EVENT_WINDOW
     orders = in_years(table(spark, sf_dir, "orders"), "o_orderdate", lo, hi)
     per_cust = orders.groupBy("o_custkey").agg(
