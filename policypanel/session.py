@@ -39,6 +39,30 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int = 4,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a large input: enough shuffle partitions that each holds
+    about ``target_partition_bytes`` of the largest shuffle (bounded below by the
+    cluster's task slots), AQE to coalesce small ones and split skewed ones, scan
+    splits of the same size, and runtime Bloom filters for selective joins.
+
+    For 100 TB on 1,000 executors x 4 cores this gives ~400k shuffle partitions
+    before AQE coalescing; the aggregations here shuffle far less than their input
+    (partial aggregation), so AQE merges them down at runtime.
+    """
+    slots = max(1, executors * cores_per_executor)
+    partitions = max(slots * 2, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set a local one only if unset."""
     root = spark.conf.get(_CHECKPOINT_KEY, None)

@@ -45,3 +45,12 @@ def test_operator_on_collapsed_facts_equals_raw(spark):
 def test_clean_int(spark):
     df = spark.createDataFrame([(" 12 ",), ("Unspecified",), ("3.5",), (None,)], "s string")
     assert [r[0] for r in df.select(clean_int("s")).collect()] == [12, None, None, None]
+
+
+def test_cluster_settings_scale_partitions():
+    from policypanel.session import cluster_settings
+    big = cluster_settings(100 * 10**12, executors=1000)
+    assert int(big["spark.sql.shuffle.partitions"]) >= 100 * 10**12 // (256 << 20)
+    small = cluster_settings(10**6, executors=10)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80      # 2 x task slots
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
