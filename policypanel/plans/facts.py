@@ -211,7 +211,7 @@ def line_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
 
 
-# Raw event-log view: text date and reference-style spaced column names.
+# Raw event-log view: text date and spaced column names, as a CSV extract has them.
 TEXT_DATE = "SHIP DATE"
 TEXT_SEGMENT = "RETURN FLAG"
 TEXT_KEEP = ["LINE STATUS", "SUPPLIER"]
