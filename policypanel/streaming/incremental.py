@@ -59,7 +59,10 @@ def stream_period_summary(spark: SparkSession, source_dir: str, schema: T.Struct
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
-    if query.recentProgress or not _published(spark, output):
-        # a run that found no new files keeps the previously published table
+    # Only a run that read new rows holds the complete result in the memory sink
+    # (complete mode re-emits the whole state); a run with nothing new keeps the
+    # previously published table.
+    new_rows = sum(int(p.get("numInputRows", 0) or 0) for p in query.recentProgress)
+    if new_rows > 0 or not _published(spark, output):
         spark.table(name).write.mode("overwrite").parquet(output)
     return spark.read.parquet(output).orderBy(period)
