@@ -113,3 +113,12 @@ def test_unparsable_date_with_ansi_does_not_fail(spark):
     got = [r[0] for r in df.select(event_date("d", T.StringType())).collect()]
     assert got[0] is None
     assert df.select(F.count_if(F.lit(True))).first()[0] == 2
+
+
+def test_clean_events_can_keep_a_parsed_date(spark):
+    rows = [("01/05/2014", "QUEENS", "f", "t", 1, 0), ("not a date", "QUEENS", "f", "t", 1, 0)]
+    out = clean_events(_collisions(spark, rows), "CRASH DATE", "BOROUGH",
+                       ["CONTRIBUTING FACTOR VEHICLE 1"], ["NUMBER OF PERSONS INJURED"],
+                       parsed_date="crash_day")
+    got = sorted((r.crash_date, r.crash_day) for r in out.collect())
+    assert got == [("01/05/2014", dt.date(2014, 1, 5)), ("not a date", None)]

@@ -76,3 +76,15 @@ def test_did_single_row_from_table(spark):
                                   "unit string, POST int, v double")
     r = did(table, "unit", "T", value="v").first()
     assert r.did_estimate == pytest.approx(-7.0)
+
+
+def test_label_units_keep_unmatched_and_window(spark):
+    rows = [(36, 4170, 2013), (6, 4170, 2014)]
+    df = spark.createDataFrame(rows, "STATE int, CITY int, YEAR int")
+    lab = label_units(df, schemas.CITY_CODES, ["STATE", "CITY"], "CITY_NAME", keep_unmatched=True)
+    assert sorted((r.STATE, r.CITY_NAME) for r in lab.collect()) == [(6, None), (36, "NYC")]
+    panel = _panel(spark, {"T": (10, 20), "A": (5, 5)})
+    # a window that leaves only 2011 and 2014: one year on each side
+    r = did_estimate(panel, "unit", "year", "T", ["A"], cut=2014, divisors={0: 1, 1: 1},
+                     window=(2011, 2014)).first()
+    assert (r.treated_pre, r.treated_post, r.did_estimate) == (10.0, 20.0, 10.0)
