@@ -54,3 +54,11 @@ def test_cluster_settings_scale_partitions():
     small = cluster_settings(10**6, executors=10)
     assert int(small["spark.sql.shuffle.partitions"]) == 80      # 2 x task slots
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_collapse_with_text_periods(spark):
+    df = spark.createDataFrame([(1, "2014-01", 2), (1, "2014-01", 3), (2, "o'k", 5)],
+                               "k int, month string, v int")
+    wide = collapse_by_key(df, "k", "month", ["2014-01", "o'k"], {"v": "v"})
+    long = unpivot_periods(wide, ["k"], ["2014-01", "o'k"], ["v"], period="month")
+    assert sorted(map(tuple, long.collect())) == [(1, "2014-01", 2, 5), (2, "o'k", 1, 5)]
