@@ -67,9 +67,9 @@ def _header_variant(year: int, first: int, last: int) -> dict[str, str]:
     if year < first + 2:                      # early files: lower-case measures
         names["DISCOUNT"], names["TAX"] = "discount", "tax"
     if year == last - 1:                      # a true UTF-8 byte-order mark
-        names["ORDERKEY"] = "﻿ORDERKEY"
+        names["ORDERKEY"] = "\ufeffORDERKEY"
     if year == last:                          # the same mark decoded as Latin-1
-        names["ORDERKEY"] = "ï»¿ORDERKEY"
+        names["ORDERKEY"] = "\u00ef\u00bb\u00bfORDERKEY"
     return names
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Byte-order-mark forms seen at the start of a header cell.
-BOM_PREFIXES = ("﻿", "ï»¿")
+BOM_PREFIXES = ("\ufeff", "\u00ef\u00bb\u00bf")
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,

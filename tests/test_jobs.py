@@ -90,7 +90,7 @@ def test_clean_register_job(spark, tmp_dir):
     early = [row(1, 2005, HOUR=99), row(2, 2005, FATALS=None)]
     late = [row(3, 2023, LATITUDE=0.0), row(4, 2023)]
     h_early = ",".join(c.lower() if c in ("LATITUDE", "LONGITUD") else c for c in cols)
-    h_late = ",".join(("ï»¿" + c) if c == "STATE" else c for c in cols)
+    h_late = ",".join(("\u00ef\u00bb\u00bf" + c) if c == "STATE" else c for c in cols)
     _register_csv(f"{tmp_dir}/y/a_2005.csv", [[r[c] for c in cols] for r in early], h_early)
     _register_csv(f"{tmp_dir}/y/a_2023.csv", [[r[c] for c in cols] for r in late], h_late)
     out = jobs.clean_register_job(spark, {2005: f"{tmp_dir}/y/a_2005.csv",

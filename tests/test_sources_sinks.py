@@ -19,8 +19,8 @@ def _write(path, text, encoding="utf-8"):
 
 def test_resolve_header_variants():
     assert resolve_header(["latitude", "x"], "LATITUDE") == "latitude"
-    assert resolve_header(["﻿STATE", "x"], "STATE") == "﻿STATE"
-    assert resolve_header(["ï»¿STATE", "x"], "STATE") == "ï»¿STATE"
+    assert resolve_header(["\ufeffSTATE", "x"], "STATE") == "\ufeffSTATE"
+    assert resolve_header(["\u00ef\u00bb\u00bfSTATE", "x"], "STATE") == "\u00ef\u00bb\u00bfSTATE"
     assert resolve_header(["x"], "STATE") is None
 
 
@@ -33,8 +33,8 @@ def test_read_yearly_drifted_headers(spark, tmp_dir):
     }
     _write(paths[2005], "STATE,ST_CASE,latitude,longitud,SP_LIMIT\n36,1,40.5,-74.0,25\n")
     _write(paths[2006], "LONGITUD,LATITUDE,ST_CASE,STATE\n-87.6,41.8,2,17\n")
-    _write(paths[2022], "﻿STATE,ST_CASE,LATITUDE,LONGITUD\n6,3,34.0,-118.2\n")
-    _write(paths[2023], "ï»¿STATE,ST_CASE,LATITUDE,LONGITUD\n48,4,29.7,-95.3\n")
+    _write(paths[2022], "\ufeffSTATE,ST_CASE,LATITUDE,LONGITUD\n6,3,34.0,-118.2\n")
+    _write(paths[2023], "\u00ef\u00bb\u00bfSTATE,ST_CASE,LATITUDE,LONGITUD\n48,4,29.7,-95.3\n")
     out = read_yearly(spark, paths, CANON)
     assert out.columns == list(CANON)
     got = sorted(tuple(r) for r in out.collect())
