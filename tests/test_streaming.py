@@ -52,3 +52,16 @@ def test_rerun_reads_only_new_files(spark, tmp_dir):
     second.write.parquet(f"{src}/b")
     assert totals(refresh()) == expected(events)
     assert totals(refresh()) == expected(events)        # nothing new: table kept
+
+
+def test_stream_over_csv_extracts(spark, tmp_dir):
+    """The collision-log CSV extract streamed: same annual counts as batch."""
+    from policypanel import schemas as SC
+    from tests.test_jobs import ROWS, _collision_csv
+    _collision_csv(f"{tmp_dir}/in/part1.csv", ROWS)
+    out = stream_period_summary(
+        spark, f"{tmp_dir}/in", SC.collision_schema(), "CRASH DATE", SC.COLLISION_COUNTS,
+        {"killed": "NUMBER OF PERSONS KILLED"}, cut=2014, year_min=2013, fmt="csv",
+        options={"header": "true", "mode": "PERMISSIVE"})
+    assert [(r.year, r.crashes, r.killed) for r in out.collect()] == [
+        (2013, 2, 1), (2014, 2, 2), (2015, 1, 1)]
