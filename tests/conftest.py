@@ -17,7 +17,8 @@ def spark():
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.session.timeZone", "UTC"))
+               .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="policypanel-wh-")))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     # tests set their own shared folder only where the session names none
