@@ -19,16 +19,23 @@ from policypanel.llm.common import connected_components, stored
 COUNTERS, CHUNK = 1 << 22, 1 << 12
 #: Bits that say which rows may hold a candidate (8 MB). False positives cost time, never a result.
 BITS = 1 << 26
-REMEMBERED = 400_000
+#: Bytes of text hashed at a time.
+SLICE = 1 << 20
 
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: An odd base for word hashes, and its inverse modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS: list[np.ndarray] = []
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        got = self[word] = xxhash.xxh64_intdigest(word)
-        return got
 
-
-_HASHES = WordHashes()
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, at least ``n`` of each; products wrap modulo 2**64."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = 1 << max(20, (n - 1).bit_length())
+        _POWERS[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)])) for b in (_BASE, _INVERSE)]
+    return _POWERS
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -38,19 +45,46 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str, n: int) -> np.ndarray:
-    """Distinct 58-bit hashes of the ``n``-word shingles of ``text``, A-Z in lower case; with fewer words the whole sequence is one."""
-    if len(_HASHES) > REMEMBERED:
-        _HASHES.clear()
-    words = text.encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    h = np.array(list(map(_HASHES.__getitem__, words)), dtype=np.uint64)
-    take = min(n, len(h))
-    x = np.full(len(h) - take + 1, take, dtype=np.uint64)
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of ``raw`` begins, and its hash: a polynomial in its bytes, from one running sum over all of them."""
+    b = np.frombuffer(raw, dtype=np.uint8)
+    edge = np.diff(np.concatenate([[True], _SPACE[b], [True]]).astype(np.int8))
+    begin, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    up, down = _powers(len(b) + 1)
+    sums = np.zeros(len(b) + 1, dtype=np.uint64)
+    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], out=sums[1:])
+    return begin, _mix((sums[end] - sums[begin]) * down[begin])
+
+
+def _chained(h: np.ndarray, take: int) -> np.ndarray:
+    """58-bit hashes of all runs of ``take`` words."""
+    x = np.full(max(0, len(h) - take + 1), take, dtype=np.uint64)
     for i in range(take):
-        x = _mix(x * np.uint64(0x9E3779B97F4A7C15) + h[i : i + len(x)])
-    return np.unique(x >> np.uint64(6))
+        x = _mix(x * np.uint64(_BASE) + h[i : i + len(x)])
+    return x >> np.uint64(6)
+
+
+def shingle_runs(texts: list[str], n: int) -> Iterator[np.ndarray]:
+    """Per text the hashes of its ``n``-word shingles in order, A-Z in lower case; with fewer words the whole sequence is one."""
+    raws = [t.encode("utf-8", "replace").lower() for t in texts]
+    first = 0
+    while first < len(raws):
+        last, size = first, 0
+        while last < len(raws) and (last == first or size + len(raws[last]) < SLICE):
+            size += len(raws[last]) + 1
+            last += 1
+        begin, h = word_hashes(b"\n".join(raws[first:last]))
+        starts = np.cumsum([0] + [len(r) + 1 for r in raws[first:last]])
+        at = np.searchsorted(begin, starts)
+        x = _chained(h, n)
+        for s, e in zip(at, at[1:]):
+            yield x[s : e - n + 1] if e - s >= n else _chained(h[s:e], e - s) if e > s else x[:0]
+        first = last
+
+
+def shingles(text: str, n: int) -> np.ndarray:
+    """The distinct shingles of one text, sorted."""
+    return np.unique(next(shingle_runs([text], n)))
 
 
 def overlap_needed(a, b, num: int, den: int):
@@ -64,7 +98,7 @@ def shingle_counts(docs: DataFrame, n: int) -> bytes:
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros(COUNTERS, dtype=np.uint32)
         for p in parts:
-            found = [shingles(t, n) for t in p["text"]]
+            found = [np.empty(0, np.uint64), *shingle_runs(list(p["text"]), n)]
             sums += np.bincount((np.concatenate(found) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
         for at in range(0, COUNTERS, CHUNK):
             part = sums[at : at + CHUNK]
@@ -88,10 +122,9 @@ def shingle_counts(docs: DataFrame, n: int) -> bytes:
 
 
 def rare_first(x: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """The shingles with their frequency level as top bits, sorted: rare ones first, the same order in every document."""
-    if not len(x):
-        return x
-    return np.sort((levels[(x & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(58 - 1)) | (x >> np.uint64(1)))
+    """The distinct shingles with their frequency level as top bits, sorted: rare ones first, the same order in every document."""
+    y = np.sort((levels[(x & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(57)) | (x >> np.uint64(1)))
+    return y[np.concatenate([[True], y[1:] != y[:-1]])] if len(y) else y
 
 
 def row_key(*cols: Column | str) -> Column:
@@ -105,8 +138,8 @@ def document_sets(docs: DataFrame, n: int, num: int, den: int, levels) -> DataFr
         lv = np.frombuffer(levels.value, dtype=np.uint8)
         for p in parts:
             sizes, nodes, prefixes = [], [], []
-            for text in p["text"]:
-                x = rare_first(shingles(text, n), lv)
+            for run in shingle_runs(list(p["text"]), n):
+                x = rare_first(run, lv)
                 size = len(x)
                 sizes.append(size)
                 nodes.append(xxhash.xxh64_intdigest(x.tobytes()) - (1 << 63) if size else None)
@@ -123,7 +156,8 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, n: int, levels) -> DataFra
     """(node, tokens) of the given ``nodes`` (node, row_key): the texts are read again and only rows that a bitmap of the
     wanted row keys lets through are shingled, so no text is shuffled."""
     bit = F.pmod("row_key", F.lit(BITS))
-    maps = nodes.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m")).collect()
+    # buckets of Spark's bitmaps are numbered from 1 and hold the values from 1 on
+    maps = nodes.select((bit + 1).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m")).collect()
     bitmap = np.zeros(BITS // 8, dtype=np.uint8)
     for r in maps:
         at = (r["k"] - 1) * 4096
@@ -138,8 +172,8 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, n: int, levels) -> DataFra
             b = p["bit"].to_numpy()
             p = p[((bits[b >> 3] >> (b & 7)) & 1).astype(bool)]
             rows = []
-            for text in p["text"]:
-                x = rare_first(shingles(text, n), lv)
+            for run in shingle_runs(list(p["text"]), n):
+                x = rare_first(run, lv)
                 if len(x):
                     rows.append((xxhash.xxh64_intdigest(x.tobytes()) - (1 << 63), x.tobytes()))
             yield pd.DataFrame(rows, columns=["node", "tokens"])

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -18,7 +21,7 @@ MAX_TOKENS = 2048
 #: Pieces that one task packs together. Each such block leaves about one sequence unfilled.
 BLOCK = 8192
 #: Words a worker remembers with their ids before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECE + ", sequence_id long, offset long"
@@ -27,16 +30,40 @@ PACKED = PIECE + ", sequence_id long, offset long"
 class WordIds(dict):
     """Word (bytes without ASCII white space) -> its ids as little-endian unsigned 32-bit bytes.
 
-    For a tokenizer that drops white space, so that words can be encoded one by one.
+    For a BPE tokenizer that drops white space and marks word ends, so that words can be encoded one by one: a merge
+    table keyed by bytes, with the byte 255 (never part of UTF-8) as the end mark, gives the same ids as the tokenizer in less time.
+    Words with letters beyond the Latin blocks go through the tokenizer itself.
     """
 
+    #: The tokenizer's pre-token pattern.
+    PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
     def __init__(self, tokenizer_path: str):
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        got = self[word] = np.array(ids, dtype="<u4").tobytes()
+        special = set(self.tokenizer.get_added_tokens_decoder())
+        byte_of = _byte_of_character()
+        ranks = {}
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            if i not in special:
+                body = token.removesuffix("</w>")
+                ranks[bytes(byte_of[c] for c in body) + b"\xff" * (body != token)] = i
+        self.merges = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
+
+    def __missing__(self, raw: bytes) -> bytes:
+        word = raw.decode("utf-8", "replace")
+        if word.isascii():
+            word = word.lower()
+        elif max(word) <= "\u024f":
+            word = self.tokenizer.normalizer.normalize_str(word)
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            got = self[raw] = struct.pack(f"<{len(ids)}I", *ids)
+            return got
+        ids = []
+        for piece in self.PRETOKEN.findall(word):
+            ids += self.merges._encode_single_piece(piece.encode() + b"\xff")
+        got = self[raw] = struct.pack(f"<{len(ids)}I", *ids)
         return got
 
     def encode(self, text: str) -> bytes:
@@ -45,6 +72,13 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split()))
 
 
+def _byte_of_character() -> dict[str, int]:
+    """Byte-level BPE writes printable Latin-1 bytes as themselves and the others, in order, from code point 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(others)}
+
+
 @lru_cache(maxsize=2)
 def word_ids(tokenizer_path: str) -> WordIds:
     return WordIds(tokenizer_path)
