@@ -8,13 +8,16 @@ from pyspark.sql.window import Window
 
 from policypanel.llm.common import connected_components, stored
 
-#: A shingle is up to so many characters from the start of a word.
-SHINGLE_CHARS = 12
+#: A shingle is the characters from a word's start to so many characters into the next word.
+NEXT_CHARS = 6
 #: Lines with fewer words are too short to be told apart from chance and are left alone.
 MIN_WORDS = 5
-#: Minima per line and per band. Lines with fewer shingles than minima are banded by every run of sorted shingles instead.
-MINIMA, ROWS = 24, 3
+#: Hashes per band key. Lines with fewer shingles than ``SHORT`` have a key from every run of sorted hashes, others
+#: one from the start of each of 8 equal ranges of hashes.
+ROWS, SHORT = 3, 24
 THRESHOLD = (80, 100)
+#: Bits that say which lines are wanted again, in words of 64: a table of at most 2**18 rows is broadcast.
+BITS = 1 << 24
 
 
 def doc_key() -> Column:
@@ -23,122 +26,119 @@ def doc_key() -> Column:
 
 def exploded(docs: DataFrame) -> DataFrame:
     """(doc_id, doc_key, line_no, line) of the lines with enough words to be compared."""
-    lines = docs.select("doc_id", doc_key().alias("doc_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    keyed = docs.select("doc_id", doc_key().alias("doc_key"), "text")
+    lines = keyed.select("doc_id", "doc_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return lines.where(F.col("line").rlike(r"^\s*+(?:\S++\s++){%d}\S" % (MIN_WORDS - 1)))
 
 
 def shingles(line: Column) -> Column:
-    """Sorted distinct hashes of the line's shingles: the characters from each word's start on, in lower case."""
-    found = F.regexp_extract_all(F.lower(line), F.lit(r"(?<!\S)(?=(\S.{0,%d}))" % (SHINGLE_CHARS - 1)), F.lit(1))
-    return F.array_sort(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s))))
-
-
-def _bucket(h: Column) -> Column:
-    """Which of ``MINIMA`` equal ranges of the hashes: 0 to MINIMA - 1, growing with the hash."""
-    return F.shiftright((F.shiftright(h, 40) + (1 << 23)) * MINIMA, 24).cast("int")
+    """Sorted distinct hashes of the line's character shingles, in lower case."""
+    words = F.split(F.lower(line), " ")
+    one = lambda ws: F.transform(ws, lambda w, i: F.xxhash64(w, F.substring(F.get(ws, i + 1), 1, NEXT_CHARS)))
+    return F.sort_array(F.array_distinct(F.get(F.transform(F.array(words), one), F.lit(0))))
 
 
 def band_keys(h: Column) -> Column:
-    """Band keys of sorted hashes ``h``.
+    """Band keys of sorted hashes: a hash of ``ROWS`` neighbours, the last ones followed by the first.
 
-    With at least ``MINIMA`` hashes: the smallest of each range of hashes is one minimum of a one-permutation MinHash, and the
-    minima of ``ROWS`` neighbouring ranges make a key. With fewer: every run of ``ROWS`` neighbours, the last ones followed by the first.
+    The smallest hashes of a range are minima of a one-permutation MinHash, so two sets agree on a key with about
+    their similarity to the power ``ROWS``.
     """
-    minima = F.filter(h, lambda x, i: (i == 0) | (_bucket(x) != _bucket(F.get(h, i - 1))))
-
-    def bands(m: Column) -> Column:
-        band = lambda x: F.floor(_bucket(x) / ROWS)
-        starts = F.transform(
-            m,
-            lambda x, i: F.when(
-                (i == 0) | (band(x) != band(F.get(m, i - 1))),
-                F.xxhash64(band(x), x, *(F.when(band(F.get(m, i + k)) == band(x), F.get(m, i + k)) for k in range(1, ROWS))),
-            ),
-        )
-        return F.filter(starts, lambda x: x.isNotNull())
-
-    runs = lambda a: F.transform(a, lambda x, i: F.xxhash64(F.lit(-1), x, *(F.get(a, F.pmod(i + k, F.size(a))) for k in range(1, ROWS))))
-    return F.when(F.size(h) >= MINIMA, F.get(F.transform(F.array(minima), bands), F.lit(0))).otherwise(runs(h))
+    run = lambda x, i: F.xxhash64(x, *(F.get(h, (i + k) % F.size(h)) for k in range(1, ROWS)))
+    starts = F.transform(h, lambda x, i: F.when((i == 0) | (F.shiftright(x, 61) != F.shiftright(F.get(h, i - 1), 61)), run(x, i)))
+    return F.when(F.size(h) >= SHORT, F.array_compact(starts)).otherwise(F.transform(h, run))
 
 
 def node_of(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
-def candidate_shingles(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, h) for the lines whose places are in ``wanted`` (node, place): shingled anew, so the shingles of
-    all lines are never stored."""
-    at = lines.withColumn("place", F.xxhash64("doc_key", "line_no"))
-    some = at.join(wanted.select("place"), "place", "left_semi").select(node_of(F.col("line")).alias("node"), "line")
-    return some.dropDuplicates(["node"]).select("node", shingles(F.col("line")).alias("h"))
+def _near(a: Column, b: Column) -> Column:
+    """Sizes that a similarity at the threshold allows."""
+    num, den = THRESHOLD
+    return F.least(a, b) * den >= F.greatest(a, b) * num
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (u, v) with an exact Jaccard similarity of the shingle sets at or over the threshold."""
+def _linked(a: Column, b: Column) -> Column:
+    """Exact Jaccard similarity of two shingle sets at or over the threshold."""
     num, den = THRESHOLD
-    both = pairs.join(sets.select(F.col("node").alias("v"), F.col("h").alias("hv")), "v").join(sets.select(F.col("node").alias("u"), F.col("h").alias("hu")), "u")
-    a, b = F.size("hu"), F.size("hv")
-    near = F.least(a, b) * den >= F.greatest(a, b) * num
-    common = F.size(F.array_intersect("hu", "hv"))
-    return both.where(near).where(common * (num + den) >= num * (a + b)).select("u", "v")
+    return F.size(F.array_intersect(a, b)) * (num + den) >= num * (F.size(a) + F.size(b))
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+def wanted_shingles(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, h) of the lines at the places in ``wanted`` (node, place). The lines are read and shingled again, those that a
+    bitmap of the places lets through, so neither all lines nor all their shingles are stored or shuffled."""
+    slot = lambda place: F.pmod(place, F.lit(BITS))
+    bits = wanted.select(slot(F.col("place")).alias("s")).groupBy(F.shiftright("s", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits")
+    )
+    at = lines.withColumn("place", F.xxhash64("doc_key", "line_no"))
+    at = at.withColumn("s", slot(F.col("place"))).withColumn("word", F.shiftright("s", 6))
+    some = at.join(F.broadcast(bits), "word").where(F.expr("shiftrightunsigned(bits, cast(s & 63 as int)) & 1") == 1)
+    exact = some.select("place", "line").join(wanted, "place").dropDuplicates(["node"])
+    return exact.select("node", shingles(F.col("line")).alias("h"))
 
 
-def line_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lines, components): doc_id, doc_key, line_no and node of each compared line; node and component of each node in a link.
+def line_nodes(docs: DataFrame) -> DataFrame:
+    """One row per different compared line: node, copies, its first place (order, then doc_key), size and band keys."""
+    lines = exploded(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no", "doc_key")
+    h = lines.select(node_of(F.col("line")).alias("node"), order.alias("first"), shingles(F.col("line")).alias("h"))
+    keyed = h.select("node", "first", F.size("h").alias("n"), band_keys(F.col("h")).alias("keys"))
+    return keyed.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("first", "n", "keys")).alias("r")).select(
+        "node", "copies", "r.first", "r.n", "r.keys"
+    )
 
-    Equal lines are one node. Band keys are met in two rounds: first each key's nodes with the smallest of them, then, among nodes
-    still in different components, all pairs that share a key. Every pair is verified once.
+
+def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and component of each node with a link.
+
+    Band keys are met in two rounds: first each key's nodes with the smallest of them; then, for keys whose nodes are
+    still in different components, all pairs across components. Pairs inside a component cannot change it and are not made.
     """
-    lines = exploded(docs)
-    h = lines.select(F.xxhash64("doc_key", "line_no").alias("place"), node_of(F.col("line")).alias("node"), shingles(F.col("line")).alias("h"))
-    keyed = h.select("place", "node", F.size("h").alias("n"), band_keys(F.col("h")).alias("keys"))
-    nodes = stored(keyed.groupBy("node").agg(F.min_by(F.struct("place", "n", "keys"), "place").alias("r")).select("node", "r.place", "r.n", "r.keys"), "line-nodes")
+    w = Window.partitionBy("key")
     keys = nodes.select(F.explode(F.array_distinct("keys")).alias("key"), "node", "n")
-    num, den = THRESHOLD
+    met = keys.withColumn("m", F.min(F.struct("node", "n")).over(w)).withColumn("hi", F.max("node").over(w)).where(F.col("m.node") != F.col("hi"))
+    met = stored(met.select("key", "node", "n", F.col("m.node").alias("head"), F.col("m.n").alias("head_n")), "line-met")
 
-    w = Window.partitionBy("key")
-    star = keys.withColumn("m", F.min(F.struct("node", "n")).over(w)).where(
-        (F.col("node") != F.col("m.node")) & (F.least("n", F.col("m.n")) * den >= F.greatest("n", F.col("m.n")) * num)
-    )
-    pairs = stored(star.select(F.col("m.node").alias("u"), F.col("node").alias("v")).distinct(), "line-pairs")
-    sets = stored(candidate_shingles(lines, _ends(pairs).join(nodes.select("node", "place"), "node")), "line-shingles")
-    comps = stored(connected_components(verified(pairs, sets)), "line-components")
+    places = nodes.select("node", F.xxhash64("first.doc_key", "first.line_no").alias("place"))
+    sets = stored(wanted_shingles(exploded(docs), places.join(met.select("node").distinct(), "node", "left_semi")), "line-shingles")
+
+    star = met.where((F.col("node") != F.col("head")) & _near(F.col("n"), F.col("head_n"))).select(F.col("head").alias("u"), F.col("node").alias("v")).distinct()
+    both = star.join(sets.select(F.col("node").alias("v"), F.col("h").alias("hv")), "v").join(sets.select(F.col("node").alias("u"), F.col("h").alias("hu")), "u")
+    comps = stored(connected_components(both.where(_linked(F.col("hu"), F.col("hv"))).select("u", "v")), "line-components")
 
-    placed = keys.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = stored(placed.withColumn("lo", F.min("component").over(w)).withColumn("hi", F.max("component").over(w)).where("lo <> hi").drop("lo", "hi"), "line-mixed")
+    placed = met.select("key", "node").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = placed.withColumn("lo", F.min("component").over(w)).withColumn("hi", F.max("component").over(w)).where("lo <> hi").drop("lo", "hi")
+    mixed = stored(mixed.join(sets, "node"), "line-mixed")
     a, b = mixed.alias("a"), mixed.alias("b")
     across = a.join(
         b,
-        (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
-        & (F.least("a.n", "b.n") * den >= F.greatest("a.n", "b.n") * num),
-    )
-    more = stored(across.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti"), "line-across")
-    sets2 = stored(candidate_shingles(lines, _ends(more).join(nodes.select("node", "place"), "node")), "line-shingles")
-    comps = connected_components(verified(more, sets2).unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
-    return lines.select("doc_id", "doc_key", "line_no", node_of(F.col("line")).alias("node")), comps
+        (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component"))
+        & _near(F.size("a.h"), F.size("b.h")) & _linked(F.col("a.h"), F.col("b.h")),
+    ).select(F.col("a.component").alias("u"), F.col("b.component").alias("v")).distinct()
+    return connected_components(across.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
 
 def line_decisions(docs: DataFrame) -> DataFrame:
-    """Every compared line of ``docs`` (doc_id, text): doc_id, line_no (from 0), component (hex) and kept.
+    """Every compared line of ``docs`` (doc_id, text): doc_id, doc_key, line_no (from 0), component (hex) and kept.
 
     Compared are lines with at least ``MIN_WORDS`` words. Lines whose shingle sets have a Jaccard similarity
     of at least ``THRESHOLD`` are linked; of each component the first line, by doc_id then line number, is kept. Null text: no
     lines. Null doc_id: comes last. Identical rows share their decisions, so each of them has the kept line; ``without_near_copies``
     leaves one. Extra columns are left out. Empty table: no rows.
     """
-    placed, comps = line_components(docs)
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no", "doc_key")
-    first = placed.groupBy("node").agg(F.min(order).alias("first"))
-    comp = first.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    head = comp.groupBy("component").agg(F.min("first").alias("head"))
-    of_node = comp.select("node", "component").join(head, "component")
-    return placed.join(of_node, "node").select(
-        "doc_id", "line_no", "doc_key", F.lower(F.hex("component")).alias("component"),
-        ((F.col("head.doc_key") == F.col("doc_key")) & (F.col("head.line_no") == F.col("line_no"))).alias("kept"),
+    nodes = stored(line_nodes(docs), "line-nodes")
+    comps = stored(line_components(docs, nodes), "line-components")
+    some = nodes.select("node", "copies", "first").join(comps, "node", "left").where("copies > 1 OR component IS NOT NULL")
+    some = some.withColumn("component", F.coalesce("component", "node"))
+    heads = some.groupBy("component").agg(F.min("first").alias("head"))
+    repeated = some.select("node", "component").join(heads, "component").select("node", "component", "head.doc_key", "head.line_no")
+    repeated = repeated.toDF("node", "component", "head_key", "head_line")
+    placed = exploded(docs).select("doc_id", "doc_key", "line_no", node_of(F.col("line")).alias("node"))
+    return placed.join(repeated, "node", "left").select(
+        "doc_id", "doc_key", "line_no", F.lower(F.hex(F.coalesce("component", "node"))).alias("component"),
+        (F.col("head_key").isNull() | (F.col("head_key") == F.col("doc_key")) & (F.col("head_line") == F.col("line_no"))).alias("kept"),
     )
 
 
