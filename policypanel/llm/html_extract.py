@@ -254,8 +254,14 @@ def label(found: list[tuple[str, int, int, int]]) -> list[bool]:
 
 
 def main_text(page: str | None) -> str:
+    """Text of the content blocks; where the cut finds none, of all blocks outside the named furniture."""
     found = blocks(page or "")
-    return "\n".join(b[0] for b, keep in zip(found, label(found)) if keep) if found else ""
+    if not found:
+        return ""
+    side = label(found)
+    if not any(side):
+        side = [zone >= 0 for _, zone, _, _ in found]
+    return "\n".join(b[0] for b, keep in zip(found, side) if keep)
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:

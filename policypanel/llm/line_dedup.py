@@ -53,6 +53,11 @@ def node_of(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
+def short_id(node: Column) -> Column:
+    """64 bits stand for a line where candidates are sought; equal lines are told by the whole digest."""
+    return F.xxhash64(node)
+
+
 def _near(a: Column, b: Column) -> Column:
     """Sizes that a similarity at the threshold allows."""
     num, den = THRESHOLD
@@ -91,20 +96,21 @@ def line_nodes(docs: DataFrame) -> DataFrame:
 
 
 def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and component of each node with a link.
+    """node (its short id) and component (the smallest short id) of each node with a link.
 
-    Band keys are met in two rounds: first each key's nodes with the smallest of them; then, for keys whose nodes are
+    Band keys are met in two rounds: first each key's nodes with the smallest and the largest of them; then, for keys whose nodes are
     still in different components, all pairs across components. Pairs inside a component cannot change it and are not made.
     """
     w = Window.partitionBy("key")
-    keys = nodes.select(F.explode(F.array_distinct("keys")).alias("key"), "node", "n")
-    met = keys.withColumn("m", F.min(F.struct("node", "n")).over(w)).withColumn("hi", F.max("node").over(w)).where(F.col("m.node") != F.col("hi"))
-    met = stored(met.select("key", "node", "n", F.col("m.node").alias("head"), F.col("m.n").alias("head_n")), "line-met")
+    keys = nodes.select(F.explode(F.array_distinct("keys")).alias("key"), short_id(F.col("node")).alias("node"), "n")
+    met = keys.withColumn("lo", F.min(F.struct("node", "n")).over(w)).withColumn("hi", F.max(F.struct("node", "n")).over(w)).where(F.col("lo.node") != F.col("hi.node"))
+    met = stored(met, "line-met")
 
-    places = nodes.select("node", F.xxhash64("first.doc_key", "first.line_no").alias("place"))
+    places = nodes.select(short_id(F.col("node")).alias("node"), F.xxhash64("first.doc_key", "first.line_no").alias("place"))
     sets = stored(wanted_shingles(exploded(docs), places.join(met.select("node").distinct(), "node", "left_semi")), "line-shingles")
 
-    star = met.where((F.col("node") != F.col("head")) & _near(F.col("n"), F.col("head_n"))).select(F.col("head").alias("u"), F.col("node").alias("v")).distinct()
+    star = met.select("node", "n", F.explode(F.array("lo", "hi")).alias("head")).where((F.col("node") != F.col("head.node")) & _near(F.col("n"), F.col("head.n")))
+    star = star.select(F.least("node", "head.node").alias("u"), F.greatest("node", "head.node").alias("v")).distinct()
     both = star.join(sets.select(F.col("node").alias("v"), F.col("h").alias("hv")), "v").join(sets.select(F.col("node").alias("u"), F.col("h").alias("hu")), "u")
     comps = stored(connected_components(both.where(_linked(F.col("hu"), F.col("hv"))).select("u", "v")), "line-components")
 
@@ -130,14 +136,15 @@ def line_decisions(docs: DataFrame) -> DataFrame:
     """
     nodes = stored(line_nodes(docs), "line-nodes")
     comps = stored(line_components(docs, nodes), "line-components")
-    some = nodes.select("node", "copies", "first").join(comps, "node", "left").where("copies > 1 OR component IS NOT NULL")
-    some = some.withColumn("component", F.coalesce("component", "node"))
+    ids = nodes.select("node", "copies", "first", short_id(F.col("node")).alias("id"))
+    some = ids.join(comps.toDF("id", "component"), "id", "left").where("copies > 1 OR component IS NOT NULL")
+    some = some.withColumn("component", F.coalesce("component", "id"))
     heads = some.groupBy("component").agg(F.min("first").alias("head"))
     repeated = some.select("node", "component").join(heads, "component").select("node", "component", "head.doc_key", "head.line_no")
     repeated = repeated.toDF("node", "component", "head_key", "head_line")
     placed = exploded(docs).select("doc_id", "doc_key", "line_no", node_of(F.col("line")).alias("node"))
     return placed.join(repeated, "node", "left").select(
-        "doc_id", "doc_key", "line_no", F.lower(F.hex(F.coalesce("component", "node"))).alias("component"),
+        "doc_id", "doc_key", "line_no", F.lower(F.hex(F.coalesce("component", short_id(F.col("node"))))).alias("component"),
         (F.col("head_key").isNull() | (F.col("head_key") == F.col("doc_key")) & (F.col("head_line") == F.col("line_no"))).alias("kept"),
     )
 
@@ -148,10 +155,10 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     All other columns stay. A document that had words and has none left is dropped; one that had none stays as it is.
     Identical rows (doc_id and text) count as one document, of which one row is left.
     """
-    gone = line_decisions(docs).where("NOT kept").groupBy("doc_key").agg(F.collect_set("line_no").alias("__gone"))
+    gone = line_decisions(docs).where("NOT kept").groupBy(F.col("doc_key").alias("__doc")).agg(F.collect_set("line_no").alias("__gone"))
     keyed = docs.withColumn("__key", doc_key())
     worded = F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
-    joined = keyed.where(worded).join(gone, F.col("__key") == F.col("doc_key"), "left").dropDuplicates(["__key"])
+    joined = keyed.where(worded).join(gone, F.col("__key") == F.col("__doc"), "left").dropDuplicates(["__key"])
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
     cut = joined.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(left)).where(F.col("__gone").isNull() | F.col("text").rlike(r"\S"))
     if "n_chars" in docs.columns:

@@ -289,8 +289,8 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def one_per_group(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with one document of each component left: the one with the smallest doc_id. Identical rows leave one,
     unless they have no words: such rows are linked with nothing and all stay."""
-    keep = near_duplicates(docs, n, num, den).where("is_head").select("row_key").distinct()
+    keep = near_duplicates(docs, n, num, den).where("is_head").select(F.col("row_key").alias("__head")).distinct()
     keyed = docs.withColumn("__key", row_key("doc_id", F.coalesce("text", F.lit(""))))
     wordless = ~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
     salted = keyed.withColumn("__salt", F.when(wordless, F.monotonically_increasing_id()))
-    return salted.join(keep, F.col("__key") == F.col("row_key"), "left_semi").dropDuplicates(["__key", "__salt"]).drop("__key", "__salt")
+    return salted.join(keep, F.col("__key") == F.col("__head"), "left_semi").dropDuplicates(["__key", "__salt"]).drop("__key", "__salt")
