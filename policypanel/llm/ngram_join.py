@@ -19,6 +19,8 @@ from policypanel.llm.common import connected_components, stored
 COUNTERS, CHUNK = 1 << 22, 1 << 12
 #: Bits that say which rows may hold a candidate (8 MB). False positives cost time, never a result.
 BITS = 1 << 26
+#: Cells that a set's shingles are counted in by their last bits: two sets share at most the sum of the smaller counts.
+CELLS = 64
 #: Bytes of text hashed at a time.
 SLICE = 1 << 20
 
@@ -137,19 +139,20 @@ def document_sets(docs: DataFrame, n: int, num: int, den: int, levels) -> DataFr
     def sets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lv = np.frombuffer(levels.value, dtype=np.uint8)
         for p in parts:
-            sizes, nodes, prefixes = [], [], []
+            sizes, nodes, prefixes, cells = [], [], [], []
             for run in shingle_runs(list(p["text"]), n):
                 x = rare_first(run, lv)
                 size = len(x)
                 sizes.append(size)
                 nodes.append(xxhash.xxh64_intdigest(x.tobytes()) - (1 << 63) if size else None)
                 prefixes.append(x[: size - -(-num * size // den) + 1].astype(np.int64) if size else None)
-            out = pd.DataFrame({"n_shingles": sizes, "node": pd.array(nodes, dtype="Int64"), "prefix": prefixes})
+                cells.append(np.bincount((x & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.int32))
+            out = pd.DataFrame({"n_shingles": sizes, "node": pd.array(nodes, dtype="Int64"), "prefix": prefixes, "cells": cells})
             out.insert(0, "row_key", p["row_key"])
             out.insert(0, "doc_id", p["doc_id"].astype("Int64"))
             yield out
 
-    return docs.mapInPandas(sets, "doc_id long, row_key long, n_shingles long, node long, prefix array<long>")
+    return docs.mapInPandas(sets, "doc_id long, row_key long, n_shingles long, node long, prefix array<long>, cells array<int>")
 
 
 def candidate_sets(docs: DataFrame, nodes: DataFrame, n: int, levels) -> DataFrame:
@@ -223,6 +226,12 @@ def _passes(na: Column, pa: Column, nb: Column, pb: Column, num: int, den: int)
     return (F.least(na, nb) * den >= F.greatest(na, nb) * num) & (F.least(na - pa, nb - pb) * (num + den) >= (na + nb) * num)
 
 
+def _shared_at_most(a: Column, b: Column) -> Column:
+    """The suffix filter on counts: both sets are split into cells by their shingles' last bits, and cells share no
+    more than the smaller of the two."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """Links documents whose sets of ``n``-word shingles have den * intersection >= num * union, and their components.
 
@@ -230,7 +239,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     by links, itself included) and is_head (the one row that stands for its component; identical rows share it).
 
     Equal sets are one node. A prefix of each set, the rarest shingles first, is joined in two rounds: first each prefix shingle's
-    nodes with the smallest of them, then, among nodes that are still in different components, every
+    nodes with the smallest and the largest of them, then, among nodes that are still in different components, every
     pair that meets in a prefix shingle. Each pair passes the length and positional filters, is made distinct, and is verified
     once. Pairs inside a component need no check, as they cannot change it, so a group of near copies
     does not give all its pairs.
@@ -243,17 +252,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     found = stored(document_sets(src, n, num, den, levels), "ngram-sets")
 
     nodes = stored(
-        found.where("node IS NOT NULL").groupBy("node").agg(F.min_by(F.struct("row_key", "n_shingles", "prefix"), "row_key").alias("r")).select(
-            "node", "r.row_key", F.col("r.n_shingles").alias("n"), "r.prefix"),
+        found.where("node IS NOT NULL").groupBy("node").agg(F.min_by(F.struct("row_key", "n_shingles", "prefix", "cells"), "row_key").alias("r")).select(
+            "node", "r.row_key", F.col("r.n_shingles").alias("n"), "r.prefix", "r.cells"),
         "ngram-nodes",
     )
     tokens = nodes.select("node", "n", F.posexplode("prefix").alias("p", "token"))
 
     # round 1: a prefix shingle's nodes against the smallest of them
-    head = F.min(F.struct("node", "n", "p")).over(Window.partitionBy("token"))
-    star = tokens.withColumn("h", head).where((F.col("node") != F.col("h.node")) & _passes(F.col("n"), F.col("p"), F.col("h.n"), F.col("h.p"), num, den))
-    # shingles with more than one node, for round 2 too
-    pairs = stored(star.select(F.col("h.node").alias("u"), F.col("node").alias("v")).distinct(), "ngram-pairs")
+    of_token, row = Window.partitionBy("token"), F.struct("node", "n", "p")
+    heads = tokens.withColumn("lo", F.min(row).over(of_token)).withColumn("hi", F.max(row).over(of_token)).where(F.col("lo.node") != F.col("hi.node"))
+    star = heads.select("node", "n", "p", F.explode(F.array("lo", "hi")).alias("h")).where(
+        (F.col("node") != F.col("h.node")) & _passes(F.col("n"), F.col("p"), F.col("h.n"), F.col("h.p"), num, den)
+    )
+    pairs = stored(star.select(F.least("node", "h.node").alias("u"), F.greatest("node", "h.node").alias("v")).distinct(), "ngram-pairs")
     met = _ends(pairs).join(nodes.select("node", "row_key"), "node")
     sets = stored(candidate_sets(src, met, n, levels).join(met.select("node"), "node", "left_semi").dropDuplicates(["node"]), "ngram-tokens")
     links = stored(verified(pairs, sets, num, den), "ngram-links")
@@ -263,9 +274,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     placed = tokens.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     w = Window.partitionBy("token")
     mixed = placed.withColumn("lo", F.min("component").over(w)).withColumn("hi", F.max("component").over(w)).where("lo <> hi").select("token", "node", "n", "p", "component")
-    mixed = stored(mixed, "ngram-mixed")
+    mixed = stored(mixed.join(nodes.select("node", "cells"), "node"), "ngram-mixed")
     a, b = mixed.alias("a"), mixed.alias("b")
-    across = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & _passes(F.col("a.n"), F.col("a.p"), F.col("b.n"), F.col("b.p"), num, den))
+    across = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & _passes(F.col("a.n"), F.col("a.p"), F.col("b.n"), F.col("b.p"), num, den) & (_shared_at_most(F.col("a.cells"), F.col("b.cells")) * (num + den) >= (F.col("a.n") + F.col("b.n")) * num))
     more = stored(across.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti"), "ngram-across")
     met2 = _ends(more).join(nodes.select("node", "row_key"), "node")
     sets2 = stored(candidate_sets(src, met2, n, levels).join(met2.select("node"), "node", "left_semi").dropDuplicates(["node"]), "ngram-tokens")
