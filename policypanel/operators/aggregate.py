@@ -89,7 +89,7 @@ def unpivot_periods(df: DataFrame, ids: Sequence[str], periods: Sequence, measur
     for p in periods:
         fields = [f"{_lit(p)} AS {_q(period)}",
                   f"{_q(f'{count_prefix}_{p}')} AS {_q(count_name)}"]
-        fields += [f"coalesce({_q(f'{m}_{p}')}, 0) AS {_q(m)}" for m in measures]
+        fields += [f"{_q(f'{m}_{p}')} AS {_q(m)}" for m in measures]
         structs.append(f"struct({', '.join(fields)})")
     long = df.select(*[F.col(i) for i in ids], F.expr(f"inline(array({', '.join(structs)}))"))
     return long.filter(F.col(count_name) > 0)

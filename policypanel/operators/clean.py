@@ -119,13 +119,9 @@ def prepare_events(df: DataFrame, date_col: str, counts: Sequence[str], cut: int
         if year_max is not None:
             df = df.filter(F.col(date_col) < F.lit(f"{year_max + 1}-01-01").cast(dtype))
     parsed = df.withColumn(date_out, event_date(date_col, dtype, date_pattern))
-    # One predicate that mentions the parsed date once: Catalyst pushes it below
-    # the projection by substituting the parse, so every extra reference would
-    # parse the text again. A null date has a null year and fails it as well.
+    # A null date has a null year and fails the predicate as well.
     year = F.year(date_out)
-    if year_min is not None and year_max is not None and year_max - year_min < 1000:
-        keep = year.isin(list(range(year_min, year_max + 1)))
-    elif year_min is not None and year_max is not None:
+    if year_min is not None and year_max is not None:
         keep = year.between(year_min, year_max)
     elif year_min is not None:
         keep = year >= F.lit(year_min)

@@ -170,12 +170,8 @@ def line_label_facts(spark: SparkSession, sf_dir: str, key: str, mapping: DataFr
     observed years per era of the whole event log."""
     lo, hi = roles.EVENT_WINDOW
     years = list(range(lo, hi + 1))
-    # Events without a key can never be labelled. Dropping them up front keeps the
-    # collapsed facts identical on every branch of a plan (the segment filter turns
-    # the left join into an inner one, whose inferred key filter would otherwise
-    # reach only that branch's scan), so Spark reuses one exchange for all.
-    keyed = prepared_lines(spark, sf_dir).filter(F.col(key).isNotNull())
-    wide = per_key_by_year(keyed, key, "year", years, {m: m for m in measures})
+    # Events without a key stay: they get no label, but their years count.
+    wide = per_key_by_year(prepared_lines(spark, sf_dir), key, "year", years, {m: m for m in measures})
     labelled = wide.join(mapping, wide[key] == mapping[map_key], "left")
     long = by_year_long(labelled, [label], years, list(measures))
     return (long.withColumn("era", era("year", roles.EVENT_CUT)),

@@ -64,13 +64,15 @@ def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int =
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a local one only if unset."""
+    """The shared checkpoint folder of the session. Only a local session may lack one; it gets
+    a temporary folder."""
     root = spark.conf.get(_CHECKPOINT_KEY, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="policypanel-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root

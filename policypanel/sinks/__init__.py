@@ -51,14 +51,19 @@ def write_parts(df: DataFrame, path: str, fmt: str = "parquet", header: bool = T
     return path
 
 
+#: Null has a mark of its own, so that empty text stays empty text.
+CTRL_A_FORMAT = {"header": False, "sep": CTRL_A, "nullValue": "\\N",
+                 "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_ctrl_a(df: DataFrame, path: str) -> str:
-    """Headerless CSV with the 0x01 separator."""
-    df.write.mode("overwrite").option("header", False).option("sep", CTRL_A).csv(path)
+    """Headerless CSV with the 0x01 separator that keeps line ends, outer blanks and empty text."""
+    df.write.mode("overwrite").options(**CTRL_A_FORMAT).csv(path)
     return path
 
 
 def read_ctrl_a(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).option("header", False).option("sep", CTRL_A).csv(path)
+    return spark.read.schema(schema).options(multiLine=True, **CTRL_A_FORMAT).csv(path)
 
 
 def register_csv_table(spark: SparkSession, table: str, schema_ddl: str, location: str,

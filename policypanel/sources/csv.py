@@ -10,7 +10,8 @@ columns by position and silently mix them up.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,18 +47,18 @@ def clean_header(name: str) -> str:
 
 def resolve_header(columns: Sequence[str], canonical: str) -> str | None:
     """The physical column to use for ``canonical``: exact name, then a
-    BOM-stripped / case-insensitive match, then a column whose name *ends* with
-    the canonical name (a prefix garbled by a mis-decoded byte-order mark)."""
+    BOM-stripped / case-insensitive match, then the one column that is the canonical
+    name behind a prefix without ASCII letters, digits or underscores (a garbled
+    byte-order mark), so that ``NOT_HOUR`` never stands for ``HOUR``."""
     if canonical in columns:
         return canonical
     want = canonical.upper()
     for c in columns:
         if clean_header(c).upper() == want:
             return c
-    for c in columns:
-        if clean_header(c).upper().endswith(want):
-            return c
-    return None
+    garbled = [c for c in columns if clean_header(c).upper().endswith(want)
+               and not re.search(r"[A-Za-z0-9_]", clean_header(c)[:-len(want)])]
+    return garbled[0] if len(garbled) == 1 else None
 
 
 def normalise_header(df: DataFrame, canonical: Mapping[str, T.DataType | str] | Sequence[str],
@@ -81,18 +82,23 @@ def normalise_header(df: DataFrame, canonical: Mapping[str, T.DataType | str] |
 
 
 def read_yearly(spark: SparkSession, paths: Mapping[int, str],
-                canonical: Mapping[str, T.DataType | str], sep: str = ",") -> DataFrame:
+                canonical: Mapping[str, T.DataType | str], sep: str = ",",
+                optional: Collection[str] = ()) -> DataFrame:
     """One frame from yearly CSV extracts with drifting headers.
 
     Each file is read as text with its own header (no type-inference pass),
     repaired and typed by ``normalise_header``, then all years are unioned by
-    name. Reading a header is a small job per file; those jobs are submitted
+    name. A file without a canonical column raises, unless the column is ``optional``
+    (then it is null for that year). Reading a header is a small job per file; those jobs are submitted
     together so many yearly files do not queue one after another.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     def load(year: int) -> DataFrame:
         raw = spark.read.option("header", True).option("sep", sep).csv(paths[year])
+        lost = [c for c in canonical if c not in optional and resolve_header(raw.columns, c) is None]
+        if lost:
+            raise ValueError(f"{paths[year]} lacks {lost}; its columns are {raw.columns}")
         return normalise_header(raw, canonical)
 
     years = sorted(paths)

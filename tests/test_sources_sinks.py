@@ -6,6 +6,8 @@ import os
 from pyspark.sql import functions as F
 
 from policypanel import schemas, sinks
+import pytest
+
 from policypanel.sources.csv import normalise_header, read_csv, read_yearly, resolve_header
 
 CANON = {"ST_CASE": "int", "STATE": "int", "LATITUDE": "double", "LONGITUD": "double"}
@@ -107,3 +109,21 @@ def test_verify_sink(spark, tmp_dir):
 def test_collision_schema_has_29_columns():
     assert len(schemas.collision_schema().fields) == 29
     assert len(schemas.register_schema().fields) == 23
+
+
+def test_no_column_stands_for_another_and_a_lost_one_raises(spark, tmp_dir):
+    assert resolve_header(["NOT_HOUR", "x"], "HOUR") is None
+    assert resolve_header(["??STATE", "!STATE"], "STATE") is None
+    p = f"{tmp_dir}/lost.csv"
+    _write(p, "ST_CASE,LATITUDE,LONGITUD\n1,40.5,-74.0\n")
+    with pytest.raises(ValueError, match="STATE"):
+        read_yearly(spark, {2005: p}, CANON)
+    assert read_yearly(spark, {2005: p}, CANON, optional=["STATE"]).first().STATE is None
+
+
+def test_ctrl_a_is_lossless(spark, tmp_dir):
+    from policypanel.sinks import read_ctrl_a, write_ctrl_a
+    rows = [(1, "a,b"), (2, "two\nlines"), (3, "  blanks "), (4, ""), (5, None), (6, 'q"uote'), (7, "back\\slash")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    path = write_ctrl_a(df, f"{tmp_dir}/ctrl_a")
+    assert sorted(tuple(r) for r in read_ctrl_a(spark, path, "id int, text string").collect()) == rows
