@@ -36,7 +36,7 @@ lines AS (
 ),
 line_counts AS (SELECT doc_id, sum(n) AS n_lines, sum(n - 1) AS dup FROM lines GROUP BY doc_id),
 m AS (
-  SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS BIGINT) AS word_chars,
+  SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
     CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
   FROM words LEFT JOIN covered ON covered.doc_id = words.doc_id LEFT JOIN line_counts ON line_counts.doc_id = words.doc_id
