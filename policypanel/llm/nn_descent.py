@@ -170,8 +170,8 @@ def counted(comps: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     This enlarges saturated lists to the whole component: its members are compared block by block in double
     precision, and only the sums leave a task, not the pairs.
     """
-    size = F.count(F.lit(1)).over(Window.partitionBy("component"))
-    members = comps.join(nodes.select("node", "copies", "vec"), "node").withColumn("blocks", F.ceil(size / (2 * BLOCK)).cast("int"))
+    sizes = comps.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / (2 * BLOCK)).cast("int").alias("blocks"))
+    members = comps.join(sizes, "component").join(nodes.select("node", "copies", "vec"), "node")
     members = members.withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     tiles = members.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "component", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "node", "copies", "vec"
