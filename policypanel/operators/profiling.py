@@ -40,8 +40,15 @@ def _long_form(wide: DataFrame, columns: Sequence[str], fields: Mapping[str, str
 
 
 def _unpivot(df: DataFrame, columns: Sequence[str], value_type: str = "string") -> DataFrame:
-    structs = [F.struct(F.lit(c).alias("column"), F.col(c).cast(value_type).alias("value"))
-               for c in columns]
+    """``column, value`` rows; -0.0 becomes 0.0, which it equals, before it turns to text."""
+    def value(c: str) -> Column:
+        dtype = df.schema[c].dataType
+        x = F.col(c)
+        if isinstance(dtype, (T.FloatType, T.DoubleType)):
+            x = F.when(x == 0, F.lit(0).cast(dtype)).otherwise(x)
+        return x.cast(value_type)
+
+    structs = [F.struct(F.lit(c).alias("column"), value(c).alias("value")) for c in columns]
     return df.select(F.inline(F.array(*structs)))
 
 
@@ -159,6 +166,26 @@ def summary_stats(df: DataFrame, columns: Sequence[str], accuracy: int = 10000)
             .orderBy("column"))
 
 
+def quantile_rank_check(df: DataFrame, columns: Sequence[str], q: float,
+                        accuracy: int) -> DataFrame:
+    """The approximate quantile held against its own guarantee: ``column, rows,
+    within_error``, true if the reported value's ranks meet ``q`` +- 1 / ``accuracy``
+    of the non-null rows. A column without values is within the error."""
+    quantiles = df.agg(*[F.percentile_approx(F.col(c).cast("double"), q, accuracy).alias(f"{c}__q")
+                         for c in columns])
+    aggs = []
+    for c in columns:
+        # scalar subqueries, which Spark answers by one aggregate
+        x, v = F.col(c).cast("double"), quantiles.select(f"{c}__q").scalar()
+        aggs += [F.count(c).alias(f"{c}__rows"), F.count_if(x < v).alias(f"{c}__below"),
+                 F.count_if(x <= v).alias(f"{c}__upto")]
+    ranks = df.agg(*aggs)
+    ranks = ranks.withColumns({f"{c}__ok": (F.col(f"{c}__below") <= F.col(f"{c}__rows") * (q + 1 / accuracy))
+                               & (F.col(f"{c}__upto") >= F.col(f"{c}__rows") * (q - 1 / accuracy))
+                               for c in columns})
+    return _long_form(ranks, columns, {"rows": "rows", "ok": "within_error"})
+
+
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Typed ``describe()``: ``column, count, mean, stddev, min, max``."""
     columns = list(columns or numeric_columns(df))

@@ -74,12 +74,13 @@ def _header_variant(year: int, first: int, last: int) -> dict[str, str]:
 
 
 def write_yearly_extracts(spark: SparkSession, d: str, root: str) -> dict[int, str]:
-    """One CSV folder per year of lineitem, each with its own header drift, extra
-    columns and column order."""
+    """One CSV folder per year of lineitem, from its first to its last, each with its
+    own header drift, extra columns and column order."""
     from concurrent.futures import ThreadPoolExecutor
 
-    lo, hi = R.EVENT_WINDOW
     li = X.table(spark, d, "lineitem")
+    ends = li.agg(F.year(F.min("l_shipdate")), F.year(F.max("l_shipdate"))).first()
+    lo, hi = R.EVENT_WINDOW if ends[0] is None else ends
 
     def write(year: int) -> str:
         names = _header_variant(year, lo, hi)
@@ -164,7 +165,7 @@ def csv_parts_verify(spark: SparkSession, d: str) -> DataFrame:
 TABLE_NAME = "policypanel_db.events_clean"
 
 
-def table_register_scan(spark: SparkSession, d: str) -> DataFrame:
+def _register_events(spark: SparkSession, d: str) -> str:
     root = scratch_path(spark, "catalog")
     data = sinks.write_ctrl_a(events_clean(spark, d), f"{root}/events_clean")
     # one table per call (the folder name is unique), so concurrent runs never
@@ -172,7 +173,20 @@ def table_register_scan(spark: SparkSession, d: str) -> DataFrame:
     table = f"{TABLE_NAME}_{root.rsplit('-', 1)[-1]}"
     sinks.register_csv_table(spark, table, EVENTS_CLEAN_SCHEMA, data, header=False,
                              sep=sinks.CTRL_A, replace=True, database_location=f"{root}/db")
-    return scan_table(spark, table, not_null=["ship_date"])
+    return table
+
+
+def table_register_scan(spark: SparkSession, d: str) -> DataFrame:
+    return scan_table(spark, _register_events(spark, d), not_null=["ship_date"])
+
+
+def catalog_check(spark: SparkSession, d: str) -> DataFrame:
+    table = _register_events(spark, d)
+    found = sinks.catalog_check(spark, table, sample=5)
+    count = lambda df, item: df.agg(F.lit(item).alias("item"), F.count(F.lit(1)).alias("value"))
+    return (count(found["describe"], "columns")
+            .unionByName(found["count"].select(F.lit("rows").alias("item"), F.col("total").alias("value")))
+            .unionByName(count(found["sample"], "sample_rows")))
 
 
 def inline_dim(spark: SparkSession, d: str) -> DataFrame:
@@ -197,5 +211,6 @@ ETL_QUERIES = {
     "csv_single_part": csv_single_part,
     "csv_parts_verify": csv_parts_verify,
     "table_register_scan": table_register_scan,
+    "catalog_check": catalog_check,
     "inline_dim": inline_dim,
 }

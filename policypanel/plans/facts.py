@@ -112,11 +112,15 @@ def by_year_long(df: DataFrame, ids: Sequence[str], years: Sequence[int],
 
 def order_unit_facts(spark: SparkSession, sf_dir: str, units: Sequence[str] = roles.UNITS,
                      window: tuple[int, int] = roles.DID_WINDOW,
-                     subgroup: str = roles.SUBGROUP_PRIORITY) -> DataFrame:
+                     subgroup: str = roles.SUBGROUP_PRIORITY,
+                     only_subgroup: bool = False) -> DataFrame:
     """``unit, year, n, n_sub, price``: orders per study unit and year, with the
-    subgroup count and the exact (decimal) price total."""
+    subgroup count and the exact (decimal) price total. ``only_subgroup`` reads
+    the orders of the subgroup alone (a filter pushed into the scan)."""
     years = list(range(window[0], window[1] + 1))
     orders = in_years(table(spark, sf_dir, "orders"), "o_orderdate", *window)
+    if only_subgroup:
+        orders = orders.filter(F.col("o_orderpriority") == F.lit(subgroup))
     ev = orders.select(
         "o_custkey",
         F.year("o_orderdate").alias("year"),
@@ -146,8 +150,10 @@ def line_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                      *[c.alias(n) for n, c in cols.items()])
 
 
-def prepared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lo, hi = roles.EVENT_WINDOW
+def prepared_lines(spark: SparkSession, sf_dir: str,
+                   window: tuple[int | None, int | None] = roles.EVENT_WINDOW) -> DataFrame:
+    """The prepared event log; ``window=(None, None)`` keeps every year."""
+    lo, hi = window
     return prepare_events(line_events(spark, sf_dir), "l_shipdate", LINE_MEASURES,
                           cut=roles.EVENT_CUT, year_min=lo, year_max=hi)
 
@@ -185,10 +191,8 @@ def part_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_segment_missing(spark: SparkSession, sf_dir: str,
                           tokens: Sequence[str] = roles.UNSPECIFIED_TOKENS) -> DataFrame:
     """``segment, n, missing`` per customer (collapsed before the join), for the
-    unspecified-value audit of ``o_orderpriority``."""
-    lo, hi = roles.EVENT_WINDOW
-    orders = in_years(table(spark, sf_dir, "orders"), "o_orderdate", lo, hi)
-    per_cust = orders.groupBy("o_custkey").agg(
+    unspecified-value audit of ``o_orderpriority`` over all orders."""
+    per_cust = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(is_missing_token("o_orderpriority", tokens)).alias("missing"))
     cn = customer_nations(spark, sf_dir)

