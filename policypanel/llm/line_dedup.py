@@ -70,6 +70,25 @@ def _linked(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) * (num + den) >= num * (F.size(a) + F.size(b))
 
 
+def presence(h: Column) -> Column:
+    """256 bits as four longs: a bit is set if a hash of ``h`` ends in its number."""
+    word = lambda k: F.aggregate(h, F.lit(0).cast("long"), lambda s, x: F.when(
+        F.shiftright(x, 6).bitwiseAND(3) == k, s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int")))).otherwise(s))
+    return F.array(*(word(k) for k in range(4)))
+
+
+def _may_link(a: Column, bits_a: Column, b: Column, bits_b: Column) -> Column:
+    """Never false for linked sets, and cheap: each bit that one set alone has is a hash that the other lacks."""
+    num, den = THRESHOLD
+
+    def shared(x: Column, bits_x: Column, bits_y: Column) -> Column:
+        lacking = [F.bit_count(F.get(bits_x, F.lit(k)).bitwiseAND(F.bitwise_not(F.get(bits_y, F.lit(k))))) for k in range(4)]
+        return F.size(x) - lacking[0] - lacking[1] - lacking[2] - lacking[3]
+
+    need = num * (F.size(a) + F.size(b))
+    return (shared(a, bits_a, bits_b) * (num + den) >= need) & (shared(b, bits_b, bits_a) * (num + den) >= need)
+
+
 def wanted_shingles(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, h) of the lines at the places in ``wanted`` (node, place). The lines are read and shingled again, those that a
     bitmap of the places lets through, so neither all lines nor all their shingles are stored or shuffled."""
@@ -98,8 +117,9 @@ def line_nodes(docs: DataFrame) -> DataFrame:
 def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node (its short id) and component (the smallest short id) of each node with a link.
 
-    Band keys are met in two rounds: first each key's nodes with the smallest and the largest of them; then, for keys whose nodes are
-    still in different components, all pairs across components. Pairs inside a component cannot change it and are not made.
+    Band keys are met in three rounds: first each key's nodes with the smallest and the largest of them; then, for keys whose nodes are
+    still in different components, with two others; then, for keys still mixed, all pairs across components. Pairs inside a
+    component cannot change it and are not made.
     """
     w = Window.partitionBy("key")
     keys = nodes.select(F.explode(F.array_distinct("keys")).alias("key"), short_id(F.col("node")).alias("node"), "n")
@@ -115,15 +135,38 @@ def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     comps = stored(connected_components(both.where(_linked(F.col("hu"), F.col("hv"))).select("u", "v")), "line-components")
 
     placed = met.select("key", "node").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.withColumn("lo", F.min("component").over(w)).withColumn("hi", F.max("component").over(w)).where("lo <> hi").drop("lo", "hi")
-    mixed = stored(mixed.join(sets, "node"), "line-mixed")
-    a, b = mixed.alias("a"), mixed.alias("b")
+    mixed = stored(still_mixed(placed).join(sets.withColumn("bits", presence(F.col("h"))), "node"), "line-mixed")
+    merged = comps.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    links = stored(links_to_heads(mixed), "line-links")
+    joined = stored(connected_components(links).toDF("component", "to"), "line-merged")
+    moved = mixed.join(joined, "component", "left").withColumn("component", F.coalesce("to", "component")).drop("to")
+    apart = stored(still_mixed(moved), "line-apart")
+    a, b = apart.alias("a"), apart.alias("b")
     across = a.join(
         b,
         (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component"))
-        & _near(F.size("a.h"), F.size("b.h")) & _linked(F.col("a.h"), F.col("b.h")),
+        & _near(F.size("a.h"), F.size("b.h")) & _may_link(F.col("a.h"), F.col("a.bits"), F.col("b.h"), F.col("b.bits"))
+        & _linked(F.col("a.h"), F.col("b.h")),
     ).select(F.col("a.component").alias("u"), F.col("b.component").alias("v")).distinct()
-    return connected_components(across.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+    return connected_components(across.unionByName(links).unionByName(merged))
+
+
+def still_mixed(placed: DataFrame) -> DataFrame:
+    """The rows of ``placed`` (key, component, ...) whose key has nodes of different components."""
+    ends = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    return placed.join(ends.select("key"), "key", "left_semi")
+
+
+def links_to_heads(mixed: DataFrame) -> DataFrame:
+    """Links (u, v) between components: each key's nodes against two of them that a hash picks anew for each key, so a node that
+    has several keys meets several others. The heads come from grouped minima, so a frequent key is not gathered in one task."""
+    turn = F.struct(F.xxhash64("key", "node").alias("turn"), "component", "h", "bits")
+    heads = mixed.groupBy("key").agg(F.array(F.min(turn), F.max(turn)).alias("heads")).select("key", F.explode("heads").alias("head"))
+    met = mixed.join(heads, "key").where(
+        (F.col("component") != F.col("head.component")) & _near(F.size("h"), F.size("head.h"))
+        & _may_link(F.col("h"), F.col("bits"), F.col("head.h"), F.col("head.bits")) & _linked(F.col("h"), F.col("head.h"))
+    )
+    return met.select(F.least("component", "head.component").alias("u"), F.greatest("component", "head.component").alias("v")).distinct()
 
 
 def line_decisions(docs: DataFrame) -> DataFrame:
