@@ -78,14 +78,14 @@ def presence(h: Column) -> Column:
 
 
 def _may_link(a: Column, bits_a: Column, b: Column, bits_b: Column) -> Column:
-    """Never false for linked sets, and cheap: each bit that one set alone has is a hash that the other lacks."""
+    """Never false for linked sets of sizes a and b, and cheap: each bit that one set alone has is a hash that the other lacks."""
     num, den = THRESHOLD
 
     def shared(x: Column, bits_x: Column, bits_y: Column) -> Column:
         lacking = [F.bit_count(F.get(bits_x, F.lit(k)).bitwiseAND(F.bitwise_not(F.get(bits_y, F.lit(k))))) for k in range(4)]
-        return F.size(x) - lacking[0] - lacking[1] - lacking[2] - lacking[3]
+        return x - lacking[0] - lacking[1] - lacking[2] - lacking[3]
 
-    need = num * (F.size(a) + F.size(b))
+    need = num * (a + b)
     return (shared(a, bits_a, bits_b) * (num + den) >= need) & (shared(b, bits_b, bits_a) * (num + den) >= need)
 
 
@@ -131,24 +131,28 @@ def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     star = met.select("node", "n", F.explode(F.array("lo", "hi")).alias("head")).where((F.col("node") != F.col("head.node")) & _near(F.col("n"), F.col("head.n")))
     star = star.select(F.least("node", "head.node").alias("u"), F.greatest("node", "head.node").alias("v")).distinct()
-    both = star.join(sets.select(F.col("node").alias("v"), F.col("h").alias("hv")), "v").join(sets.select(F.col("node").alias("u"), F.col("h").alias("hu")), "u")
-    comps = stored(connected_components(both.where(_linked(F.col("hu"), F.col("hv"))).select("u", "v")), "line-components")
+    comps = stored(connected_components(verified(star, sets)), "line-components")
 
     placed = met.select("key", "node").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = stored(still_mixed(placed).join(sets.withColumn("bits", presence(F.col("h"))), "node"), "line-mixed")
-    merged = comps.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    links = stored(links_to_heads(mixed), "line-links")
-    joined = stored(connected_components(links).toDF("component", "to"), "line-merged")
-    moved = mixed.join(joined, "component", "left").withColumn("component", F.coalesce("to", "component")).drop("to")
+    sizes = sets.select("node", F.size("h").alias("n"), presence(F.col("h")).alias("bits"))
+    mixed = stored(still_mixed(placed).join(sizes, "node"), "line-mixed")
+    links = stored(verified(pairs_with_heads(mixed), sets), "line-links")
+    comps = stored(connected_components(links.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v")))), "line-components")
+    moved = mixed.drop("component").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     apart = stored(still_mixed(moved), "line-apart")
     a, b = apart.alias("a"), apart.alias("b")
     across = a.join(
         b,
-        (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component"))
-        & _near(F.size("a.h"), F.size("b.h")) & _may_link(F.col("a.h"), F.col("a.bits"), F.col("b.h"), F.col("b.bits"))
-        & _linked(F.col("a.h"), F.col("b.h")),
-    ).select(F.col("a.component").alias("u"), F.col("b.component").alias("v")).distinct()
-    return connected_components(across.unionByName(links).unionByName(merged))
+        (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
+        & _near(F.col("a.n"), F.col("b.n")) & _may_link(F.col("a.n"), F.col("a.bits"), F.col("b.n"), F.col("b.bits")),
+    ).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+    return connected_components(verified(across, sets).unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) of nodes whose shingle sets are similar enough."""
+    both = pairs.join(sets.select(F.col("node").alias("v"), F.col("h").alias("hv")), "v").join(sets.select(F.col("node").alias("u"), F.col("h").alias("hu")), "u")
+    return both.where(_linked(F.col("hu"), F.col("hv"))).select("u", "v")
 
 
 def still_mixed(placed: DataFrame) -> DataFrame:
@@ -157,16 +161,16 @@ def still_mixed(placed: DataFrame) -> DataFrame:
     return placed.join(ends.select("key"), "key", "left_semi")
 
 
-def links_to_heads(mixed: DataFrame) -> DataFrame:
-    """Links (u, v) between components: each key's nodes against two of them that a hash picks anew for each key, so a node that
-    has several keys meets several others. The heads come from grouped minima, so a frequent key is not gathered in one task."""
-    turn = F.struct(F.xxhash64("key", "node").alias("turn"), "component", "h", "bits")
+def pairs_with_heads(mixed: DataFrame) -> DataFrame:
+    """Pairs (u, v) that may be linked: each key's nodes and two of them that a hash picks anew for each key, so a node that has
+    several keys meets several others. The heads come from grouped minima, so a frequent key is not gathered in one task."""
+    turn = F.struct(F.xxhash64("key", "node").alias("turn"), "node", "component", "n", "bits")
     heads = mixed.groupBy("key").agg(F.array(F.min(turn), F.max(turn)).alias("heads")).select("key", F.explode("heads").alias("head"))
     met = mixed.join(heads, "key").where(
-        (F.col("component") != F.col("head.component")) & _near(F.size("h"), F.size("head.h"))
-        & _may_link(F.col("h"), F.col("bits"), F.col("head.h"), F.col("head.bits")) & _linked(F.col("h"), F.col("head.h"))
+        (F.col("component") != F.col("head.component")) & _near(F.col("n"), F.col("head.n"))
+        & _may_link(F.col("n"), F.col("bits"), F.col("head.n"), F.col("head.bits"))
     )
-    return met.select(F.least("component", "head.component").alias("u"), F.greatest("component", "head.component").alias("v")).distinct()
+    return met.select(F.least("node", "head.node").alias("u"), F.greatest("node", "head.node").alias("v")).distinct()
 
 
 def line_decisions(docs: DataFrame) -> DataFrame:
