@@ -14,10 +14,10 @@ from pyspark.sql.window import Window
 from policypanel.llm.common import connected_components, stored
 
 THRESHOLD = 0.98
-#: Neighbours per list to begin with, random cells' size and number, rows of a list or cell that one task compares at a time.
+#: Neighbours per list inside a component and outside, random cells' size and number, rows of a list or cell that one task compares at a time.
 K, CELL, TABLES, BLOCK = 10, 128, 6, 256
-#: Most query vectors of the recall audit; they are compared with all vectors.
-AUDIT = 256
+#: Query vectors of the recall audit in a label (the square root of its size if that is more), and rows they meet at a time.
+AUDIT, CHUNK = 256, 2048
 #: Single precision is off by less than this; pairs so near the threshold are decided in double precision.
 SLACK = 1e-4
 
@@ -57,46 +57,90 @@ def _matrix(raw, dtype=np.float64) -> np.ndarray:
     return np.frombuffer(b"".join(raw), dtype=dtype).reshape(len(raw), -1)
 
 
-def _top(ids: np.ndarray, sim: np.ndarray, k: int, rows: list) -> None:
-    """The k nearest of each row of a similarity matrix, without itself."""
+def _top(ids: np.ndarray, sim: np.ndarray, k: int, own: bool, rows: list) -> None:
+    """The k nearest of each row of a similarity matrix, without itself and masked ones (under -1.5)."""
     np.fill_diagonal(sim, -2)
     k = min(k, len(ids) - 1)
     if k > 0:
         near = np.argpartition(-sim, k - 1, axis=1)[:, :k]
         for i in range(len(ids)):
-            rows.append((np.full(k, ids[i]), ids[near[i]], sim[i, near[i]]))
+            to = near[i][sim[i, near[i]] > -1.5]
+            if len(to):
+                rows.append((np.full(len(to), ids[i]), ids[to], sim[i, to], np.full(len(to), own), np.zeros(len(to), bool)))
+
+
+def _forest(ids: np.ndarray, comp: np.ndarray, sim: np.ndarray, threshold: float, rows: list) -> None:
+    """Links that join whatever components the links of a similarity matrix join: a spanning forest of the sure ones between
+    components, and between its trees all pairs that only double precision can decide."""
+    hit = (sim >= threshold - SLACK) & (comp[:, None] != comp)
+    some = np.flatnonzero(hit.any(axis=1))
+    if not len(some):
+        return
+    ids, comp, sim, hit = ids[some], comp[some], sim[np.ix_(some, some)], hit[np.ix_(some, some)]
+    sure = hit & (sim >= threshold + SLACK)
+    tree = np.full(len(ids), -1)
+    us, vs = [], []
+    for s in range(len(ids)):
+        if tree[s] >= 0:
+            continue
+        todo = np.flatnonzero(comp == comp[s]).tolist()
+        tree[todo] = s
+        while todo:
+            i = todo.pop()
+            for j in np.flatnonzero(sure[i] & (tree < 0)):
+                if tree[j] < 0:
+                    us.append(i)
+                    vs.append(j)
+                    new = np.flatnonzero(comp == comp[j])
+                    tree[new] = s
+                    todo.extend(new.tolist())
+    i, j = np.nonzero(np.triu(hit & (tree[:, None] != tree)))
+    i, j = np.concatenate([np.array(us, int), i]), np.concatenate([np.array(vs, int), j])
+    rows.append((ids[i], ids[j], sim[i, j], np.ones(len(i), bool), np.ones(len(i), bool)))
 
 
 def _edges(rows: list) -> pd.DataFrame:
     if not rows:
-        return pd.DataFrame({"u": np.empty(0, np.int64), "v": np.empty(0, np.int64), "sim": np.empty(0, np.float64)})
-    u, v, s = (np.concatenate(x) for x in zip(*rows))
-    return pd.DataFrame({"u": u, "v": v, "sim": s.astype(np.float64)})
+        return pd.DataFrame({"u": np.empty(0, np.int64), "v": np.empty(0, np.int64), "sim": np.empty(0, np.float64), "own": np.empty(0, bool), "link": np.empty(0, bool)})
+    u, v, s, own, link = (np.concatenate(x) for x in zip(*rows))
+    return pd.DataFrame({"u": u, "v": v, "sim": s.astype(np.float64), "own": own, "link": link})
 
 
-EDGE = "u long, v long, sim double"
+#: ``link``: an edge of a block's spanning forest; the others are neighbours for the lists.
+EDGE = "u long, v long, sim double, link boolean"
 
 
-def first_graph(nodes: DataFrame, tables: range, k: int, largest: int) -> DataFrame:
-    """Neighbours inside random cells: one cell per table and sign pattern of random projections.
+def placed(nodes: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """(node, component, v32); a node without a link is its own component."""
+    if comps is None:
+        return nodes.select("node", F.col("node").alias("component"), "v32")
+    return nodes.join(comps, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "v32")
+
+
+def first_graph(nodes: DataFrame, comps: DataFrame | None, groups: DataFrame, tables: range, k: int, threshold: float) -> DataFrame:
+    """Neighbours and links inside random cells: one cell per table and sign pattern of random projections.
 
     Cells over ``BLOCK`` rows are dealt into blocks at random; later rounds join what a cell's blocks part.
     """
-    bits = max(0, math.ceil(math.log2(max(1, largest / CELL))))
+    bits = F.lit(max(0, math.ceil(math.log2(max(1, (groups.agg(F.max("n")).first()[0] or 0) / CELL)))))
+    sized = nodes.join(groups.select("label", "dim", bits.alias("bits")), ["label", "dim"])
 
     def cells(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            for dim, q in p.groupby("dim"):
-                x = _matrix(q["vec"])
-                for t in tables:
-                    plane = np.random.default_rng([t, int(dim)]).standard_normal((int(dim), max(1, bits)))
-                    sign = ((x @ plane) > 0) @ (1 << np.arange(max(1, bits), dtype=np.int64)) if bits else np.zeros(len(q), np.int64)
+            for (dim, bits), q in p.groupby(["dim", "bits"]):
+                x = _matrix(q["vec"]) if bits else None
+                for t in tables if bits else [t for t in tables if t == 0]:
+                    sign = np.zeros(len(q), np.int64)
+                    if bits:
+                        plane = np.random.default_rng([t, int(dim)]).standard_normal((int(bits), int(dim))).T
+                        sign = ((x @ plane) > 0) @ (1 << np.arange(int(bits), dtype=np.int64))
                     yield pd.DataFrame({"node": q["node"], "label": q["label"], "dim": q["dim"], "t": t, "cell": sign})
 
-    keyed = stored(nodes.mapInPandas(cells, "node long, label long, dim int, t int, cell long"), "vector-cells")
+    keyed = stored(sized.mapInPandas(cells, "node long, label long, dim int, t int, cell long"), "vector-cells")
     sizes = keyed.groupBy("label", "dim", "t", "cell").agg(F.count(F.lit(1)).alias("n"))
     dealt = keyed.join(sizes, ["label", "dim", "t", "cell"]).withColumn("block", F.pmod(F.xxhash64("node", "t"), F.ceil(F.col("n") / BLOCK)))
-    groups = dealt.join(nodes.select("node", "v32"), "node").groupBy("label", "dim", "t", "cell", "block").agg(F.collect_list(F.struct("node", "v32")).alias("m"))
+    dealt = dealt.join(placed(nodes, comps), "node").groupBy("label", "dim", "t", "cell", "block")
+    blocks = dealt.agg(F.sort_array(F.collect_list(F.struct("node", "component", "v32"))).alias("m"))
 
     def near(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
@@ -104,33 +148,38 @@ def first_graph(nodes: DataFrame, tables: range, k: int, largest: int) -> DataFr
             for m in p["m"]:
                 ids = np.array([r["node"] for r in m], dtype=np.int64)
                 x = _matrix([r["v32"] for r in m], np.float32)
-                _top(ids, x @ x.T, k, rows)
-            yield _edges(rows)
+                sim = x @ x.T
+                _forest(ids, np.array([r["component"] for r in m], dtype=np.int64), sim, threshold, rows)
+                _top(ids, sim, k, False, rows)
+            yield _edges(rows).drop(columns="own")
 
-    return groups.select("m").mapInPandas(near, EDGE)
+    return blocks.select("m").mapInPandas(near, EDGE)
 
 
-def shortened(edges: DataFrame, k: int) -> DataFrame:
-    """Each node's list: its ``k`` nearest, enlarged to twice that, and so on, while its last entry still reaches the threshold."""
-    w = Window.partitionBy("u").orderBy(F.desc("sim"), "v")
-    ranked = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.max("old").alias("old")).withColumn("r", F.row_number().over(w))
-    links = F.sum(F.when(F.col("sim") >= THRESHOLD - SLACK, 1).otherwise(0)).over(Window.partitionBy("u"))
-    # the list's size is k times the least power of 2 that leaves it unsaturated
-    size = F.when(links < k, F.lit(k)).otherwise(F.lit(k) * F.pow(F.lit(2.0), F.floor(F.log2(links / k)) + 1))
-    return ranked.withColumn("size", size).where("r <= size").select("u", "v", "sim", "old")
+def shortened(edges: DataFrame, comps: DataFrame, k: int) -> DataFrame:
+    """Each node's list: its ``k`` nearest in its own component and its ``k`` nearest outside.
+
+    Links join components, so a list cannot be filled up by links: those found are inside, and what is outside has its own places.
+    """
+    one = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.max("old").alias("old"))
+    cu, cv = comps.select(F.col("node").alias("u"), F.col("component").alias("cu")), comps.select(F.col("node").alias("v"), F.col("component").alias("cv"))
+    sided = one.join(cu, "u", "left").join(cv, "v", "left").withColumn("own", F.coalesce("cu", "u") == F.coalesce("cv", "v"))
+    ranked = sided.withColumn("r", F.row_number().over(Window.partitionBy("u", "own").orderBy(F.desc("sim"), "v")))
+    return ranked.where(F.col("r") <= k).select("u", "v", "sim", "old")
 
 
-def descended(graph: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
+def descended(graph: DataFrame, nodes: DataFrame, comps: DataFrame, turn: int, k: int, threshold: float) -> DataFrame:
     """New edges from one round of neighbours of neighbours.
 
     At every node its neighbours both ways are compared with one another, pairs with at least one
-    end new to the node. Nodes with more than ``BLOCK`` neighbours compare them in blocks that are dealt anew each round. Returned
-    are, for each compared node, its best new neighbours in the block.
+    end new to the node. Nodes with more than ``BLOCK`` neighbours compare them in blocks that are dealt anew each round, old ones too. Returned
+    are, for each compared node, its best new neighbours in the block inside and outside its component, and links between components.
     """
     both = graph.select("u", "v", "old").unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "old")).groupBy("u", "v").agg(F.min("old").alias("old"))
     sized = both.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("u")))
-    dealt = sized.withColumn("block", F.pmod(F.xxhash64("v", F.lit(turn)), F.ceil(F.col("n") / BLOCK)))
-    local = dealt.join(nodes.select(F.col("node").alias("v"), "v32"), "v").groupBy("u", "block").agg(F.collect_list(F.struct("v", "v32", "old")).alias("m")).select("m")
+    dealt = sized.withColumn("block", F.pmod(F.xxhash64("v", F.lit(turn)), F.ceil(F.col("n") / BLOCK))).withColumn("old", F.col("old") & (F.col("n") <= BLOCK))
+    ends = placed(nodes, comps).withColumnRenamed("node", "v")
+    local = dealt.join(ends, "v").groupBy("u", "block").agg(F.collect_list(F.struct("v", "component", "v32", "old")).alias("m")).select("m")
 
     def join(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
@@ -140,17 +189,52 @@ def descended(graph: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
                 if len(m) < 2 or old.all():
                     continue
                 ids = np.array([r["v"] for r in m], dtype=np.int64)
+                comp = np.array([r["component"] for r in m], dtype=np.int64)
                 x = _matrix([r["v32"] for r in m], np.float32)
                 sim = x @ x.T
+                _forest(ids, comp, sim, threshold, rows)
                 sim[np.ix_(old, old)] = -2
-                _top(ids, sim, K, rows)
-            e = _edges(rows)
-            e = e[e["sim"] > -1.5].sort_values("sim", ascending=False).drop_duplicates(["u", "v"])
-            yield e.groupby("u", sort=False).head(4 * K) if len(e) else e
+                own = comp[:, None] == comp
+                for side in (True, False):
+                    if (own == side).any():
+                        _top(ids, np.where(own == side, sim, -2), k, side, rows)
+            e = _edges(rows).sort_values(["link", "sim"], ascending=False).drop_duplicates(["u", "v"])
+            # a list takes no more than k of either side; links always leave
+            near = e[~e["link"]]
+            yield pd.concat([e[e["link"]], near[near.groupby(["u", "own"]).cumcount() < k]]).drop(columns="own")
 
     return local.mapInPandas(join, EDGE)
 
 
+def compared(nodes: DataFrame, comps: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """Links that join whatever is joined in ``groups`` (label, dim, n): all their vectors are compared, block by block."""
+    sizes = groups.select("label", "dim", F.ceil(F.col("n") / (2 * BLOCK)).cast("int").alias("blocks"))
+    members = nodes.select("node", "label", "dim").join(sizes, ["label", "dim"]).join(placed(nodes, comps), "node").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    tiles = members.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("b <> o OR blocks = 1")
+    tiles = tiles.groupBy("label", "dim", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j")).agg(F.collect_list(F.struct("node", "component", "v32")).alias("m"))
+
+    def near(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            rows: list = []
+            for m in p["m"]:
+                x = _matrix([r["v32"] for r in m], np.float32)
+                ids, comp = (np.array([r[c] for r in m], dtype=np.int64) for c in ("node", "component"))
+                _forest(ids, comp, x @ x.T, threshold, rows)
+            yield _edges(rows).drop(columns="own")
+
+    return tiles.select("m").mapInPandas(near, EDGE)
+
+
+def joined(comps: DataFrame | None, found: DataFrame, nodes: DataFrame, threshold: float) -> tuple[DataFrame, bool]:
+    """Components after the links of ``found``, each between two of ``comps``, and whether there were any."""
+    links = stored(linked(found.where("link"), nodes, threshold), "vector-links")
+    if comps is not None:
+        if links.isEmpty():
+            return comps, False
+        links = links.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v")))
+    return stored(connected_components(links), "vector-components"), True
+
+
 def linked(edges: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Edges (u, v), u < v, at or over ``threshold`` in double precision."""
     near = edges.where(F.col("sim") >= threshold - SLACK).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
@@ -167,7 +251,7 @@ def linked(edges: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 def counted(comps: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """(node, links): the copies-weighted number of vectors linked with each node of a component, itself included.
 
-    This enlarges saturated lists to the whole component: its members are compared block by block in double
+    Lists are not asked, as they hold only the nearest: a component's members are compared block by block in double
     precision, and only the sums leave a task, not the pairs.
     """
     sizes = comps.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / (2 * BLOCK)).cast("int").alias("blocks"))
@@ -200,67 +284,78 @@ def counted(comps: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return grouped.mapInPandas(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def audited(edges: DataFrame, nodes: DataFrame, threshold: float) -> float:
-    """Share of the links of at most ``AUDIT`` query vectors, found by comparing them with all vectors, whose ends
-    ``edges`` puts in one component."""
-    asked = nodes.orderBy(F.xxhash64("node", F.lit(17))).limit(AUDIT).select("node", "label", "dim", "vec").collect()
-    queries = nodes.sparkSession.sparkContext.broadcast([(r["node"], r["label"], r["dim"], bytes(r["vec"])) for r in asked])
+def below_recall(comps: DataFrame, nodes: DataFrame, groups: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """The ``groups`` (label, dim, n) in which too few links of the query vectors have both ends in one component.
+
+    Query vectors are drawn in every group that is not compared completely anyway, more in larger ones, and compared with the whole group.
+    """
+    asked = F.greatest(F.lit(float(AUDIT)), F.sqrt("n"))
+    big = groups.where(F.col("n") > BLOCK).select("label", "dim", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"), F.ceil(asked / F.col("n") * 1_000_000).alias("share"))
+    members = nodes.join(big, ["label", "dim"]).join(comps, "node", "left").select(
+        "label", "dim", "chunks", "share", "node", F.coalesce("component", "node").alias("component"), "vec"
+    )
+    queries = members.where(F.pmod(F.xxhash64("node", F.lit(17)), F.lit(1_000_000)) < F.col("share")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    rows = members.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).withColumn("ask", F.lit(False)).unionByName(queries.withColumn("ask", F.lit(True)))
+    chunks = rows.groupBy("label", "dim", "chunk").agg(F.collect_list(F.struct("ask", "node", "component", "vec")).alias("m"))
 
     def compare(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        by: dict = {}
-        for node, label, dim, vec in queries.value:
-            by.setdefault((label, dim), []).append((node, vec))
         for p in parts:
-            rows = []
-            for key, q in p.groupby(["label", "dim"]):
-                if key in by:
-                    ask = by[key]
-                    ids = q["node"].to_numpy()
-                    for i, j in np.argwhere(_matrix([v for _, v in ask]) @ _matrix(q["vec"]).T >= threshold):
-                        rows.append((ask[i][0], ids[j]))
-            yield pd.DataFrame(rows, columns=["u", "v"], dtype=np.int64)
-
-    true = nodes.mapInPandas(compare, "u long, v long").where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    comps = connected_components(edges)
-    cu, cv = comps.select(F.col("node").alias("u"), F.col("component").alias("cu")), comps.select(F.col("node").alias("v"), F.col("component").alias("cv"))
-    r = true.join(cu, "u", "left").join(cv, "v", "left").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("cu") == F.col("cv"), 1).otherwise(0)).alias("hit")).first()
-    return 1.0 if not r["n"] else r["hit"] / r["n"]
+            out = []
+            for label, dim, m in zip(p["label"], p["dim"], p["m"]):
+                ask = np.array([r["ask"] for r in m], dtype=bool)
+                ids = np.array([r["node"] for r in m], dtype=np.int64)
+                comp = np.array([r["component"] for r in m], dtype=np.int64)
+                if ask.any() and not ask.all():
+                    x = _matrix([r["vec"] for r in m])
+                    hit = (x[ask] @ x[~ask].T >= threshold) & (ids[ask][:, None] != ids[~ask])
+                    out.append((label, dim, hit.sum(), (hit & (comp[ask][:, None] == comp[~ask])).sum()))
+            yield pd.DataFrame(out, columns=["label", "dim", "links", "hits"])
+
+    shares = chunks.mapInPandas(compare, "label long, dim int, links long, hits long").groupBy("label", "dim").agg(F.sum("links").alias("links"), F.sum("hits").alias("hits"))
+    return groups.join(shares.where(F.col("hits") < recall * F.col("links")), ["label", "dim"], "left_semi")
 
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, k: int = K, rounds: int = 3, recall: float = 0.995, more: int = 3) -> DataFrame:
     """Per vector: vec_id, n_links, component_id and kept, over links with equal label and cosine at or over ``threshold``.
 
     Exactly equal vectors of a label are one node with a count. A first graph joins neighbours inside random cells; each round
-    then compares every node's neighbours with one another and keeps the nearest, with longer lists for nodes whose list
-    is saturated (its last entry is still a link). A round that finds fewer than a thousandth new list entries is the last. The audit
-    compares up to ``AUDIT`` vectors with all; below ``recall``, further random cells and a round are added, ``more`` times
-    at most. Threshold edges make the components, and links are counted over each component in double precision.
+    then compares every node's neighbours with one another and keeps the nearest, as many inside the node's component as outside.
+    Every comparison of a block also returns links that join all components its links join, however many neighbours are closer. Rounds end when one joins no components and is the ``rounds``-th or finds fewer than a thousandth new list entries. The audit
+    then compares query vectors of each label with the whole label; below ``recall``, further random cells and rounds are added, ``more`` times
+    at most, and labels still below it are compared completely. Links are counted over each component in double precision.
 
     Vectors that are null, empty, zero or hold null or non-finite components, or have a null label, link with nothing: n_links 0 and
     their own component. Vectors of different lengths never link. Null vec_id: counts as a vector, never the smallest unless
     alone (its component_id is then null, and kept true). Repeated rows: equal vectors. Extra columns are left out. Empty table: no rows.
     """
     nodes = stored(usable(vectors), "vector-nodes")
-    largest = nodes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
-    graph = stored(shortened(first_graph(nodes, range(TABLES), k, largest).withColumn("old", F.lit(False)), k), "vector-graph")
-    edges = None
-    turn = 0
-    for extra in range(more + 1):
-        for _ in range(rounds if not extra else 1):
-            turn += 1
-            found = descended(graph, nodes, turn).withColumn("old", F.lit(False))
-            graph = stored(shortened(graph.withColumn("old", F.lit(True)).unionByName(found), k), "vector-graph")
-            fresh = graph.where("NOT old").count()
-            size = graph.count()
-            if fresh * 1000 < size:
-                break
-        edges = stored(linked(graph, nodes, threshold), "vector-links")
-        if extra == more or audited(edges, nodes, threshold) >= recall:
+    groups = stored(nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")), "vector-groups")
+    found = stored(first_graph(nodes, None, groups, range(TABLES), k, threshold), "vector-found")
+    comps, _ = joined(None, found, nodes, threshold)
+    graph = stored(shortened(found.withColumn("old", F.lit(False)), comps, k), "vector-graph")
+
+    def longer() -> DataFrame:
+        both = graph.withColumn("old", F.lit(True)).unionByName(found.select("u", "v", "sim", F.lit(False).alias("old")))
+        return stored(shortened(both, comps, k), "vector-graph")
+
+    turn = extra = 0
+    while True:
+        turn += 1
+        found = stored(descended(graph, nodes, comps, turn, k, threshold), "vector-found")
+        comps, moved = joined(comps, found, nodes, threshold)
+        graph = longer()
+        if moved or turn < rounds and graph.where("NOT old").count() * 1000 >= graph.count():
+            continue
+        low = stored(below_recall(comps, nodes, groups, threshold, recall), "vector-low")
+        if low.isEmpty():
+            break
+        if extra == more:
+            comps, _ = joined(comps, compared(nodes, comps, low, threshold), nodes, threshold)
             break
-        begin = TABLES * (extra + 1)
-        cells = first_graph(nodes, range(begin, begin + TABLES), k, largest).withColumn("old", F.lit(False))
-        graph = stored(shortened(graph.withColumn("old", F.lit(True)).unionByName(cells), k), "vector-graph")
-    comps = stored(connected_components(edges), "vector-components")
+        extra += 1
+        found = stored(first_graph(nodes, comps, groups, range(TABLES * extra, TABLES * (extra + 1)), k, threshold), "vector-found")
+        comps, _ = joined(comps, found, nodes, threshold)
+        graph = longer()
     links = counted(comps, nodes, threshold)
     alone = nodes.select("node", "copies").join(comps, "node", "left").join(links, "node", "left")
     of_node = alone.select("node", F.coalesce("component", "node").alias("component"), (F.coalesce("links", "copies") - 1).alias("n_links"))

@@ -127,6 +127,27 @@ def test_vectors_against_all_pairs(spark):
     assert nn_descent.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_with_more_close_neighbours_than_a_list(spark):
+    """Sub-groups of 20 whose links to other sub-groups all lie behind closer neighbours, in one block and over several."""
+    for groups, dim in ((12, 64), (40, 64)):
+        rng = np.random.default_rng(groups)
+        centre = rng.standard_normal(dim)
+        centre /= np.linalg.norm(centre)
+        rows = []
+        for _ in range(groups):
+            off = rng.standard_normal(dim)
+            off -= off @ centre * centre
+            mid = centre + 0.115 * off / np.linalg.norm(off)
+            rows += [(len(rows) + k, [float(x) for x in mid + 0.0005 * rng.standard_normal(dim)], 1) for k in range(20)]
+        x = np.array([np.float32(r[1]).astype(float) for r in rows])
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        hit = x @ x.T >= 0.98
+        comp = union([(i, j) for i, j in np.argwhere(hit) if i < j], range(len(rows)))
+        assert set(comp.values()) == {0} and hit.sum() > 30 * len(rows)
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nn_descent.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+        assert got == {i: (hit[i].sum() - 1, 0) for i in range(len(rows))}
+
+
 # n-grams
 
 def test_ngram_links_against_all_pairs(spark):
