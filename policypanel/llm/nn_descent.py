@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,9 +119,10 @@ def placed(nodes: DataFrame, comps: DataFrame | None) -> DataFrame:
 def first_graph(nodes: DataFrame, comps: DataFrame | None, groups: DataFrame, tables: range, k: int, threshold: float) -> DataFrame:
     """Neighbours and links inside random cells: one cell per table and sign pattern of random projections.
 
-    Cells over ``BLOCK`` rows are dealt into blocks at random; later rounds join what a cell's blocks part.
+    Each label and length (``groups``) has as many sign bits as its own size asks for. One that fits a block is one cell, compared completely
+    in table 0. Cells over ``BLOCK`` rows are dealt into blocks at random; later rounds join what a cell's blocks part.
     """
-    bits = F.lit(max(0, math.ceil(math.log2(max(1, (groups.agg(F.max("n")).first()[0] or 0) / CELL)))))
+    bits = F.when(F.col("n") <= BLOCK, 0).otherwise(F.ceil(F.log2(F.col("n") / CELL))).cast("int")
     sized = nodes.join(groups.select("label", "dim", bits.alias("bits")), ["label", "dim"])
 
     def cells(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -148,6 +148,24 @@ def test_vectors_with_more_close_neighbours_than_a_list(spark):
         assert got == {i: (hit[i].sum() - 1, 0) for i in range(len(rows))}
 
 
+def test_vectors_of_a_small_label_beside_a_hot_one(spark, monkeypatch):
+    """Isolated pairs of a label that fits one block, beside a label large enough for 18 sign bits."""
+    monkeypatch.setattr(nn_descent, "CELL", 1 / 64)
+    rng = np.random.default_rng(8)
+    rows = []
+    for _ in range(300):
+        centre = rng.standard_normal(48)
+        rows += [(len(rows) + k, [float(x) for x in centre + 0.001 * rng.standard_normal(48)], 0) for k in range(10)]
+    for i in range(100):
+        x, y = rng.standard_normal((2, 48))
+        x /= np.linalg.norm(x)
+        y -= y @ x * x
+        y *= 0.195 / np.linalg.norm(y)
+        rows += [(10_000 + 2 * i, [float(a) for a in x], 1), (10_001 + 2 * i, [float(a) for a in x + y], 1)]
+    got = {r["vec_id"]: r["component_id"] for r in nn_descent.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    assert [i for i in range(10_000, 10_200) if got[i] != i // 2 * 2] == []
+
+
 # n-grams
 
 def test_ngram_links_against_all_pairs(spark):
