@@ -8,8 +8,8 @@ from pyspark.sql.window import Window
 
 from policypanel.llm.common import connected_components, stored
 
-#: A shingle is the characters from a word's start to so many characters into the next word.
-NEXT_CHARS = 6
+#: Characters of a shingle; there is one at every position.
+CHARS = 5
 #: Lines with fewer words are too short to be told apart from chance and are left alone.
 MIN_WORDS = 5
 #: Hashes per band key. Lines with fewer shingles than ``SHORT`` have a key from every run of sorted hashes, others
@@ -32,10 +32,11 @@ def exploded(docs: DataFrame) -> DataFrame:
 
 
 def shingles(line: Column) -> Column:
-    """Sorted distinct hashes of the line's character shingles, in lower case."""
-    words = F.split(F.lower(line), " ")
-    one = lambda ws: F.transform(ws, lambda w, i: F.xxhash64(w, F.substring(F.get(ws, i + 1), 1, NEXT_CHARS)))
-    return F.sort_array(F.array_distinct(F.get(F.transform(F.array(words), one), F.lit(0))))
+    """Sorted distinct hashes of the runs of ``CHARS`` characters (code points) at every position, in lower case; a shorter line is one run."""
+    low = F.lower(line)
+    runs = F.regexp_extract_all(low, F.lit(r"(?s)(?=(.{%d}))." % CHARS), F.lit(1))
+    hashes = F.transform(F.when(F.length(low) < CHARS, F.array(low)).otherwise(runs), lambda x: F.xxhash64(x))
+    return F.sort_array(F.array_distinct(hashes))
 
 
 def band_keys(h: Column) -> Column:

@@ -287,6 +287,32 @@ def test_lines_against_all_pairs(spark):
     assert line_dedup.line_decisions(df.limit(0)).count() == 0
 
 
+def character_links(lines):
+    """Line numbers by component, over brute-force Jaccard similarity of the sets of five characters at every position."""
+    low = [x.lower() for x in lines]
+    sets = [{x[k : k + 5] for k in range(max(1, len(x) - 4))} for x in low]
+    ids = range(len(lines))
+    return union([(a, b) for a, b in itertools.combinations(ids, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])], ids)
+
+
+def test_lines_by_character_shingles(spark):
+    """Lines under 18 words with one edited character or word, tabs between words, characters beyond the basic plane."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 8)))
+    lines = []
+    for n in (6, 8, 10, 12, 16):
+        for _ in range(4):
+            w = [word() for _ in range(n)]
+            edited = [*w]
+            edited[n // 2] = edited[n // 2][:2] + "z" + edited[n // 2][3:]
+            lines += [" ".join(w), " ".join(edited), "\t".join(w), "\t".join(edited), " ".join([*w[:2], "other", *w[3:]])]
+    lines += ["😀😁😂 a b c d e f", "😃😄😅 a b c d e f", "A B C D E F G H", "a b c d e f g h"]
+    got = {r["doc_id"]: r["kept"] for r in line_dedup.line_decisions(documents(spark, list(enumerate(lines)))).collect()}
+    comp = character_links(lines)
+    assert len(set(comp.values())) < len(lines)
+    assert got == {i: comp[i] == i for i in range(len(lines))}
+
+
 # html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><a href=/>Site</a></header><nav><ul><li>Home<li>About</ul></nav>
