@@ -10,8 +10,6 @@ from policypanel.llm.common import connected_components, stored
 
 #: Characters of a shingle; there is one at every position.
 CHARS = 5
-#: Lines with fewer words are too short to be told apart from chance and are left alone.
-MIN_WORDS = 5
 #: Hashes per band key. Lines with fewer shingles than ``SHORT`` have a key from every run of sorted hashes, others
 #: one from the start of each of 8 equal ranges of hashes.
 ROWS, SHORT = 3, 24
@@ -25,10 +23,10 @@ def doc_key() -> Column:
 
 
 def exploded(docs: DataFrame) -> DataFrame:
-    """(doc_id, doc_key, line_no, line) of the lines with enough words to be compared."""
+    """(doc_id, doc_key, line_no, line) of the lines with a word."""
     keyed = docs.select("doc_id", doc_key().alias("doc_key"), "text")
     lines = keyed.select("doc_id", "doc_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.where(F.col("line").rlike(r"^\s*+(?:\S++\s++){%d}\S" % (MIN_WORDS - 1)))
+    return lines.where(F.col("line").rlike(r"\S"))
 
 
 def shingles(line: Column) -> Column:
@@ -105,7 +103,7 @@ def wanted_shingles(lines: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def line_nodes(docs: DataFrame) -> DataFrame:
-    """One row per different compared line: node, copies, its first place (order, then doc_key), size and band keys."""
+    """One row per different line: node, copies, its first place (order, then doc_key), size and band keys."""
     lines = exploded(docs)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no", "doc_key")
     h = lines.select(node_of(F.col("line")).alias("node"), order.alias("first"), shingles(F.col("line")).alias("h"))
@@ -175,9 +173,9 @@ def pairs_with_heads(mixed: DataFrame) -> DataFrame:
 
 
 def line_decisions(docs: DataFrame) -> DataFrame:
-    """Every compared line of ``docs`` (doc_id, text): doc_id, doc_key, line_no (from 0), component (hex) and kept.
+    """Every line of ``docs`` (doc_id, text): doc_id, doc_key, line_no (from 0), component (hex) and kept.
 
-    Compared are lines with at least ``MIN_WORDS`` words. Lines whose shingle sets have a Jaccard similarity
+    Lines without a word have no row. Equal lines, and lines whose shingle sets have a Jaccard similarity
     of at least ``THRESHOLD`` are linked; of each component the first line, by doc_id then line number, is kept. Null text: no
     lines. Null doc_id: comes last. Identical rows share their decisions, so each of them has the kept line; ``without_near_copies``
     leaves one. Extra columns are left out. Empty table: no rows.

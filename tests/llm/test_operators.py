@@ -313,6 +313,17 @@ def test_lines_by_character_shingles(spark):
     assert got == {i: comp[i] == i for i in range(len(lines))}
 
 
+def test_lines_of_few_words(spark):
+    """Copies and near copies of lines with one to four words, or without spaces, count like any other."""
+    texts = ["Read more\nShare this article", "Read more\nonly here\n \n", "x\nShare this articles", "中文的一行没有空格的文字很长\nx", "中文的一行没有空格的文字很长啊\nX\nxy", None, "", " \n\t"]
+    df = documents(spark, list(enumerate(texts)))
+    got = {(r["doc_id"], r["line_no"]): r["kept"] for r in line_dedup.line_decisions(df).collect()}
+    lines = [(i, k, x) for i, t in enumerate(texts) for k, x in enumerate((t or "").split("\n")) if x.strip()]
+    comp = character_links([x for *_, x in lines])
+    assert got == {(i, k): comp[n] == n for n, (i, k, _) in enumerate(lines)}
+    assert {r["doc_id"]: r["text"] for r in line_dedup.without_near_copies(df).collect()} == {0: texts[0], 1: "only here\n \n", 2: "x", 3: "中文的一行没有空格的文字很长", 4: "xy", 5: None, 6: "", 7: " \n\t"}
+
+
 # html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><a href=/>Site</a></header><nav><ul><li>Home<li>About</ul></nav>
