@@ -25,7 +25,9 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-BOILER_TAGS = frozenset("nav aside footer form menu dialog button head fieldset".split())
+BOILER_TAGS = frozenset("nav aside footer menu dialog button head".split())
+#: Furniture too, but they also wrap whole pages: an article inside is one.
+WRAPPER_TAGS = frozenset("form fieldset header".split())
 MAIN_TAGS = frozenset(["article", "main"])
 #: Words in class, id or role that name page furniture, and those that name the article.
 BOILER_NAMES = frozenset(
@@ -34,14 +36,21 @@ BOILER_NAMES = frozenset(
     "cookie cookies consent gdpr notice notices alert alerts notification popup modal overlay newsletter subscribe subscription signup signin login register form search "
     "searchbox related recommended recommendations recirc share sharing social widget widgets pagination pager skip copyright legal disclaimer complementary contentinfo tooltip".split()
 )
+COMMENT_NAMES = frozenset("comment comments commentlist disqus respond reply replies discussion feedback".split())
+#: Words that say nothing beside a furniture word.
+PLAIN_NAMES = frozenset("area list section wrap wrapper container box block thread top bottom left right main inner outer".split())
 MAIN_NAMES = frozenset("article content main post entry story body text".split())
 #: A start tag of the key ends an open element of the values, up to the scope.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("article aside blockquote body div dl fieldset figure footer form header html main menu nav ol section table td th ul".split())
 _KEEP_OPEN = {"li": frozenset(["ul", "ol", "menu"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"]), "tr": frozenset(["table"]), "td": frozenset(["tr", "table"]), "th": frozenset(["tr", "table"]), "option": frozenset()}
 
-#: Terminal capacities. A block under a named part of the page is all but decided; others lean by their text.
+#: Terminal capacities. A block in a furniture or article element is all but decided; others lean by their text.
 SURE, LEAN = 4000, 60
+#: What furniture names cost a block: on elements named by nothing else, on others, inside an article, on those that hold most of the
+#: page's text, on text elements and headings (inline tags: nothing); and what an article's block with such a name has for it.
+ONLY, NAMED, INSIDE, WRAPPER, SMALL, ARTICLE = 400, 160, 90, 20, 30, 100
+SECTIONS = frozenset("article body center details div dl html ol section td ul".split())
 #: Smoothness capacities: neighbours in page order, more if they have the same parent, and next siblings in the tree.
 NEXT, SAME_PARENT, SIBLING = 15, 30, 25
 
@@ -59,27 +68,35 @@ def _names(attrs: str) -> tuple[set[str], bool]:
     return names, hidden
 
 
-def _zone(zone: int, tag: str, attrs: str) -> int:
-    """-1 page furniture, 1 article, 0 unknown; furniture holds for everything inside."""
-    if zone < 0 or tag in BOILER_TAGS:
-        return -1
+def _zone(zone: int, tag: str, attrs: str) -> tuple[int, set[str], bool]:
+    """The zone: -2 furniture with everything inside, -1 furniture but for an article inside, 1 article, 0 unknown. Then the
+    furniture words that name the element, and whether nothing else names it."""
+    if zone < -1 or tag in BOILER_TAGS:
+        return -2, set(), False
     names, hidden = _names(attrs) if attrs and "=" in attrs or " hidden" in attrs else (set(), False)
     if hidden:
-        return -1
+        return -2, set(), False
     bad, good = names & BOILER_NAMES, names & MAIN_NAMES
-    if bad and not (good and bad <= {"header", "head", "side"}) and tag not in ("body", "html"):
-        return -1
-    if tag == "header" and zone <= 0 and not good:
-        return -1
-    if tag in MAIN_TAGS or good and tag in ("div", "section", "td") or "main" in names:
-        return 1
-    return zone
-
-
-def blocks(page: str) -> list[tuple[str, int, int, int]]:
-    """(text, zone, parent element, characters inside links) of the text blocks in page order."""
-    out: list[tuple[str, int, int, int]] = []
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]  # tag, zone, number of its nearest block element
+    if good and bad <= {"header", "head", "side"} or tag in ("body", "html"):
+        bad = set()
+    only = bool(bad) and names <= BOILER_NAMES | PLAIN_NAMES
+    if tag in MAIN_TAGS or "main" in names and not bad:
+        return 1, bad, only
+    if zone < 0 or tag in WRAPPER_TAGS and (tag != "header" or zone <= 0 and not good):
+        return -1, set(), False
+    if good and not bad and tag in ("div", "section", "td"):
+        return 1, bad, only
+    return zone, bad, only
+
+
+Block = tuple[str, int, int, int, tuple[int, int]]
+
+
+def blocks(page: str) -> list[Block]:
+    """(text, zone, parent element, characters inside links, (inside an article, what names cost)) of the text blocks in page order."""
+    out: list[tuple[str, int, int, int, tuple[int, ...]]] = []
+    marks: list[tuple[int, bool, bool]] = []  # what an element's furniture names cost, whether nothing else names it, whether they say comments
+    stack: list[tuple[str, int, int, tuple[int, ...]]] = [("", 0, 0, ())]  # tag, zone, number of its nearest block element, marks
     buf: list[str] = []
     serial = linked = links = 0
 
@@ -90,9 +107,21 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
             buf.clear()
             text = " ".join((unescape(text) if "&" in text else text).split())
             if text:
-                out.append((text, stack[-1][1], stack[-1][2], linked))
+                out.append((text, stack[-1][1], stack[-1][2], linked, stack[-1][3]))
         linked = 0
 
+    def entered(tag: str, attrs: str) -> tuple[int, tuple[int, ...]]:
+        zone, bad, only = _zone(stack[-1][1], tag, attrs)
+        own = stack[-1][3]
+        if tag in MAIN_TAGS or zone > 0 >= stack[-1][1]:
+            # an article is no furniture because of what is around it, but for comments
+            own = tuple(k for k in own if marks[k][2])
+        if bad and tag in BLOCK:
+            cost = SMALL if tag not in SECTIONS else INSIDE if stack[-1][1] > 0 else NAMED
+            marks.append((ONLY if only and tag in SECTIONS else cost, only, bool(bad & COMMENT_NAMES)))
+            own += (len(marks) - 1,)
+        return zone, own
+
     at, n = 0, len(page)
     find = _TOKEN.search
     while at < n:
@@ -123,7 +152,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
             else:
                 i = 0
             if i:
-                if tag in BLOCK or any(s[0] in BLOCK or s[1] != stack[i - 1][1] for s in stack[i:]):
+                if tag in BLOCK or any(s[0] in BLOCK or s[1] != stack[i - 1][1] or s[3] != stack[i - 1][3] for s in stack[i:]):
                     flush()
                 links -= sum(s[0] == "a" for s in stack[i:])
                 del stack[i:]
@@ -141,7 +170,6 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
             elif tag != "wbr":
                 buf.append(" ")
             continue
-        zone = _zone(stack[-1][1], tag, attrs)
         if tag in BLOCK:
             flush()
             ends = CLOSES.get(tag, ())
@@ -155,18 +183,37 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
             if cut:
                 links -= sum(s[0] == "a" for s in stack[cut:])
                 del stack[cut:]
-                zone = _zone(stack[-1][1], tag, attrs)
+            zone, own = entered(tag, attrs)
             serial += 1
-            stack.append((tag, zone, serial))
+            stack.append((tag, zone, serial, own))
         else:
-            if zone != stack[-1][1]:
+            zone, own = entered(tag, attrs)
+            if zone != stack[-1][1] or own != stack[-1][3]:
                 flush()
             links += tag == "a"
-            stack.append((tag, zone, stack[-1][2]))
+            stack.append((tag, zone, stack[-1][2], own))
         if attrs.endswith("/") and tag not in BLOCK:
             links -= tag == "a"
             stack.pop()
     flush()
+    return _named(out, marks)
+
+
+def _named(found: list[tuple[str, int, int, int, tuple[int, ...]]], marks: list[tuple[int, bool, bool]]) -> list[Block]:
+    """Blocks with the cost of the names around them, less for elements that hold most of the page's text."""
+    chars = [0] * len(marks)
+    for b in found:
+        for k in b[4]:
+            chars[k] += len(b[0])
+    half = sum(len(b[0]) for b in found) / 2
+    cost = [c if only and comments else min(c, 3 * WRAPPER if only else WRAPPER) if n > half else c for (c, only, comments), n in zip(marks, chars)]
+    out = []
+    for text, zone, parent, linked, own in found:
+        if own and zone >= 0:
+            inside = zone > 0 and not any(marks[k][2] and cost[k] > INSIDE for k in own)
+            out.append((text, 0, parent, linked, (int(inside), max(cost[k] for k in own))))
+        else:
+            out.append((text, zone, parent, linked, (0, 0)))
     return out
 
 
@@ -181,10 +228,11 @@ def _lean(text: str, linked: int) -> int:
     return max(-LEAN * 3, min(LEAN * 3, score))
 
 
-def costs(found: list[tuple[str, int, int, int]]) -> list[int]:
+def costs(found: list[Block]) -> list[int]:
     """Per block: over 0 what it costs to call it boilerplate, under 0 what it costs to call it content."""
-    has_main = any(z > 0 for _, z, _, _ in found)
-    return [SURE * z if z else _lean(t, linked) - (2 * LEAN if has_main else 0) for t, z, _, linked in found]
+    has_main = any(z > 0 or inside for _, z, _, _, (inside, _) in found)
+    outside = 2 * LEAN if has_main else 0
+    return [SURE * (1 if z > 0 else -1) if z else _lean(t, linked) + (ARTICLE if inside else -outside) - named for t, z, _, linked, (inside, named) in found]
 
 
 def min_cut(cost: list[int], edges: dict[int, dict[int, int]]) -> list[bool]:
@@ -220,13 +268,13 @@ def min_cut(cost: list[int], edges: dict[int, dict[int, int]]) -> list[bool]:
             flow[a][b] = flow[a].get(b, 0) + push
 
 
-def label(found: list[tuple[str, int, int, int]]) -> list[bool]:
+def label(found: list[Block]) -> list[bool]:
     """True for content. Runs of blocks with the same sure label are one node, so the graph stays small on long pages."""
     cost = costs(found)
     node: list[int] = []
     total: list[int] = []
     sure = 0
-    for c, (_, zone, _, _) in zip(cost, found):
+    for c, (_, zone, _, _, _) in zip(cost, found):
         if zone and zone == sure:
             total[-1] += c
         else:
@@ -254,13 +302,13 @@ def label(found: list[tuple[str, int, int, int]]) -> list[bool]:
 
 
 def main_text(page: str | None) -> str:
-    """Text of the content blocks; where the cut finds none, of all blocks outside the named furniture."""
+    """Text of the content blocks; where the cut finds none, of all blocks outside furniture elements."""
     found = blocks(page or "")
     if not found:
         return ""
     side = label(found)
     if not any(side):
-        side = [zone >= 0 for _, zone, _, _ in found]
+        side = [b[1] >= 0 for b in found]
     return "\n".join(b[0] for b, keep in zip(found, side) if keep)
 
 

@@ -339,6 +339,20 @@ def test_html_main_text():
     assert html_extract.main_text("<!-- never closed <p>text") == ""
 
 
+def test_html_names_do_not_decide_alone():
+    prose = "A paragraph of some length, with a few words in it, that ends like a sentence does."
+    page = f"<body><div id=page class='site has-sidebar'><div class=sidebar><ul><li><a href=/a>Home</a><li><a href=/b>More</a></ul></div>{{}}</div>"
+    assert html_extract.main_text(page.format(f"<p>{prose}</p><p>{prose}</p>")) == f"{prose}\n{prose}"
+    assert html_extract.main_text(page.format(f"<article><p>{prose}</p></article>")) == prose
+    assert html_extract.main_text(f"<form class='search-page'><main><p>{prose}</p></main></form>") == prose
+    inside = f"<h2 id='legal-history'>Legal history</h2><section id='search-methods'><h3>Methods</h3><p>{prose}</p></section><p class='side-note'>A side note.</p><table id='register-data'><tr><td>12<td>ab</table><p>See <span class='alert'>this</span> too."
+    want = f"{prose}\nLegal history\nMethods\n{prose}\nA side note.\n12\nab\nSee this too."
+    furniture = "<div class='share-buttons'><a href=/x>Share on one</a> <a href=/y>Share on two</a></div><div class='newsletter-signup'>Subscribe to our weekly letter.</div>"
+    assert html_extract.main_text(f"<article><p>{prose}</p>{inside}{furniture}</article>") == want
+    comments = f"<div id=comments class='comments-area'><article><p>{prose}</p></article><article><p>{prose}</p></article></div>"
+    assert html_extract.main_text(f"<div class='page comments-open'><article><p>Its own text, short.</p></article>{comments}</div>") == "Its own text, short."
+
+
 def test_html_minimum_cut_is_minimal():
     rng = random.Random(4)
     for _ in range(50):
