@@ -33,9 +33,10 @@ def events_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def events_prepare(spark: SparkSession, d: str) -> DataFrame:
-    lo, hi = R.EVENT_WINDOW
+    # rows, not annualised rates: a trailing partial year stays
+    lo, _ = R.EVENT_WINDOW
     prepared = C.prepare_events(X.line_text_events(spark, d), X.TEXT_DATE, X.TEXT_COUNTS,
-                                cut=R.EVENT_CUT, year_min=lo, year_max=hi)
+                                cut=R.EVENT_CUT, year_min=lo)
     return prepared.select(
         "l_orderkey", "l_linenumber",
         F.date_format("event_date", "yyyy-MM-dd").alias("event_date"),

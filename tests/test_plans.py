@@ -115,3 +115,11 @@ def test_runtime_bloom_filter_prunes_orders_at_scale(spark):
     orders_filter = [blk for blk in text.split("\n\n") if "might_contain" in blk
                      and "o_custkey" in blk]
     assert orders_filter, "no runtime filter on the orders side"
+
+
+def test_events_prepare_keeps_the_last_year(spark):
+    from __spark_entry__ import queries
+    from tests.conftest import SF001
+    rows = spark.read.parquet(f"{SF001}/lineitem.parquet").where("year(l_shipdate) >= 1995").count()
+    got = queries()["events_prepare"](spark, SF001)
+    assert got.count() == rows and got.agg({"year": "max"}).first()[0] == 2001
