@@ -16,17 +16,21 @@ def virtual_slot(*cols: Column, slots: int = SLOTS) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(slots)).cast("int")
 
 
-def slot_sizes(rows: DataFrame) -> list[tuple[int, int, int]]:
-    """(virtual slot, bytes, rows), one per slot in use: at most as many as there are slots."""
+def slot_sizes(rows: DataFrame, slots: int = SLOTS) -> list[tuple[int, int, int]]:
+    """(virtual slot, bytes, rows) of every slot, in use or not."""
     got = rows.groupBy("virtual_slot").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()
-    return sorted((r["virtual_slot"], r["b"], r["n"]) for r in got)
+    used = {r["virtual_slot"]: (r["b"], r["n"]) for r in got}
+    return [(s, *used.get(s, (0, 0))) for s in range(slots)]
 
 
 def first_map(sizes: list[tuple[int, int, int]], shards: int) -> dict[int, int]:
-    """Largest slot first, each to the shard with the fewest bytes so far."""
+    """Largest slot first, each to the shard with the fewest bytes so far; empty slots in turn."""
     heap = [(0, s) for s in range(shards)]
     out = {}
     for slot, size, _ in sorted(sizes, key=lambda x: (-x[1], x[0])):
+        if not size:
+            out[slot] = slot % shards
+            continue
         used, shard = heapq.heappop(heap)
         out[slot] = shard
         heapq.heappush(heap, (used + size, shard))
@@ -77,12 +81,33 @@ def place(rows: DataFrame, slot_map: DataFrame, order: list[str]) -> DataFrame:
 
     Virtual slots follow each other inside a shard in the order of their numbers; the map's row counts give where each one
     begins, and rows are numbered within a virtual slot, so the numbering runs over thousands of tasks. The map is broadcast: one row per slot.
+    A row whose virtual slot the map lacks is an error.
     """
     w = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = slot_map.select("virtual_slot", "shard", F.coalesce(F.sum("slot_rows").over(w), F.lit(0)).alias("begins"))
     inside = Window.partitionBy("virtual_slot").orderBy(*order)
     numbered = rows.withColumn("nth", F.row_number().over(inside) - 1)
-    return numbered.join(F.broadcast(starts), "virtual_slot").withColumn("slot", (F.col("begins") + F.col("nth")).cast("long")).drop("begins", "nth")
+    lost = F.raise_error(F.concat(F.lit("the slot map lacks virtual slot "), F.col("virtual_slot").cast("string"))).cast("int")
+    placed = numbered.join(F.broadcast(starts), "virtual_slot", "left").withColumn("shard", F.coalesce("shard", lost))
+    return placed.withColumn("slot", (F.col("begins") + F.col("nth")).cast("long")).drop("begins", "nth")
+
+
+def slotted(docs: DataFrame, slots: int) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    ).withColumn("virtual_slot", virtual_slot(F.col("doc_id"), F.col("text_crc32"), slots=slots))
+
+
+def reshard_documents(docs: DataFrame, path: str, version: int, shards: int, slots: int = SLOTS) -> DataFrame:
+    """Documents, earlier and later ones, placed by the map of ``version`` under ``path`` edited for ``shards`` shards and their present
+    sizes; writes it as the next version. Rows as in ``shard_documents``."""
+    spark = docs.sparkSession
+    rows = slotted(docs, slots)
+    old = {r["virtual_slot"]: r["shard"] for r in read_map(spark, path, version).collect()}
+    sizes = slot_sizes(rows, slots)
+    write_map(spark, path, version + 1, rebalanced(old, sizes, shards), sizes)
+    return place(rows, read_map(spark, path, version + 1), ["doc_id", "text_crc32", "size"])
 
 
 def shard_documents(docs: DataFrame, path: str, shards: int = 16, slots: int = SLOTS) -> DataFrame:
@@ -93,10 +118,7 @@ def shard_documents(docs: DataFrame, path: str, shards: int = 16, slots: int = S
     text. Identical rows share a slot and are all kept. Extra columns are left out. Empty table: no rows.
     """
     spark = docs.sparkSession
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
-    ).withColumn("virtual_slot", virtual_slot(F.col("doc_id"), F.col("text_crc32"), slots=slots))
-    sizes = slot_sizes(rows)
+    rows = slotted(docs, slots)
+    sizes = slot_sizes(rows, slots)
     write_map(spark, path, 1, first_map(sizes, shards), sizes)
     return place(rows, read_map(spark, path, 1), ["doc_id", "text_crc32", "size"])

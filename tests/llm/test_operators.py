@@ -229,6 +229,24 @@ def test_shards_are_even_and_rebalancing_moves_little(spark):
     assert sharding.shard_documents(documents(spark, rows).limit(0), scratch(spark, "test-map")).count() == 0
 
 
+def test_later_rows_are_placed_by_the_stored_map(spark):
+    rows = [(i, "x" * (i % 97)) for i in range(300)]
+    path = scratch(spark, "test-map")
+    first = sharding.shard_documents(documents(spark, rows), path, shards=4).toPandas()
+    assert sharding.read_map(spark, path, 1).count() == sharding.SLOTS
+    rows += [(i, "y" * (i % 89)) for i in range(300, 2000)]
+    assert sharding.place(sharding.slotted(documents(spark, rows), sharding.SLOTS), sharding.read_map(spark, path, 1), ["doc_id"]).count() == 2000
+    got = sharding.reshard_documents(documents(spark, rows), path, 1, 5).toPandas()
+    assert len(got) == 2000 and len(first) == 300
+    new = {r["virtual_slot"]: r["shard"] for r in sharding.read_map(spark, path, 2).collect()}
+    assert len(new) == sharding.SLOTS and all(new[r.virtual_slot] == r.shard for r in got.itertuples())
+    for _, g in got.groupby("shard"):
+        assert sorted(g["slot"]) == list(range(len(g)))
+    short = sharding.read_map(spark, path, 2).where("virtual_slot % 2 = 0")
+    with pytest.raises(Exception, match="lacks virtual slot"):
+        sharding.place(sharding.slotted(documents(spark, rows), sharding.SLOTS), short, ["doc_id"]).collect()
+
+
 # quality
 
 def test_quality_measures_and_cascade(spark):
