@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from policypanel.llm.common import connected_components, stored
 
@@ -120,10 +119,9 @@ def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     still in different components, with two others; then, for keys still mixed, all pairs across components. Pairs inside a
     component cannot change it and are not made.
     """
-    w = Window.partitionBy("key")
     keys = nodes.select(F.explode(F.array_distinct("keys")).alias("key"), short_id(F.col("node")).alias("node"), "n")
-    met = keys.withColumn("lo", F.min(F.struct("node", "n")).over(w)).withColumn("hi", F.max(F.struct("node", "n")).over(w)).where(F.col("lo.node") != F.col("hi.node"))
-    met = stored(met, "line-met")
+    ends = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).where(F.col("lo.node") != F.col("hi.node"))
+    met = stored(keys.join(ends, "key"), "line-met")
 
     places = nodes.select(short_id(F.col("node")).alias("node"), F.xxhash64("first.doc_key", "first.line_no").alias("place"))
     sets = stored(wanted_shingles(exploded(docs), places.join(met.select("node").distinct(), "node", "left_semi")), "line-shingles")

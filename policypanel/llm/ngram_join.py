@@ -10,7 +10,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from policypanel.llm.common import connected_components, stored
 
@@ -259,8 +258,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     tokens = nodes.select("node", "n", F.posexplode("prefix").alias("p", "token"))
 
     # round 1: a prefix shingle's nodes against the smallest of them
-    of_token, row = Window.partitionBy("token"), F.struct("node", "n", "p")
-    heads = tokens.withColumn("lo", F.min(row).over(of_token)).withColumn("hi", F.max(row).over(of_token)).where(F.col("lo.node") != F.col("hi.node"))
+    row = F.struct("node", "n", "p")
+    ends = tokens.groupBy("token").agg(F.min(row).alias("lo"), F.max(row).alias("hi")).where(F.col("lo.node") != F.col("hi.node"))
+    heads = tokens.join(ends, "token")
     star = heads.select("node", "n", "p", F.explode(F.array("lo", "hi")).alias("h")).where(
         (F.col("node") != F.col("h.node")) & _passes(F.col("n"), F.col("p"), F.col("h.n"), F.col("h.p"), num, den)
     )
@@ -272,8 +272,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
 
     # round 2: pairs across components
     placed = tokens.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    w = Window.partitionBy("token")
-    mixed = placed.withColumn("lo", F.min("component").over(w)).withColumn("hi", F.max("component").over(w)).where("lo <> hi").select("token", "node", "n", "p", "component")
+    ends = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    mixed = placed.join(ends.select("token"), "token", "left_semi").select("token", "node", "n", "p", "component")
     mixed = stored(mixed.join(nodes.select("node", "cells"), "node"), "ngram-mixed")
     a, b = mixed.alias("a"), mixed.alias("b")
     across = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & _passes(F.col("a.n"), F.col("a.p"), F.col("b.n"), F.col("b.p"), num, den) & (_shared_at_most(F.col("a.cells"), F.col("b.cells")) * (num + den) >= (F.col("a.n") + F.col("b.n")) * num))

@@ -1,6 +1,7 @@
 """The training-data operators on small hostile tables, against brute force."""
 
 import hashlib
+import inspect
 import itertools
 import random
 import re
@@ -342,6 +343,11 @@ def test_lines_of_few_words(spark):
     assert {r["doc_id"]: r["text"] for r in line_dedup.without_near_copies(df).collect()} == {0: texts[0], 1: "only here\n \n", 2: "x", 3: "中文的一行没有空格的文字很长", 4: "xy", 5: None, 6: "", 7: " \n\t"}
 
 
+def test_keys_and_tokens_are_not_gathered_in_one_task():
+    for module in (line_dedup, ngram_join):
+        assert not re.search(r"partitionBy\(\"(key|token)\"", inspect.getsource(module))
+
+
 # html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><a href=/>Site</a></header><nav><ul><li>Home<li>About</ul></nav>
