@@ -87,9 +87,9 @@ def _may_link(a: Column, bits_a: Column, b: Column, bits_b: Column) -> Column:
     return (shared(a, bits_a, bits_b) * (num + den) >= need) & (shared(b, bits_b, bits_a) * (num + den) >= need)
 
 
-def wanted_shingles(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, h) of the lines at the places in ``wanted`` (node, place). The lines are read and shingled again, those that a
-    bitmap of the places lets through, so neither all lines nor all their shingles are stored or shuffled."""
+def wanted_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, line) of the lines at the places in ``wanted`` (node, place). The lines are read again, those that a
+    bitmap of the places lets through, so neither all lines nor any shingles, eight times their size, are stored or shuffled."""
     slot = lambda place: F.pmod(place, F.lit(BITS))
     bits = wanted.select(slot(F.col("place")).alias("s")).groupBy(F.shiftright("s", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits")
@@ -97,8 +97,7 @@ def wanted_shingles(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     at = lines.withColumn("place", F.xxhash64("doc_key", "line_no"))
     at = at.withColumn("s", slot(F.col("place"))).withColumn("word", F.shiftright("s", 6))
     some = at.join(F.broadcast(bits), "word").where(F.expr("shiftrightunsigned(bits, cast(s & 63 as int)) & 1") == 1)
-    exact = some.select("place", "line").join(wanted, "place").dropDuplicates(["node"])
-    return exact.select("node", shingles(F.col("line")).alias("h"))
+    return some.select("place", "line").join(wanted, "place").dropDuplicates(["node"]).select("node", "line")
 
 
 def line_nodes(docs: DataFrame) -> DataFrame:
@@ -124,16 +123,16 @@ def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     met = stored(keys.join(ends, "key"), "line-met")
 
     places = nodes.select(short_id(F.col("node")).alias("node"), F.xxhash64("first.doc_key", "first.line_no").alias("place"))
-    sets = stored(wanted_shingles(exploded(docs), places.join(met.select("node").distinct(), "node", "left_semi")), "line-shingles")
+    texts = stored(wanted_lines(exploded(docs), places.join(met.select("node").distinct(), "node", "left_semi")), "line-texts")
 
     star = met.select("node", "n", F.explode(F.array("lo", "hi")).alias("head")).where((F.col("node") != F.col("head.node")) & _near(F.col("n"), F.col("head.n")))
     star = star.select(F.least("node", "head.node").alias("u"), F.greatest("node", "head.node").alias("v")).distinct()
-    comps = stored(connected_components(verified(star, sets)), "line-components")
+    comps = stored(connected_components(verified(star, texts)), "line-components")
 
     placed = met.select("key", "node").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = sets.select("node", F.size("h").alias("n"), presence(F.col("h")).alias("bits"))
+    sizes = texts.select("node", shingles(F.col("line")).alias("h")).select("node", F.size("h").alias("n"), presence(F.col("h")).alias("bits"))
     mixed = stored(still_mixed(placed).join(sizes, "node"), "line-mixed")
-    links = stored(verified(pairs_with_heads(mixed), sets), "line-links")
+    links = stored(verified(pairs_with_heads(mixed), texts), "line-links")
     comps = stored(connected_components(links.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v")))), "line-components")
     moved = mixed.drop("component").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     apart = stored(still_mixed(moved), "line-apart")
@@ -143,13 +142,15 @@ def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
         & _near(F.col("a.n"), F.col("b.n")) & _may_link(F.col("a.n"), F.col("a.bits"), F.col("b.n"), F.col("b.bits")),
     ).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
-    return connected_components(verified(across, sets).unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+    return connected_components(verified(across, texts).unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (u, v) of nodes whose shingle sets are similar enough."""
-    both = pairs.join(sets.select(F.col("node").alias("v"), F.col("h").alias("hv")), "v").join(sets.select(F.col("node").alias("u"), F.col("h").alias("hu")), "u")
-    return both.where(_linked(F.col("hu"), F.col("hv"))).select("u", "v")
+    both = pairs.join(texts.select(F.col("node").alias("v"), F.col("line").alias("lv")), "v").join(texts.select(F.col("node").alias("u"), F.col("line").alias("lu")), "u")
+    # in an array of one, so that the sets are made once for a pair
+    sets = F.array(F.struct(shingles(F.col("lu")).alias("a"), shingles(F.col("lv")).alias("b")))
+    return both.where(F.exists(sets, lambda x: _linked(x["a"], x["b"]))).select("u", "v")
 
 
 def still_mixed(placed: DataFrame) -> DataFrame:
