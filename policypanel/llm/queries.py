@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policypanel.llm import bpe, chat, html_extract, line_dedup, ngram_join, nn_descent, packing, quality, sharding, warc
+from policypanel.llm import bpe, chat, fill_in_middle, html_extract, line_dedup, ngram_join, nn_descent, packing, quality, sharding, spelling, token_counts, warc
 from policypanel.llm.common import scratch, table
 
 
@@ -59,7 +59,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(spark, path)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+#: Tokens a document may have before it is marked.
+TOKEN_LIMIT = 2048
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_chat_formatting, op3_embedding_near_dedup, op4_ngram_jaccard_join, op5_byte_bpe, op6_sharding,
-    op7_quality_rules, op8_line_dedup, op9_html_extraction, op10_warc,
+    op7_quality_rules, op8_line_dedup, op9_html_extraction, op10_warc, op11_spelling_variants, op12_fill_in_middle, op13_token_counts,
 )}
