@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from policypanel.llm.common import stored
+from policypanel.llm.common import dealt, stored
 
 #: Shortest word, and occurrences a word needs.
 MIN_LENGTH, MIN_COUNT = 6, 5
@@ -114,17 +114,18 @@ def letter_counts(a: np.ndarray, used: np.ndarray) -> np.ndarray:
 def near_pairs(a: np.ndarray, b: np.ndarray, strip: int = STRIP) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows (i, j) of the words ``a`` and the words ``b``, as long or one longer, that differ by exactly one replaced or inserted code point.
 
-    Letter counts of both give a Gram matrix by one product, and with the squared norms the squared distances: 1 for an inserted letter, 2 for a replaced one.
-    Only pairs at that distance are verified, letter by letter.
+    One product of letter counts, with the squared norms as two more columns, gives all squared distances: 1 for an inserted letter, 2 for a replaced one.
+    Pairs at most at two are verified, letter by letter.
     """
     longer = b.shape[1] - a.shape[1]
     used = np.union1d(a, b)
     ca, cb = letter_counts(a, used), letter_counts(b, used)
-    na, nb = (ca * ca).sum(axis=1), (cb * cb).sum(axis=1)
+    left = np.column_stack([ca, (ca * ca).sum(axis=1), np.ones_like(ca[:, 0])])
+    right = np.column_stack([-2 * cb, np.ones_like(cb[:, 0]), (cb * cb).sum(axis=1)]).T
     width = max(1, (1 << 22) // max(1, b.shape[1]))
     for at in range(0, len(a), strip):
-        square = na[at:at + strip, None] + nb[None, :] - 2 * (ca[at:at + strip] @ cb.T)
-        i, j = np.nonzero(np.rint(square) == (1 if longer else 2))
+        square = left[at:at + strip] @ right
+        i, j = np.divmod(np.flatnonzero(square < 2.5), len(b))
         for k in range(0, len(i), width):
             x, y = a[at + i[k:k + width]], b[j[k:k + width]]
             if longer:
@@ -144,36 +145,41 @@ def neighbours(words: DataFrame, classes: int = CLASSES, tile_bytes: int = TILE)
     held = stored(tiles(words, classes, tile_bytes), "spelling-tiles")
     a = held.select("block", "tile", F.col("letters").alias("a"), F.col("ns").alias("an"))
     b = held.select(F.col("block").alias("block2"), F.col("tile").alias("tile2"), F.col("letters").alias("b"), F.col("ns").alias("bn"))
-    met = (
+    # few bytes, much arithmetic: dealt to as many tasks as the session shuffles into
+    met = dealt(
         tile_pairs(held, classes).join(a, ["block", "tile"]).join(b, ["block2", "tile2"])
-        .select(((F.col("block") == F.col("block2")) & (F.col("tile") == F.col("tile2"))).alias("same"), "a", "an", "b", "bn")
-    )
+        .select("block", "tile", "block2", "tile2", "a", "an", "b", "bn"),
+        "block", "tile", "block2", "tile2",
+    ).select(((F.col("block") == F.col("block2")) & (F.col("tile") == F.col("tile2"))).alias("same"), "a", "an", "b", "bn")
 
-    def best(of: np.ndarray, n: int, found: list[np.ndarray], other: np.ndarray, other_n: np.ndarray) -> pd.DataFrame:
-        """Rows for the words ``of`` whose near words are ``other``, by the indices ``found`` of both."""
-        i, j = found
-        hits = np.bincount(i, minlength=n)
+    def best(of: np.ndarray, i: np.ndarray, j: np.ndarray, other: np.ndarray, other_n: np.ndarray) -> Iterator[tuple]:
+        """A row for each of the words ``of`` with near words among ``other``; i and j are the places of both in the near pairs."""
+        hits = np.bincount(i, minlength=len(of))
         order = np.lexsort((np.arange(len(other_n)), -other_n))
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order))
-        low = np.full(n, len(order), dtype=np.int64)
+        low = np.full(len(of), len(order), dtype=np.int64)
         np.minimum.at(low, i, rank[j])
-        with_hits = np.flatnonzero(hits)
-        top = order[low[with_hits]]
-        return pd.DataFrame({
-            "word": [of[k].tobytes().decode("latin-1") for k in with_hits], "n_near": hits[with_hits],
-            "near": [other[k].tobytes().decode("latin-1") for k in top], "near_n": other_n[top],
-        }).astype({"word": object, "near": object, "n_near": "int64", "near_n": "int64"})
+        for k in np.flatnonzero(hits).tolist():
+            top = order[low[k]]
+            yield of[k].tobytes().decode("latin-1"), int(hits[k]), other[top].tobytes().decode("latin-1"), int(other_n[top])
 
     def compare(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple] = []
+        names = ["word", "n_near", "near", "near_n"]
         for p in parts:
             for same, x, xn, y, yn in zip(p["same"], p["a"], p["an"], p["b"], p["bn"]):
                 u, v = codes(x, len(xn)), codes(y, len(yn))
-                found = [np.concatenate(k) for k in zip(*near_pairs(u, v))] or [np.empty(0, dtype=np.int64)] * 2
-                if len(found[0]):
-                    yield best(u, len(u), found, v, np.asarray(yn))
+                i, j = (np.concatenate(k) for k in zip(*[(np.empty(0, np.int64),) * 2, *near_pairs(u, v)]))
+                if len(i):
+                    rows.extend(best(u, i, j, v, np.asarray(yn)))
                     if not same:
-                        yield best(v, len(v), found[::-1], u, np.asarray(xn))
+                        rows.extend(best(v, j, i, u, np.asarray(xn)))
+                if len(rows) >= 50_000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
 
     rows = met.mapInPandas(compare, "word string, n_near long, near string, near_n long")
     top = F.min(F.struct((-F.col("near_n")).alias("m"), F.col("near").alias("near")))
