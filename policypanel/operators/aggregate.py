@@ -79,6 +79,46 @@ def collapse_by_key(df: DataFrame, key: str, period: str, periods: Sequence,
     return df.groupBy(key).agg(*aggs)
 
 
+#: Bits of a year mask: years lo to lo + 62 fit a bigint without its sign.
+MASK_YEARS = 63
+
+
+def year_bit(year: ColumnOrName, lo: int) -> Column:
+    """The bit of ``year`` in a mask that starts at year ``lo``. Years outside lo .. lo + 62 have no bit (null),
+    so the caller bounds the window first (``check_mask``)."""
+    offset = as_col(year) - F.lit(lo)
+    return F.when(offset.between(0, MASK_YEARS - 1), F.call_function("shiftleft", F.lit(1).cast("long"), offset.cast("int")))
+
+
+def check_mask(lo: int, hi: int) -> None:
+    if not 0 <= hi - lo < MASK_YEARS:
+        raise ValueError(f"years {lo} to {hi} do not fit one mask of {MASK_YEARS} years")
+
+
+def collapse_by_era(df: DataFrame, key: str, era: str, year: str, lo: int, hi: int, measures: Mapping[str, str],
+                    eras: Sequence[str] = ("pre", "post"), mask: str = "years_mask") -> DataFrame:
+    """One row per ``key`` (null included) with, for every era ``e``, the event count ``n_<e>``, the
+    sums ``<measure>_<e>`` and ``<mask>_<e>``, a bit per year of [lo, hi] that had an event.
+
+    The mask is a ``bit_or`` of single bits, a partial aggregate like the sums and mergeable like them, so
+    the years behind an annualised value need no cell per year and no second pass: a row has
+    one cell per era and measure, whatever the length of the window.
+    """
+    check_mask(lo, hi)
+    aggs = []
+    for e in eras:
+        here = F.col(era) == F.lit(e)
+        aggs.append(F.count_if(here).alias(f"n_{e}"))
+        aggs += [F.sum(F.when(here, F.col(src))).alias(f"{m}_{e}") for m, src in measures.items()]
+        aggs.append(F.bit_or(F.when(here, year_bit(year, lo))).alias(f"{mask}_{e}"))
+    return df.groupBy(key).agg(*aggs)
+
+
+def years_from_masks(cells: DataFrame, era: str = "era", mask: str = "years_mask") -> DataFrame:
+    """``era, years_in_era``: distinct years with an event per era, from the masks of additive cells."""
+    return cells.groupBy(era).agg(F.bit_count(F.bit_or(mask)).cast("long").alias("years_in_era"))
+
+
 def unpivot_periods(df: DataFrame, ids: Sequence[str], periods: Sequence, measures: Sequence[str],
                     period: str = "year", count_prefix: str = "n", count_name: str = "n"
                     ) -> DataFrame:

@@ -101,6 +101,23 @@ def pre_post_summary(df: DataFrame, measures: Mapping[str, ColumnOrName],
     return annualise(out, per_year).orderBy(era_col)
 
 
+def _labelled_totals(df: DataFrame, label: str, label_out: str, valid: Column,
+                     measures: Mapping[str, ColumnOrName], count_name: str,
+                     count_col: ColumnOrName | None, era_col: str) -> DataFrame:
+    """Totals per ``upper(trim(label))`` and era, without the labels that are not ``valid``.
+
+    Whether a label counts depends on the label alone, so it is decided once per group, as an
+    aggregate: the filter stays above the aggregation and does not reach the (outer) label join and
+    the collapsed facts below it, which the years of the whole input share. The key is
+    never null for the same reason.
+    """
+    key = F.coalesce(normalise_key(label), F.lit(""))
+    agg = (df.withColumn(label_out, key).withColumn("__valid", valid)
+           .groupBy(label_out, era_col)
+           .agg(*measure_aggs(count_name, measures, count_col), F.bool_and("__valid").alias("__valid")))
+    return agg.filter("__valid").drop("__valid")
+
+
 def segment_pre_post(df: DataFrame, segment: str, measures: Mapping[str, ColumnOrName],
                      population: DataFrame | None = None, pop_key: str | None = None,
                      pop_col: str = "population", segment_out: str = "segment",
@@ -113,8 +130,7 @@ def segment_pre_post(df: DataFrame, segment: str, measures: Mapping[str, ColumnO
     on ``upper(trim(segment))``. Years come from the whole input (rows without a
     segment included). A segment missing from ``population`` keeps null rates.
     """
-    seg_df = df.filter(is_present(segment)).withColumn(segment_out, normalise_key(segment))
-    agg = seg_df.groupBy(segment_out, era_col).agg(*measure_aggs(count_name, measures, count_col))
+    agg = _labelled_totals(df, segment, segment_out, is_present(segment), measures, count_name, count_col, era_col)
     agg = with_years(agg, df, years, era_col, year_col)
     names = ([count_name] if count_name else []) + list(measures)
     agg = annualise(agg, {f"{n}_per_year": n for n in names})
@@ -144,12 +160,8 @@ def topk_shift(df: DataFrame, factor: str, measures: Mapping[str, ColumnOrName],
     The top-k is a ``TakeOrderedAndProject`` (no full sort) and has at most ``k``
     rows, so the semi-join back is a bounded broadcast.
     """
-    # the explicit not-null on the key equals the constraint the semi-join below
-    # infers, so both uses of ``agg`` stay identical and Spark computes it once
-    keyed = (df.filter(F.col(factor).isNotNull())
-             .withColumn(factor_out, normalise_key(factor))
-             .filter(F.col(factor_out).isNotNull() & ~is_missing_token(factor_out, exclude)))
-    agg = keyed.groupBy(factor_out, era_col).agg(*measure_aggs(count_name, measures, count_col))
+    agg = _labelled_totals(df, factor, factor_out, ~is_missing_token(factor, exclude), measures,
+                           count_name, count_col, era_col)
     agg = with_years(agg, df, years, era_col, year_col)
     agg = annualise(agg, {f"{count_name}_per_year": count_name})
     top = (agg.filter(F.col(era_col) == F.lit(rank_era))

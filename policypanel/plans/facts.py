@@ -3,7 +3,7 @@
 Labels that live in another table (a customer's nation, a supplier's nation, a
 part's brand) are attached *after* the big table has been collapsed to one row
 per join key: ``groupBy(key)`` with one conditional aggregate per year of the
-analysis window (a bounded, parameter-sized set of columns). Spark runs that as a
+analysis window, or per era with the years as a bit mask. Spark runs that as a
 partial (map-side) aggregation, so a key holding a third of all rows leaves each
 map task as one row; the aggregate is hash-partitioned on the key, so the join
 to the dimension reuses that partitioning and only the dimension side moves. The
@@ -19,8 +19,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policypanel.functions.columns import era, flag, is_missing_token
-from policypanel.operators.aggregate import collapse_by_key, unpivot_periods
+from policypanel.functions.columns import flag, is_missing_token
+from policypanel.operators.aggregate import collapse_by_era, collapse_by_key, unpivot_periods, years_from_masks
 from policypanel.operators.clean import prepare_events
 from policypanel.operators.did import label_units
 from policypanel.plans import roles
@@ -158,30 +158,23 @@ def prepared_lines(spark: SparkSession, sf_dir: str,
                           cut=roles.EVENT_CUT, year_min=lo, year_max=hi)
 
 
-def years_by_era(wide: DataFrame, years: Sequence[int], cut: int,
-                 measures: Sequence[str]) -> DataFrame:
-    """``era, years_in_era``: distinct years with at least one event per era,
-    from the per-key wide aggregate before any label join. It unpivots the same
-    columns as the labelled facts, so both read one shared aggregate exchange."""
-    long = by_year_long(wide, [], years, list(measures))
-    return (long.withColumn("era", era("year", cut))
-            .groupBy("era").agg(F.count_distinct("year").alias("years_in_era")))
-
-
 def line_label_facts(spark: SparkSession, sf_dir: str, key: str, mapping: DataFrame,
-                     map_key: str, label: str, measures: Sequence[str]
-                     ) -> tuple[DataFrame, DataFrame]:
-    """``label, year, era, n, measures...`` from lineitem collapsed per ``key``
-    and joined (left: unmatched keys keep a null label) to ``mapping``, plus the
-    observed years per era of the whole event log."""
+                     map_key: str, label: str, measures: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``label, era, n, measures...`` from lineitem collapsed per ``key`` to one cell per
+    era and joined (left: events without a key, or with one that ``mapping`` lacks, keep a
+    null label), plus ``era, years_in_era`` of the whole event log.
+
+    Both come from the one collapsed aggregate: the years from its masks, before any label.
+    """
     lo, hi = roles.EVENT_WINDOW
-    years = list(range(lo, hi + 1))
-    # Events without a key stay: they get no label, but their years count.
-    wide = per_key_by_year(prepared_lines(spark, sf_dir), key, "year", years, {m: m for m in measures})
+    eras = ("pre", "post")
+    wide = collapse_by_era(prepared_lines(spark, sf_dir), key, "era", "year", lo, hi,
+                           {m: m for m in measures}, eras)
     labelled = wide.join(mapping, wide[key] == mapping[map_key], "left")
-    long = by_year_long(labelled, [label], years, list(measures))
-    return (long.withColumn("era", era("year", roles.EVENT_CUT)),
-            years_by_era(wide, years, roles.EVENT_CUT, measures))
+    # the same cells for both, so that they read one shared aggregate exchange
+    cells = [*measures, "years_mask"]
+    return (unpivot_periods(labelled, [label], eras, cells, period="era"),
+            years_from_masks(unpivot_periods(wide, [], eras, cells, period="era")))
 
 
 def part_brands(spark: SparkSession, sf_dir: str) -> DataFrame:

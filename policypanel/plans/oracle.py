@@ -299,7 +299,7 @@ SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS event_date,
        CASE WHEN year(l_shipdate) >= {R.EVENT_CUT} THEN 'post' ELSE 'pre' END AS era,
        coalesce(CAST(l_quantity AS INTEGER), 0) AS quantity, {_FATAL} AS fatal
 FROM lineitem
-WHERE l_shipdate IS NOT NULL AND {_in_window}"""
+WHERE l_shipdate IS NOT NULL AND year(l_shipdate) >= {_ELO}"""
 
 SQL["date_from_parts"] = """
 WITH p AS (

@@ -62,3 +62,28 @@ def test_collapse_with_text_periods(spark):
     wide = collapse_by_key(df, "k", "month", ["2014-01", "o'k"], {"v": "v"})
     long = unpivot_periods(wide, ["k"], ["2014-01", "o'k"], ["v"], period="month")
     assert sorted(map(tuple, long.collect())) == [(1, "2014-01", 2, 5), (2, "o'k", 1, 5)]
+
+
+def test_year_masks_count_the_years_of_each_era(spark):
+    from policypanel.operators.aggregate import collapse_by_era, unpivot_periods, years_from_masks
+    rows = [(k, y, "pre" if y < 1998 else "post", v) for k, y, v in [
+        ("a", 1995, 1), ("a", 1995, 2), ("a", 1999, 4), ("b", 1996, 8), (None, 1998, 16), (None, 2000, 32), ("c", 1999, None)]]
+    df = spark.createDataFrame(rows, "k string, year int, era string, v int")
+    wide = collapse_by_era(df, "k", "era", "year", 1995, 2000, {"v": "v"})
+    assert {r["k"]: (r["n_pre"], r["n_post"], r["v_pre"], r["v_post"]) for r in wide.collect()} == {
+        "a": (2, 1, 3, 4), "b": (1, 0, 8, None), None: (0, 2, None, 48), "c": (0, 1, None, None)}
+    cells = unpivot_periods(wide, ["k"], ["pre", "post"], ["v", "years_mask"], period="era")
+    assert {r["era"]: r["years_in_era"] for r in years_from_masks(cells).collect()} == {"pre": 2, "post": 3}
+    # masks merge: the years of one key are those of all its rows
+    per_key = {(r["k"], r["era"]): bin(r["years_mask"]).count("1") for r in cells.collect()}
+    assert per_key == {("a", "pre"): 1, ("a", "post"): 1, ("b", "pre"): 1, (None, "post"): 2, ("c", "post"): 1}
+
+
+def test_a_window_beyond_the_mask_raises(spark):
+    import pytest
+
+    from policypanel.operators.aggregate import collapse_by_era
+    df = spark.createDataFrame([("a", 1900, "pre")], "k string, year int, era string")
+    with pytest.raises(ValueError):
+        collapse_by_era(df, "k", "era", "year", 1900, 1963, {})
+    assert collapse_by_era(df, "k", "era", "year", 1900, 1962, {}).first()["years_mask_pre"] == 1
