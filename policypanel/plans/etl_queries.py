@@ -132,6 +132,38 @@ def csv_permissive(spark: SparkSession, d: str) -> DataFrame:
     return back.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
 
 
+# Every misfit is made from the row's own key, so that the SQL can name it.
+DIRTY_SCHEMA = "o_orderkey bigint, o_custkey int, o_orderstatus string, o_orderdate date, o_shippriority int"
+
+
+def _write_dirty_orders(spark: SparkSession, d: str, path: str) -> None:
+    """Orders as text, with cells that do not fit: customer keys with a letter, days that do not exist, words for numbers."""
+    key = F.col("o_orderkey")
+    X.table(spark, d, "orders").select(
+        key.cast("string").alias("o_orderkey"),
+        F.when(key % 7 == 0, F.concat(F.lit("C"), F.col("o_custkey"))).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+        "o_orderstatus",
+        F.when(key % 11 == 0, F.lit("1996-02-31")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("o_orderdate"),
+        F.when(key % 5 == 0, F.lit(None)).when(key % 13 == 0, F.lit("high")).otherwise(F.lit("1")).alias("o_shippriority"),
+    ).write.mode("overwrite").option("header", True).csv(path)
+
+
+def _split_orders(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    root = scratch_path(spark, "orders_dirty")
+    _write_dirty_orders(spark, d, f"{root}/in")
+    return S.split_rejects(spark, f"{root}/in", DIRTY_SCHEMA, f"{root}/split")
+
+
+def csv_rejects(spark: SparkSession, d: str) -> DataFrame:
+    _, rejects = _split_orders(spark, d)
+    return rejects.select(F.contains("file", F.lit("orders_dirty")).alias("file_known"), "column", "value", "line")
+
+
+def csv_good_rows(spark: SparkSession, d: str) -> DataFrame:
+    good, _ = _split_orders(spark, d)
+    return good.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+
+
 EVENTS_CLEAN_DDL = ("return_flag string, line_status string, supplier string, "
                     "quantity int, fatal int")
 EVENTS_CLEAN_SCHEMA = "ship_date string, " + EVENTS_CLEAN_DDL
@@ -208,6 +240,8 @@ ETL_QUERIES = {
     "date_from_parts": date_from_parts,
     "yearly_union": yearly_union,
     "csv_permissive": csv_permissive,
+    "csv_rejects": csv_rejects,
+    "csv_good_rows": csv_good_rows,
     "csv_ctrl_a_roundtrip": csv_ctrl_a_roundtrip,
     "csv_single_part": csv_single_part,
     "csv_parts_verify": csv_parts_verify,

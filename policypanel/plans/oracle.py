@@ -127,8 +127,11 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 WHERE {_codes}"""
 
+# every year from the first on
+_EV_OPEN = _EV.replace(f"BETWEEN {_ELO} AND {_EHI}", f">= {_ELO}")
+
 SQL["annual_summary"] = f"""
-WITH {_EV}
+WITH {_EV_OPEN}
 SELECT year, count(*) AS crashes, {_b('persons_killed')} AS persons_killed,
        {_b('persons_injured')} AS persons_injured, {_b('ped_killed')} AS ped_killed,
        {_b('cyc_killed')} AS cyc_killed, {_b('mot_killed')} AS mot_killed
@@ -224,7 +227,7 @@ SELECT segment, count(*) AS total, {_b('miss')} AS unspecified,
 FROM o GROUP BY segment ORDER BY unspecified_share DESC, segment"""
 
 SQL["pre_post_change"] = f"""
-WITH {_EV},
+WITH {_EV_OPEN},
 a AS (SELECT year, {_b('ped_killed')} AS ped_killed, {_b('persons_killed')} AS persons_killed
       FROM ev GROUP BY year),
 m AS (
@@ -326,6 +329,24 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
        TRY_CAST(o_orderpriority AS DOUBLE) AS o_orderpriority
 FROM orders"""
 
+_DIRTY = """d AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate AS day,
+         CASE WHEN o_orderkey % 7 = 0 THEN 'C' ELSE '' END || o_custkey AS c,
+         CASE WHEN o_orderkey % 11 = 0 THEN '1996-02-31' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS t,
+         CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN 'high' ELSE '1' END AS p
+  FROM orders),
+l AS (SELECT *, o_orderkey || ',' || c || ',' || o_orderstatus || ',' || t || ',' || coalesce(p, '') AS line FROM d)"""
+SQL["csv_rejects"] = f"""
+WITH {_DIRTY}
+SELECT true AS file_known, 'o_custkey' AS "column", c AS value, line FROM l WHERE o_orderkey % 7 = 0
+UNION ALL SELECT true, 'o_orderdate', t, line FROM l WHERE o_orderkey % 11 = 0
+UNION ALL SELECT true, 'o_shippriority', p, line FROM l WHERE p = 'high'"""
+SQL["csv_good_rows"] = f"""
+WITH {_DIRTY}
+SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus, t AS o_orderdate,
+       CAST(p AS INTEGER) AS o_shippriority
+FROM l WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 AND coalesce(p, '') <> 'high'"""
+
 SQL["csv_ctrl_a_roundtrip"] = SQL["events_clean"]
 SQL["table_register_scan"] = SQL["events_clean"]
 SQL["catalog_check"] = f"""
@@ -370,6 +391,38 @@ SQL["quantile_1000"] = _union([
     f"""SELECT '{c}' AS "column", count({c}) AS rows, TRUE AS within_error FROM lineitem"""
     for c in ["l_quantity", "l_discount", "l_tax"]])
 
+_EXACT = [(c, q) for c in ["l_extendedprice", "l_partkey", "l_quantity", "l_discount", "l_tax"]
+          for q in [0.01, 0.25, 0.5, 0.75, 0.99]]
+SQL["exact_quantiles"] = _union([
+    f"""SELECT '{c}' AS "column", CAST({q} AS DOUBLE) AS q, count({c}) AS rows,
+       CAST(quantile_disc({c}, {q}) AS DOUBLE) AS value FROM lineitem""" for c, q in _EXACT])
+
+_ERAS = {"pre": f"BETWEEN {_ELO} AND {R.EVENT_CUT - 1}", "post": f"BETWEEN {R.EVENT_CUT} AND {_EHI}",
+         "all": f"BETWEEN {_ELO} AND {_EHI}"}
+SQL["quantile_windows"] = _union([
+    f"""SELECT '{w}' AS "window", '{c}' AS "column", count({c}) AS rows, CAST({q} AS DOUBLE) AS q,
+       CAST(quantile_disc({c}, {q}) AS DOUBLE) AS value FROM lineitem WHERE year(l_shipdate) {cond}"""
+    for w, cond in _ERAS.items() for c in ["l_quantity", "l_discount", "l_tax"] for q in [0.21, 0.51, 0.89]])
+
+SQL["distinct_sets"] = _union([
+    f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE a) AS pre, count(*) FILTER (WHERE b) AS post,
+       count(*) FILTER (WHERE a OR b) AS either, count(*) FILTER (WHERE a AND b) AS both,
+       count(*) FILTER (WHERE a AND NOT b) AS pre_only, count(*) FILTER (WHERE b AND NOT a) AS post_only
+FROM (SELECT {c}, bool_or(coalesce(year(l_shipdate) {_ERAS['pre']}, false)) AS a,
+             bool_or(coalesce(year(l_shipdate) {_ERAS['post']}, false)) AS b FROM lineitem GROUP BY {c})"""
+    for c in ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"]])
+
+_FREQUENT = ["l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_returnflag"]
+SQL["frequent_values"] = _union([
+    f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS count FROM lineitem
+GROUP BY {c} HAVING count(*) >= CAST(0.015 AS DOUBLE) * (SELECT count(*) FROM lineitem)""" for c in _FREQUENT])
+SQL["frequent_modes"] = f"""
+WITH f AS ({SQL['frequent_values']}),
+names("column") AS (VALUES {', '.join(f"('{c}')" for c in _FREQUENT)}),
+r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY count DESC, value ASC NULLS FIRST) AS place FROM f)
+SELECT names."column", r.value AS mode, r.count AS mode_count
+FROM names LEFT JOIN r ON r."column" = names."column" AND r.place = 1"""
+
 SQL["key_counts_lexical"] = """
 SELECT CAST(c_nationkey AS VARCHAR) AS c_nationkey, count(*) AS count
 FROM customer GROUP BY 1 ORDER BY 1"""

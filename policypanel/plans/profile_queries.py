@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from policypanel.operators import profiling as Pr
+from policypanel.operators import sketches as Sk
+from policypanel.operators.ranks import exact_quantiles as exact
 from policypanel.plans import facts as X
 from policypanel.plans import roles as R
+from policypanel.session import scratch_path
+from policypanel.sinks import write_parts
 
 # Statistics from floating-point sums depend on summation order in the last
 # bits; results are reported to 9 decimal places.
@@ -44,6 +48,56 @@ def quantile_1000(spark: SparkSession, d: str) -> DataFrame:
     return Pr.quantile_rank_check(X.table(spark, d, "lineitem"), LINE_STATS, 0.5, 1000)
 
 
+#: Quantiles of the exact entry, and columns of small integers, exact prices and rates.
+QUARTILES = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+def exact_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    return exact(X.table(spark, d, "lineitem"), ["l_extendedprice", "l_partkey", *LINE_STATS], QUARTILES)
+
+
+#: Quantiles away from the steps of the coarse columns, so that a rank error below 1/1000 still gives the exact value.
+WINDOW_QUANTILES = [0.21, 0.51, 0.89]
+
+
+def _by_year(spark: SparkSession, d: str) -> DataFrame:
+    return X.table(spark, d, "lineitem").withColumn("year", F.year("l_shipdate"))
+
+
+def _eras() -> dict[str, tuple[int, int]]:
+    lo, hi = R.EVENT_WINDOW
+    return {"pre": (lo, R.EVENT_CUT - 1), "post": (R.EVENT_CUT, hi)}
+
+
+def quantile_windows(spark: SparkSession, d: str) -> DataFrame:
+    path = write_parts(Sk.quantile_sketches(_by_year(spark, d), "year", LINE_STATS), scratch_path(spark, "quantile_sketches"))
+    stored = spark.read.parquet(path)
+    lo, hi = R.EVENT_WINDOW
+    return Sk.window_quantiles(stored, _eras() | {"all": (lo, hi)}, WINDOW_QUANTILES)
+
+
+DISTINCT_SET_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"]
+
+
+def distinct_sets(spark: SparkSession, d: str) -> DataFrame:
+    path = write_parts(Sk.distinct_sketches(_by_year(spark, d), "year", DISTINCT_SET_COLUMNS), scratch_path(spark, "distinct_sketches"))
+    eras = _eras()
+    return Sk.distinct_sets(spark.read.parquet(path), eras["pre"], eras["post"])
+
+
+#: Share of the rows from which a value is frequent.
+FREQUENT_SHARE = 0.015
+FREQUENT_COLUMNS = ["l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_returnflag"]
+
+
+def frequent_values(spark: SparkSession, d: str) -> DataFrame:
+    return Pr.frequent_values(X.table(spark, d, "lineitem"), FREQUENT_COLUMNS, FREQUENT_SHARE)
+
+
+def frequent_modes(spark: SparkSession, d: str) -> DataFrame:
+    return Pr.frequent_modes(X.table(spark, d, "lineitem"), FREQUENT_COLUMNS, FREQUENT_SHARE)
+
+
 def key_counts_lexical(spark: SparkSession, d: str) -> DataFrame:
     return Pr.key_counts_lexical(X.table(spark, d, "customer"), "c_nationkey")
 
@@ -66,7 +120,7 @@ def length_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def summary_stats(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(Pr.summary_stats(X.table(spark, d, "lineitem"), LINE_STATS),
+    return _rounded(Pr.summary_stats(X.table(spark, d, "lineitem"), LINE_STATS, exact_median=True),
                     ["mean", "stddev"])
 
 
@@ -87,6 +141,11 @@ PROFILE_QUERIES = {
     "value_counts": value_counts,
     "distinct_listing": distinct_listing,
     "quantile_1000": quantile_1000,
+    "exact_quantiles": exact_quantiles,
+    "quantile_windows": quantile_windows,
+    "distinct_sets": distinct_sets,
+    "frequent_values": frequent_values,
+    "frequent_modes": frequent_modes,
     "key_counts_lexical": key_counts_lexical,
     "distinct_counts": distinct_counts,
     "null_counts": null_counts,

@@ -101,7 +101,8 @@ def did_flags(spark: SparkSession, d: str) -> DataFrame:
 # -- within-unit pre/post on the event log -----------------------------------------
 
 def annual_summary(spark: SparkSession, d: str) -> DataFrame:
-    ev = X.prepared_lines(spark, d)
+    # totals, not annualised rates: every year from the first on
+    ev = X.prepared_lines(spark, d, window=(R.EVENT_WINDOW[0], None))
     return P.period_summary(ev, "year", {
         "persons_killed": "persons_killed", "persons_injured": "persons_injured",
         "ped_killed": "ped_killed", "cyc_killed": "cyc_killed", "mot_killed": "mot_killed",
@@ -217,6 +218,8 @@ COVERS: dict[str, str] = {
     "date_from_parts": "P13",
     "yearly_union": "S2 S3 S4 U1",
     "csv_permissive": "S1",
+    "csv_rejects": "S1",
+    "csv_good_rows": "S1",
     "csv_ctrl_a_roundtrip": "K3",
     "csv_single_part": "K1",
     "csv_parts_verify": "K2 S6",
@@ -226,6 +229,11 @@ COVERS: dict[str, str] = {
     "value_counts": "A2",
     "distinct_listing": "A13",
     "quantile_1000": "A10",
+    "exact_quantiles": "A9 A20",
+    "quantile_windows": "A10",
+    "distinct_sets": "A14 U2",
+    "frequent_values": "A11 A13",
+    "frequent_modes": "A11",
     "catalog_check": "K5 O5",
     "key_counts_lexical": "A19 O6",
     "distinct_counts": "A14 U2",
