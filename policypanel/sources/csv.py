@@ -23,6 +23,10 @@ from policypanel.sources.tables import inline_table
 BOM_PREFIXES = ("\ufeff", "\u00ef\u00bb\u00bf")
 
 
+#: A path's scheme and slashes, which Spark's listing and its metadata column write differently (file:/// and file:/).
+_SLASHES = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
              header: bool = True, sep: str = ",", mode: str = "PERMISSIVE",
              corrupt_column: str | None = None) -> DataFrame:
@@ -147,8 +151,8 @@ def read_yearly(spark: SparkSession, paths: Mapping[int, str] | Sequence[str],
     cells = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
     # a row longer or shorter than the widest header keeps its cells by position; the header is skipped, not matched
     raw = (spark.read.schema(cells).option("header", True).option("sep", sep).option("enforceSchema", True)
-           .csv(list(headers)).select("*", F.col("_metadata.file_path").alias("__file")))
-    known = inline_table(spark, of_file, "__file string, __layout int")
+           .csv(roots).select("*", F.regexp_replace("_metadata.file_path", _SLASHES, "$1:/").alias("__file")))
+    known = inline_table(spark, [(re.sub(_SLASHES, r"\1:/", f), k) for f, k in of_file], "__file string, __layout int")
     rows = raw.join(known, "__file")
 
     def column(k: int, name: str, dtype: T.DataType | str) -> Column:

@@ -127,3 +127,45 @@ def test_ctrl_a_is_lossless(spark, tmp_dir):
     df = spark.createDataFrame(rows, "id int, text string")
     path = write_ctrl_a(df, f"{tmp_dir}/ctrl_a")
     assert sorted(tuple(r) for r in read_ctrl_a(spark, path, "id int, text string").collect()) == rows
+
+
+def test_read_yearly_is_one_scan_of_any_number_of_files(spark, tmp_dir):
+    layouts = ["a,b,c", "c,b,a", "b,A ,x,c", "﻿a,c,b"]
+    want = []
+    for k in range(40):
+        names = layouts[k % 4].split(",")
+        cells = {"a": str(k), "b": f"t{k}", "c": "bad" if k % 7 == 0 else str(k / 2), "x": "?"}
+        _write(f"{tmp_dir}/many files/f {k}%20.csv", layouts[k % 4] + "\n" + ",".join(cells[n.strip().strip("﻿").lower()] for n in names) + "\n")
+        want.append((k, f"t{k}", None if k % 7 == 0 else k / 2))
+    _write(f"{tmp_dir}/many files/empty.csv", "")
+    out = read_yearly(spark, [f"{tmp_dir}/many files"], {"a": "int", "b": "string", "c": "double"})
+    assert sorted(map(tuple, out.collect())) == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("] csv") == 1 and "Union" not in plan
+
+
+def test_read_yearly_of_nothing_short_rows_and_quoted_headers(spark, tmp_dir):
+    assert read_yearly(spark, {}, {"a": "int"}).collect() == []
+    _write(f"{tmp_dir}/q.csv", '"a","b, c"\n1,"x, y"\n2\n')
+    out = read_yearly(spark, {1: f"{tmp_dir}/q.csv"}, {"a": "int", "b, c": "string"})
+    assert sorted(map(tuple, out.collect())) == [(1, "x, y"), (2, None)]
+
+
+def test_rejects_name_file_column_and_line(spark, tmp_dir):
+    from policypanel.sources.csv import split_rejects
+    _write(f"{tmp_dir}/in/a.csv", 'i,d,t\n1,2.5,"x, y"\nq,2.5,y\n3,,\n4,zz,"say ""hi"""\nr,s,t\n')
+    _write(f"{tmp_dir}/in/b.csv", "i,d,t\n5,1.0\n6,1.0,u,extra\n7,1.0,v\n")
+    good, rejects = split_rejects(spark, f"{tmp_dir}/in", "i int, d double, t string", f"{tmp_dir}/store")
+    assert sorted(map(tuple, good.collect()), key=lambda r: r[0]) == [(1, 2.5, "x, y"), (3, None, None), (7, 1.0, "v")]
+    got = sorted(((r["file"].rsplit("/", 1)[-1], r["column"] or "", r["value"] or "", r["line"]) for r in rejects.collect()))
+    assert got == [("a.csv", "d", "s", "r,s,t"), ("a.csv", "d", "zz", '4,zz,"say ""hi"""'), ("a.csv", "i", "q", "q,2.5,y"), ("a.csv", "i", "r", "r,s,t"),
+                   ("b.csv", "", "", "5,1.0"), ("b.csv", "", "", "6,1.0,u,extra")]
+    for df in (good, rejects):
+        assert "csv" not in df._jdf.queryExecution().executedPlan().toString().split("Location")[0]
+
+
+def test_rejects_of_an_empty_source(spark, tmp_dir):
+    from policypanel.sources.csv import split_rejects
+    _write(f"{tmp_dir}/e/a.csv", "i,d\n")
+    good, rejects = split_rejects(spark, f"{tmp_dir}/e", "i int, d double", f"{tmp_dir}/store")
+    assert good.collect() == [] and rejects.collect() == []
