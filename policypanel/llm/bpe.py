@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from policypanel.llm.common import stored
+
 #: Characters of text a chunk owns, and characters it reads beyond them.
 CHUNK, OVERLAP = 16_384, 1_024
 
@@ -108,8 +110,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, chunk: int
 
     whole = base.where(F.length("text") <= chunk).mapInPandas(short, schema)
 
-    # the id comes from the scan's own order of files and rows, the same each time the scan is repeated
-    long = docs.where(F.length("text") > chunk).select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    # two plans read the numbered rows, so the numbers are written with them: a frame that is computed anew may come in another order
+    long = stored(docs.where(F.length("text") > chunk).select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "bpe-long")
     cuts = stitch_points(long.select("row", "text"), pattern, chunk, overlap)
     pieces = long.join(cuts, "row").select(
         "row", "doc_id",

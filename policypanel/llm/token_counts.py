@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections import Counter
@@ -64,18 +65,21 @@ def count_whole(path: str, text: str) -> int:
 
 
 class Cache(dict):
-    """Second tier: word (UTF-8 bytes) -> its tokens, encoded when first met; emptied when it holds ``REMEMBERED`` words."""
+    """Second tier: word (UTF-8 bytes) -> its tokens. Words are learned many at a time; the cache is emptied when it
+    would hold more than ``REMEMBERED`` words. A word it lacks, such as one of over ``WORD_BYTES`` bytes, is encoded each time it is met."""
 
     def __init__(self, path: str):
         self.path = path
 
     def __missing__(self, word: bytes) -> int:
-        n = count_whole(self.path, word.decode("utf-8", "replace"))
-        if len(word) <= WORD_BYTES:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = n
-        return n
+        return count_whole(self.path, word.decode("utf-8", "replace"))
+
+    def learn(self, words: set[bytes]) -> None:
+        new = [w for w in words if len(w) <= WORD_BYTES and w not in self]
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+        encoded = tokenizer(self.path).encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
+        self.update(zip(new, map(len, encoded)))
 
 
 @lru_cache(maxsize=2)
@@ -139,7 +143,7 @@ def count_tokens(docs: DataFrame, path: str, sample: int = SAMPLE, size: int = F
     """Counts the tokens of every whole text of ``docs`` (doc_id, text), as the library of ``path`` (.json: tokenizers, .model: sentencepiece) gives them.
 
     Where the tokenizer drops white space, a text has the tokens of its words. A compact table of the frequent words' lengths is broadcast (at most ``size`` words);
-    a word beyond it is looked up in the worker's cache, which outlives the task, and encoded by the library where that lacks it too. Rows are only mapped: no word is
+    a word beyond it is looked up in the worker's cache, which outlives the task; those that it lacks too are encoded together, about a MB of text at a time. Rows are only mapped: no word is
     shuffled. Other tokenizers' texts are encoded whole.
 
     Result, a row per input row: doc_id, n_bytes (UTF-8), n_tokens. Null text: empty, no tokens. Null and repeated doc_ids and repeated
@@ -155,21 +159,37 @@ def count_tokens(docs: DataFrame, path: str, sample: int = SAMPLE, size: int = F
 
         return base.mapInPandas(whole, COUNTED)
 
-    lengths = {w: count_whole(path, w.decode("utf-8", "replace")) for w in frequent_words(docs, sample, size)}
-    table = docs.sparkSession.sparkContext.broadcast(packed(lengths))
+    words = list(frequent_words(docs, sample, size))
+    encoded = tokenizer(path).encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+    table = docs.sparkSession.sparkContext.broadcast(packed(dict(zip(words, map(len, encoded)))))
 
     def look_up(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         first, second = unpacked(table.value), cache(path)
         for p in parts:
-            sizes, counts = [], []
-            for text in p["text"]:
-                raw, n = text.encode("utf-8", "replace"), 0
+            sizes = [0] * len(p)
+            counts = [0] * len(p)
+            held: list[tuple[int, list[bytes]]] = []
+            waiting = 0
+
+            def count_held() -> None:
+                second.learn(set().union(*(rest for _, rest in held)))
+                for k, rest in held:
+                    counts[k] += sum(map(second.__getitem__, rest))
+                held.clear()
+
+            for k, text in enumerate(p["text"]):
+                raw = text.encode("utf-8", "replace")
+                sizes[k] = len(raw)
                 for part in windows(raw):
-                    words = part.split()
-                    n += sum(map(first.get, words, repeat(0)))
-                    n += sum(map(second.__getitem__, filterfalse(first.__contains__, words)))
-                sizes.append(len(raw))
-                counts.append(n)
+                    found = part.split()
+                    counts[k] += sum(map(first.get, found, repeat(0)))
+                    held.append((k, list(filterfalse(first.__contains__, found))))
+                    waiting += len(part)
+                    if waiting >= WINDOW:
+                        count_held()
+                        waiting = 0
+            count_held()
             yield pd.DataFrame({"doc_id": p["doc_id"].astype("Int64"), "n_bytes": sizes, "n_tokens": counts})
 
     return base.mapInPandas(look_up, COUNTED)

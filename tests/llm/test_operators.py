@@ -286,15 +286,9 @@ def test_lines_against_all_pairs(spark):
     rows += [(50, None), (51, ""), (52, base[0]), (None, base[0]), (53, " \n\t"), (52, base[0])]
     df = documents(spark, rows)
     got = {(r["doc_id"], r["line_no"]): r["kept"] for r in line_dedup.line_decisions(df).collect()}
-    lines = [(i, k, line) for i, t in rows for k, line in enumerate((t or "").split("\n")) if len(line.split()) >= 5]
-
-    def shingles(line):
-        w = line.lower().split(" ")
-        return {(x, w[k + 1][:6] if k + 1 < len(w) else None) for k, x in enumerate(w)}
-
-    sets = [shingles(x) for _, _, x in lines]
+    lines = [(i, k, line) for i, t in rows for k, line in enumerate((t or "").split("\n")) if line.split()]
     ids = range(len(lines))
-    comp = union([(a, b) for a, b in itertools.combinations(ids, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])], ids)
+    comp = character_links([x for *_, x in lines])
     order = lambda k: (lines[k][0] is None, lines[k][0] or 0, lines[k][1])
     first = {c: min((k for k in ids if comp[k] == c), key=order) for c in set(comp.values())}
     assert got == {lines[k][:2]: order(k) == order(first[comp[k]]) for k in ids}
@@ -302,7 +296,8 @@ def test_lines_against_all_pairs(spark):
     assert out.columns == df.columns
     texts = {r["doc_id"]: r["text"] for r in out.collect()}
     assert 52 not in texts and texts[53] == " \n\t" and texts[0] == rows[0][1]
-    assert texts[15].startswith("short line\n") and texts[15].count("\n") == 1
+    # the short line and the near copy of the long one are gone
+    assert "\n" not in texts[15] and texts[15] == rows[15][1].split("\n")[2]
     assert line_dedup.line_decisions(df.limit(0)).count() == 0
 
 
@@ -427,3 +422,18 @@ def test_warc_reads_back_what_was_written(spark):
     empty = scratch(spark, "test-warc")
     warc.write_archive(spark.createDataFrame([], "page_id long, url string, html string"), empty)
     assert warc.archive_report(spark, empty).count() == 0
+
+
+# byte BPE on frames that are not plain scans
+
+def test_bpe_of_shuffled_and_grouped_frames(spark):
+    from pyspark.sql import functions as F
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(("word", "écrit", "  gap", "12345", "\n")) + str(rng.randrange(999)) for _ in range(rng.randint(5, 900))) for _ in range(80)]
+    df = documents(spark, list(enumerate(texts)))
+    enc = bpe.encoder(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    want = sorted((i, hashlib.sha256(struct.pack(f"<{len(x)}I", *x)).hexdigest()) for i, x in ((i, enc.encode_ordinary(t)) for i, t in enumerate(texts)))
+    for frame in (df.repartition(8), df.repartition(3).groupBy("doc_id").agg(F.max("text").alias("text")), df.orderBy(F.rand(1))):
+        got = bpe.encode_documents(frame, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, chunk=700, overlap=60)
+        assert sorted((r["doc_id"], r["ids_sha256"]) for r in got.collect()) == want
+    assert bpe.encode_documents(df.limit(0), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).count() == 0

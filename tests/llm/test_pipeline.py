@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from policypanel.llm import packing
-from tests.llm.test_operators import documents, union
+from tests.llm.test_operators import character_links, documents, union
 
 WORDS = [a + b + c for a, b, c in itertools.product(("ka", "lo", "mir", "tes"), ("bun", "dor", "el", "fi"), ("g", "han", "ist", "jo", "k"))]
 
@@ -26,8 +26,16 @@ def corpus():
     rows += [(100 + i, prose(rng, 70) + "\n" + shared + "\n" + prose(rng, 20)) for i in range(6)]
     rows += [(200 + i, rows[i][1].replace(" ", "  ", 1)) for i in range(5)]
     one = [prose(rng, 4) for _ in range(40)]
-    # lines too short to be compared alone, so that these copies are left to the document join
-    rows += [(300 + i, "\n".join(one[: 40 - i])) for i in range(3)]
+    # copies and near copies of few words: what is left of the later documents has other lines only
+    rows += [(300 + i, "\n".join(one[: 40 - i]) + "\n" + prose(rng, 55)) for i in range(3)]
+    # near copies with a word changed in every line, which only the five-character rule of the line dedup tells from other lines
+    for i in range(3):
+        w = prose(rng, 60).split()
+        rows += [(310 + i, " ".join(w)), (320 + i, " ".join(w[:10] + [w[10] + "x"] + w[11:]))]
+    # near copies of documents whose lines are too different to be near copies: left to the document join
+    for i in range(3):
+        w = prose(rng, 150).split()
+        rows += [(330 + i, "\n".join(" ".join(w[k:k + 30]) for k in range(0, 150, 30))), (340 + i, "\n".join(" ".join(w[k:k + 20]) for k in range(0, 150, 20)))]
     long = prose(rng, 60).split()
     for i in range(4):
         rows.append((400 + i, " ".join(long[:50] + [f"other{i}"] + long[51:])))
@@ -52,17 +60,11 @@ def place(i):
     return i is None, i or 0
 
 
-def line_sets(line):
-    w = line.lower().split(" ")
-    return {(x, w[k + 1][:6] if k + 1 < len(w) else None) for k, x in enumerate(w)}
-
-
 def without_repeated_lines(rows):
     rows = sorted(set(rows), key=lambda r: place(r[0]))
-    lines = [(d, k, x) for d, (_, t) in enumerate(rows) for k, x in enumerate(t.split("\n")) if len(x.split()) >= 5]
-    sets = [line_sets(x) for *_, x in lines]
+    lines = [(d, k, x) for d, (_, t) in enumerate(rows) for k, x in enumerate(t.split("\n")) if x.split()]
     ids = range(len(lines))
-    comp = union([(a, b) for a, b in itertools.combinations(ids, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])], ids)
+    comp = character_links([x for *_, x in lines])
     gone = {lines[k][:2] for k in ids if comp[k] != k}
     out = []
     for d, (i, t) in enumerate(rows):

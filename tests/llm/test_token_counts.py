@@ -61,9 +61,11 @@ def test_caches_start_anew_and_keep_no_long_words(monkeypatch):
     monkeypatch.setattr(tc, "REMEMBERED", 3)
     c = tc.Cache(PATH)
     t = Tokenizer.from_file(PATH)
-    for w in ("one", "two", "three", "four", "z" * 100, "one"):
-        assert c[w.encode()] == len(t.encode(w, add_special_tokens=False).ids)
-        assert len(c) <= 3 and all(len(k) <= tc.WORD_BYTES for k in c)
+    for words in ({"one", "two"}, {"three", "four", "z" * 100}, {"one"}, set(), {"a b", "five", "six", "seven", "eight"}):
+        c.learn({w.encode() for w in words})
+        for w in words:
+            assert c[w.encode()] == len(t.encode(w, add_special_tokens=False).ids)
+        assert len(c) <= 5 and all(len(k) <= tc.WORD_BYTES for k in c)
 
 
 def test_windows_cut_at_white_space_only():
