@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +75,45 @@ def clean_panel(df: DataFrame, year_col: str, window: tuple[int, int],
     return out
 
 
+@dataclass
+class ObservedClean:
+    """A cleaned panel whose counts are taken by whatever job first runs it to the end; they wait for that job."""
+
+    cleaned: DataFrame
+    _raw: Observation
+    _clean: Observation
+    _columns: Sequence[str]
+
+    def stages(self) -> dict[str, int]:
+        """Rows read, in the year window, and with all critical values."""
+        got = self._raw.get
+        return {k: got[k] for k in ("raw", "year_window", "critical_not_null")}
+
+    def rows(self) -> int:
+        return self._clean.get["rows"]
+
+    def nulls(self) -> dict[str, int]:
+        got = self._clean.get
+        return {c: got[f"nulls_{i}"] for i, c in enumerate(self._columns)}
+
+
+def clean_panel_observed(df: DataFrame, year_col: str, window: tuple[int, int], critical: Sequence[str],
+                         sentinels: Mapping[str, Sequence] | None = None, ranges: Mapping[str, Mapping] | None = None,
+                         nulls_of: Sequence[str] = ()) -> ObservedClean:
+    """``clean_panel`` with its stage audit (rows raw, in the window, complete), the nulls left in ``nulls_of`` and the row
+    count as by-products of the job that writes the result: one scan instead of one per question."""
+    in_window = F.col(year_col).between(*window)
+    complete = in_window
+    for c in critical:
+        complete = complete & F.col(c).isNotNull()
+    raw, clean = Observation(), Observation()
+    count = lambda cond: F.count_if(F.coalesce(cond, F.lit(False)))
+    watched = df.observe(raw, F.count(F.lit(1)).alias("raw"), count(in_window).alias("year_window"), count(complete).alias("critical_not_null"))
+    out = clean_panel(watched, year_col, window, critical, sentinels, ranges)
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(nulls_of)]
+    return ObservedClean(out.observe(clean, F.count(F.lit(1)).alias("rows"), *nulls), raw, clean, list(nulls_of))
+
+
 def clean_events(df: DataFrame, date_col: str, segment_col: str, keep: Sequence[str],
                  counts: Sequence[str], missing_tokens: Sequence[str] = ("NULL", "0"),
                  parsed_date: str | None = None, date_pattern: str = "MM/dd/yyyy",

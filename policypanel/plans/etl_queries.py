@@ -190,9 +190,18 @@ PANEL_SCHEMA = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenu
 
 
 def csv_parts_verify(spark: SparkSession, d: str) -> DataFrame:
-    panel = panel_clean(spark, d)
-    path = sinks.write_parts(panel, scratch_path(spark, "panel_csv"), fmt="csv")
-    return sinks.verify_sink(spark, panel, path, PANEL_SCHEMA)
+    return sinks.write_verified(spark, panel_clean(spark, d), scratch_path(spark, "panel_csv"), PANEL_SCHEMA)
+
+
+def write_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Stage counts, nulls after cleaning and the read-back of a cleaning write, all but the last taken in the write."""
+    found = C.clean_panel_observed(X.line_panel(spark, d), "year", R.EVENT_WINDOW, R.PANEL_CRITICAL, R.PANEL_SENTINELS,
+                                   R.PANEL_RANGES, nulls_of=["l_quantity", "l_discount", "l_tax"])
+    path = sinks.write_parts(found.cleaned, scratch_path(spark, "panel_audit"), fmt="csv")
+    counts = {**found.stages(), **{f"nulls {c}": n for c, n in found.nulls().items()}, "written": found.rows()}
+    items = inline_table(spark, list(counts.items()), "item string, value bigint")
+    back = sinks.rows_match(spark, found.rows(), path, PANEL_SCHEMA)
+    return items.unionByName(back.select(F.lit("read back").alias("item"), F.col("rows_read").alias("value")))
 
 
 TABLE_NAME = "policypanel_db.events_clean"
@@ -222,6 +231,27 @@ def catalog_check(spark: SparkSession, d: str) -> DataFrame:
             .unionByName(count(found["sample"], "sample_rows")))
 
 
+def table_publish(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of a table after two versions were published and a third was written but never switched to."""
+    root = scratch_path(spark, "published")
+    table = f"policypanel_db.events_{root.rsplit('-', 1)[-1]}"
+    events = events_clean(spark, d)
+    sinks.publish(spark, events.where("fatal = 1"), table, root, ["line_status"])
+    sinks.publish(spark, events, table, root, ["line_status"])
+    sinks.publish(spark, events.where("quantity > 25"), table, root, ["line_status"], switch=False)
+    return spark.table(table)
+
+
+def table_keep(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of a table that exists when it is to be created if absent."""
+    root = scratch_path(spark, "kept")
+    table = f"policypanel_db.kept_{root.rsplit('-', 1)[-1]}"
+    events = events_clean(spark, d)
+    sinks.publish(spark, events.where("fatal = 1"), table, root, replace=False)
+    sinks.publish(spark, events, table, root, replace=False)
+    return spark.table(table)
+
+
 def inline_dim(spark: SparkSession, d: str) -> DataFrame:
     codes = inline_table(spark, [(r, k, u) for (r, k), u in R.UNIT_CODES.items()],
                          "n_regionkey int, n_nationkey int, unit string")
@@ -245,6 +275,9 @@ ETL_QUERIES = {
     "csv_ctrl_a_roundtrip": csv_ctrl_a_roundtrip,
     "csv_single_part": csv_single_part,
     "csv_parts_verify": csv_parts_verify,
+    "write_audit": write_audit,
+    "table_publish": table_publish,
+    "table_keep": table_keep,
     "table_register_scan": table_register_scan,
     "catalog_check": catalog_check,
     "inline_dim": inline_dim,

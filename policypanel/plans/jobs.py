@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from policypanel import schemas as SC
 from policypanel import sinks
+from policypanel.functions.columns import is_missing_token, normalise_key
 from policypanel.operators import clean as C
 from policypanel.operators import did as D
 from policypanel.operators import prepost as P
@@ -38,29 +39,23 @@ def materialise(spark: SparkSession, df: DataFrame, name: str,
 def clean_register_job(spark: SparkSession, yearly_paths: Mapping[int, str], out_path: str,
                        table: str | None = None, partition_by: Sequence[str] = ("YEAR",)
                        ) -> dict[str, DataFrame]:
-    """Yearly extracts -> union -> stage audit -> cleaned panel written as CSV
-    parts (one folder per year, so year windows prune folders) -> read-back check
-    -> optional external table + catalog check."""
+    """Yearly extracts -> one scan -> cleaned panel written as CSV parts (one folder per year, so year
+    windows prune folders), with the stage audit and the nulls left observed in that write -> read-back
+    check -> optional external table + catalog check."""
     canonical = dict(SC.REGISTER_COLUMNS)
     raw = read_yearly(spark, yearly_paths, canonical)
-    lo, hi = SC.REGISTER_WINDOW
-    in_window = F.col("YEAR").between(lo, hi)
-    complete = in_window
-    for c in SC.REGISTER_CRITICAL:
-        complete = complete & F.col(c).isNotNull()
-    audit = Pr.row_audit(raw, {"raw": F.lit(True), "year_window": in_window,
-                               "critical_not_null": complete})
-    cleaned = C.clean_panel(raw, "YEAR", SC.REGISTER_WINDOW, SC.REGISTER_CRITICAL,
-                            SC.REGISTER_SENTINELS, SC.REGISTER_RANGES)
-    nulls_after = Pr.null_counts(cleaned, ["HOUR", "MINUTE", "LATITUDE", "LONGITUD"])
+    found = C.clean_panel_observed(raw, "YEAR", SC.REGISTER_WINDOW, SC.REGISTER_CRITICAL, SC.REGISTER_SENTINELS,
+                                   SC.REGISTER_RANGES, nulls_of=["HOUR", "MINUTE", "LATITUDE", "LONGITUD"])
     parts = list(partition_by)
-    sinks.write_parts(cleaned, out_path, fmt="csv", partition_by=parts or None)
+    # files are of one year each, so a task writes few folders without a shuffle, and the counts are those of the write
+    sinks.write_parts(found.cleaned, out_path, fmt="csv", partition_by=parts or None)
     # partition columns live in the folder names and come last in the table
     cols = [(n, t) for n, t in SC.REGISTER_COLUMNS if n not in parts] + \
            [(n, t) for n, t in SC.REGISTER_COLUMNS if n in parts]
     ddl = ", ".join(f"{n} {t}" for n, t in cols)
-    out = {"audit": audit, "nulls_after": nulls_after,
-           "verify": sinks.verify_sink(spark, cleaned, out_path, ddl)}
+    out = {"audit": inline_table(spark, [(i, k, n) for i, (k, n) in enumerate(found.stages().items())], "step int, stage string, rows bigint"),
+           "nulls_after": inline_table(spark, list(found.nulls().items()), "column string, nulls bigint"),
+           "verify": sinks.rows_match(spark, found.rows(), out_path, ddl)}
     if table:
         sinks.register_csv_table(spark, table, ddl, out_path, header=True, replace=True,
                                  partition_by=parts or None)
@@ -118,9 +113,29 @@ def stats_job(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # -- within-city pre/post: eight outputs -----------------------------------------------------
 
-N_KILLED = "NUMBER OF PERSONS KILLED"
-N_INJURED = "NUMBER OF PERSONS INJURED"
-_CAT = {"ped": "PEDESTRIANS", "cyc": "CYCLIST", "mot": "MOTORIST"}
+FACTOR = "CONTRIBUTING FACTOR VEHICLE 1"
+#: The grains of ``prepost_cells``: per month, per borough and year, per factor and year.
+GRAINS = ("month", "borough", "factor")
+
+
+def prepost_cells(prepared: DataFrame) -> DataFrame:
+    """Additive cells that all eight summaries are sums of, from one scan: event count ``n``, the eight counts and the
+    events with an unspecified factor, per (year, month), per (year, borough) and per (year, factor).
+
+    One aggregation with three grouping sets: each map task folds its rows to one cell per key and grain,
+    so the shuffle carries cells, whatever share of the events one borough or factor holds. Rows without a
+    borough or factor have cells too (null), so each grain holds all events and their years.
+    """
+    keyed = prepared.select("year", "era", "month", normalise_key("BOROUGH").alias("BOROUGH"), normalise_key(FACTOR).alias(FACTOR),
+                            is_missing_token(FACTOR, SC.FACTOR_MISSING_TOKENS).alias("__unspecified"), *SC.COLLISION_COUNTS)
+    base = [F.col("year"), F.col("era")]
+    keys = [F.col("month"), F.col("BOROUGH"), F.col(f"`{FACTOR}`")]
+    cells = keyed.groupingSets([[*base, k] for k in keys], *base, *keys).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(c).cast("long").alias(c) for c in SC.COLLISION_COUNTS],
+        F.count_if("__unspecified").alias("unspecified"),
+        *[F.grouping(k).alias(f"__without_{g}") for g, k in zip(GRAINS, keys)])
+    grain = F.coalesce(*[F.when(F.col(f"__without_{g}") == 0, F.lit(g)) for g in GRAINS])
+    return cells.withColumn("grain", grain).drop(*[f"__without_{g}" for g in GRAINS])
 
 
 def prepost_job(spark: SparkSession, raw: DataFrame, out_base: str | None = None,
@@ -128,41 +143,36 @@ def prepost_job(spark: SparkSession, raw: DataFrame, out_base: str | None = None
                 year_max: int | None = None, population: DataFrame | None = None,
                 top_k: int = SC.TOP_FACTORS, anomaly: tuple[int, int] = SC.ANOMALY_WINDOW
                 ) -> dict[str, DataFrame]:
-    """The eight summary tables of the collision log, from one prepared frame."""
-    needed = ["CRASH DATE", "BOROUGH", "CONTRIBUTING FACTOR VEHICLE 1", *SC.COLLISION_COUNTS]
+    """The eight summary tables of the collision log, from one pass over it (``prepost_cells``)."""
+    needed = ["CRASH DATE", "BOROUGH", FACTOR, *SC.COLLISION_COUNTS]
     prepared = C.prepare_events(raw.select(*needed), "CRASH DATE", SC.COLLISION_COUNTS, cut=cut,
                                 year_min=year_min, year_max=year_max)
-    prepared = materialise(spark, prepared.drop("CRASH DATE", "event_date"), "prepared_events",
-                           partition_by=["year"])
+    cells = materialise(spark, prepost_cells(prepared), "prepost_cells")
+    by_month, by_borough, by_factor = (cells.filter(F.col("grain") == g) for g in GRAINS)
     if population is None:
         population = inline_table(spark, SC.BOROUGH_POPULATION, "segment string, population long")
-    cat = {f"{k}_{kind}": f"NUMBER OF {v} {kind.upper()}"
-           for k, v in _CAT.items() for kind in ("killed", "injured")}
+    injured, killed = SC.COLLISION_COUNTS[0::2], SC.COLLISION_COUNTS[1::2]
+    everyone = {"killed": killed[0], "injured": injured[0]}
+    # pedestrians, cyclists and motorists, in the order of the log's columns
+    cat = {f"{k}_{kind}": names[1:][i] for i, k in enumerate(("ped", "cyc", "mot"))
+           for kind, names in (("killed", killed), ("injured", injured))}
+    deaths = {k: cat[k] for k in ("ped_killed", "cyc_killed", "mot_killed")}
     lo, hi = anomaly
     out = {
-        "annual_summary": P.period_summary(prepared, "year", {
-            "persons_killed": N_KILLED, "persons_injured": N_INJURED,
-            "ped_killed": cat["ped_killed"], "cyc_killed": cat["cyc_killed"],
-            "mot_killed": cat["mot_killed"]}),
-        "pre_post_summary": P.pre_post_summary(prepared, {
-            "killed_total": N_KILLED, "injured_total": N_INJURED,
-            "ped_killed_total": cat["ped_killed"], "cyc_killed_total": cat["cyc_killed"],
-            "mot_killed_total": cat["mot_killed"]}),
-        "borough_pre_post": P.segment_pre_post(
-            prepared, "BOROUGH", {"killed": N_KILLED, "injured": N_INJURED},
-            population=population, pop_key="segment"),
-        "road_user_pre_post": P.pre_post_summary(prepared, cat, count_name=None,
-                                                 total_suffix=""),
-        "factor_pre_post": P.topk_shift(prepared, "CONTRIBUTING FACTOR VEHICLE 1",
-                                        {"killed": N_KILLED}, k=top_k,
-                                        exclude=SC.FACTOR_MISSING_TOKENS),
-        "monthly_time_series": P.period_summary(prepared, "month",
-                                                {"killed": N_KILLED, "injured": N_INJURED}),
-        "anomaly_window": P.window_rate(prepared, "year", lo, hi,
-                                        {"killed": N_KILLED, "injured": N_INJURED},
-                                        "killed", "crashes", "fatality_rate_per_1k_crashes"),
-        "unspecified_rate": P.missing_share(prepared, "BOROUGH", "CONTRIBUTING FACTOR VEHICLE 1",
-                                            tokens=SC.FACTOR_MISSING_TOKENS),
+        "annual_summary": P.period_summary(by_month, "year", {
+            "persons_killed": killed[0], "persons_injured": injured[0], **deaths}, count_col="n"),
+        "pre_post_summary": P.pre_post_summary(by_month, {
+            "killed_total": killed[0], "injured_total": injured[0],
+            **{f"{k}_total": c for k, c in deaths.items()}}, count_col="n"),
+        "borough_pre_post": P.segment_pre_post(by_borough, "BOROUGH", everyone, population=population,
+                                               pop_key="segment", count_col="n"),
+        "road_user_pre_post": P.pre_post_summary(by_month, cat, count_name=None, total_suffix=""),
+        "factor_pre_post": P.topk_shift(by_factor, FACTOR, {"killed": killed[0]}, k=top_k,
+                                        exclude=SC.FACTOR_MISSING_TOKENS, count_col="n"),
+        "monthly_time_series": P.period_summary(by_month, "month", everyone, count_col="n"),
+        "anomaly_window": P.window_rate(by_month, "year", lo, hi, everyone, "killed", "crashes",
+                                        "fatality_rate_per_1k_crashes", count_col="n"),
+        "unspecified_rate": P.missing_share(by_borough, "BOROUGH", count_col="n", missing_col="unspecified"),
     }
     if out_base:
         for name, df in out.items():

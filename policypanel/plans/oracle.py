@@ -359,6 +359,19 @@ SQL["csv_parts_verify"] = f"""
 SELECT count(*) AS rows_written, count(*) AS rows_read, true AS matches
 FROM ({SQL['panel_clean']}) p"""
 
+SQL["write_audit"] = f"""
+WITH p AS ({SQL['panel_clean']}),
+counts AS (SELECT count(*) AS n, count(*) - count(l_quantity) AS q, count(*) - count(l_discount) AS dis,
+           count(*) - count(l_tax) AS tax FROM p)
+SELECT 'raw' AS item, count(*) AS value FROM lineitem
+UNION ALL SELECT 'year_window', count(*) FROM lineitem WHERE {_in_window}
+UNION ALL SELECT 'critical_not_null', count(*) FROM lineitem WHERE {_in_window} AND {_critical}
+UNION ALL SELECT 'nulls l_quantity', q FROM counts UNION ALL SELECT 'nulls l_discount', dis FROM counts
+UNION ALL SELECT 'nulls l_tax', tax FROM counts
+UNION ALL SELECT 'written', n FROM counts UNION ALL SELECT 'read back', n FROM counts"""
+SQL["table_publish"] = SQL["events_clean"]
+SQL["table_keep"] = f"SELECT * FROM ({SQL['events_clean']}) e WHERE fatal = 1"
+
 _codes_values = ", ".join(f"({r}, {k}, '{u}')" for (r, k), u in R.UNIT_CODES.items())
 SQL["inline_dim"] = f"""
 WITH codes(n_regionkey, n_nationkey, unit) AS (VALUES {_codes_values}),

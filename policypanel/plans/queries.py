@@ -223,6 +223,9 @@ COVERS: dict[str, str] = {
     "csv_ctrl_a_roundtrip": "K3",
     "csv_single_part": "K1",
     "csv_parts_verify": "K2 S6",
+    "write_audit": "A1 A15 A18 S6",
+    "table_publish": "K2 K4",
+    "table_keep": "K4",
     "table_register_scan": "K4 S5 N7",
     "inline_dim": "S7",
     "row_audit": "A1 A18",

@@ -9,14 +9,20 @@
   catalog (no metastore service needed); ``replace=True`` drops and re-creates,
   ``replace=False`` keeps an existing definition.
 * ``catalog_check``: DESCRIBE, row count and a 5-row sample as DataFrames.
-* ``verify_sink``: read a written folder back and compare the row count.
+* ``write_observed``: metrics of the rows of a write, taken in that write.
+* ``write_verified`` / ``verify_sink``: read a written folder back and compare the row count
+  with that of the write, or with a frame that is computed again.
+* ``publish``: a new version of a table beside the old one, then one switch of its name.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,6 +110,81 @@ def catalog_check(spark: SparkSession, table: str, sample: int = 5) -> dict[str,
     }
 
 
+def write_observed(df: DataFrame, path: str, metrics: Mapping[str, Column], fmt: str = "parquet",
+                   header: bool = True, partition_by: list[str] | None = None) -> dict[str, Any]:
+    """Writes ``df`` and returns aggregate ``metrics`` of the rows written, computed in the writing tasks
+    themselves: neither ``df`` nor the result is scanned for them.
+
+    Metrics are exact when ``df`` reaches the writer without a shuffle after the observed place, as every
+    partition is then counted by the one task that commits its file.
+    """
+    seen = Observation()
+    write_parts(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]), path, fmt, header, partition_by)
+    return seen.get
+
+
+def _read_back(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str, header: bool) -> DataFrame:
+    reader = spark.read.schema(schema)
+    return (reader.option("header", header) if fmt == "csv" else reader).format(fmt).load(path)
+
+
+def write_verified(spark: SparkSession, df: DataFrame, path: str, schema: T.StructType | str, fmt: str = "csv",
+                   header: bool = True, partition_by: list[str] | None = None) -> DataFrame:
+    """Writes ``df`` and checks the result as one row: ``rows_written, rows_read, matches``.
+
+    The rows written are counted by the write (``write_observed``); only the written files are read.
+    """
+    written = write_observed(df, path, {"rows": F.count(F.lit(1))}, fmt, header, partition_by)["rows"]
+    return rows_match(spark, written, path, schema, fmt, header)
+
+
+def rows_match(spark: SparkSession, written: int, path: str, schema: T.StructType | str, fmt: str = "csv",
+               header: bool = True) -> DataFrame:
+    """``rows_written, rows_read, matches`` for a folder that ``written`` rows were written to."""
+    back = _read_back(spark, path, schema, fmt, header).agg(F.count(F.lit(1)).alias("rows_read"))
+    return (back.select(F.lit(written).cast("long").alias("rows_written"), "rows_read")
+            .withColumn("matches", F.col("rows_written") == F.col("rows_read")))
+
+
+def publish(spark: SparkSession, df: DataFrame, table: str, root: str, partition_by: Sequence[str] = (),
+            replace: bool = True, switch: bool = True) -> str:
+    """Writes ``df`` as a new version of ``table`` and makes it the current one; returns the version's own table name.
+
+    ``table`` is a view over one version, each a table of its own in a folder of its own below ``root``. The
+    new version is written whole before the view is replaced, in one catalog step: readers see the old or
+    the new rows, never some of both, and a job that dies on the way leaves the old version
+    current. A query that runs during the switch goes on reading the version it began with. With ``replace=False`` an existing
+    table is kept and nothing is written. ``switch=False`` writes a version without making it current (``switch_to`` does).
+
+    Partitioned versions are rebalanced by their partition columns: Spark splits a value that holds
+    much of the data over as many tasks as its size needs and puts small ones together, so
+    a version has files of a bounded size rather than one per task and value.
+    """
+    for c in partition_by:
+        _ident(c)
+    _ident(table)
+    if "." in table:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+    if not replace and spark.catalog.tableExists(table):
+        return table
+    version = f"{table}__{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/{version.rsplit('.', 1)[-1]}"
+    out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    write_parts(out, path, "parquet", partition_by=list(partition_by) or None)
+    spark.sql(f"CREATE TABLE {version} ({df.schema.toDDL()}) USING parquet"
+              f"{f' PARTITIONED BY ({chr(44).join(partition_by)})' if partition_by else ''} LOCATION '{path}'")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {version} RECOVER PARTITIONS")
+    if switch:
+        switch_to(spark, table, version)
+    return version
+
+
+def switch_to(spark: SparkSession, table: str, version: str) -> None:
+    """Makes ``version`` (a name that ``publish`` returned) the rows of ``table``: a step forward, or back to an older version."""
+    spark.sql(f"CREATE OR REPLACE VIEW {_ident(table)} AS SELECT * FROM {_ident(version)}")
+
+
 def verify_sink(spark: SparkSession, source: DataFrame, path: str, schema: T.StructType | str,
                 fmt: str = "csv", header: bool = True) -> DataFrame:
     """Write-then-read check as one row: ``rows_written, rows_read, matches``.
@@ -111,10 +192,7 @@ def verify_sink(spark: SparkSession, source: DataFrame, path: str, schema: T.Str
     Both sides are tagged and unioned, then one global aggregate counts each
     tag, so the check is a single job with no join.
     """
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", header)
-    back = reader.format(fmt).load(path)
+    back = _read_back(spark, path, schema, fmt, header)
     tagged = (source.select(F.lit(1).alias("w"), F.lit(0).alias("r"))
               .unionByName(back.select(F.lit(0).alias("w"), F.lit(1).alias("r"))))
     return (tagged.agg(F.count_if(F.col("w") == 1).alias("rows_written"),
