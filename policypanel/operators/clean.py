@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from policypanel.functions.columns import (
     era,
     event_date,
+    flag,
     is_missing_token,
     is_present,
     month_key,
@@ -138,6 +139,21 @@ def clean_events(df: DataFrame, date_col: str, segment_col: str, keep: Sequence[
     return snake_case_columns(out) if rename else out
 
 
+def clean_events_wide(df: DataFrame, date_col: str, segment_col: str, keep: Sequence[str], counts: Sequence[str],
+                      occurred: str, occurred_out: str = "INJURY_OCCURRED", missing_tokens: Sequence[str] = ("NULL", "0"),
+                      date_pattern: str = "MM/dd/yyyy") -> DataFrame:
+    """The filters of ``clean_events`` with each raw column beside its cleaned form: the date text and the parsed
+    date (null if it does not parse), the segment and its key, the zero-filled counts, and a 0/1 flag of
+    ``occurred`` being above zero. New columns are named after their source, ``CRASH DATE`` -> ``CRASH_DATE_FORMATTED``."""
+    base = {c: re.sub(r"\s+", "_", c) for c in (date_col, segment_col, *counts)}
+    out = drop_missing(drop_blank(df, date_col), segment_col, missing_tokens)
+    filled = {c: F.coalesce(F.col(c), F.lit(0)) for c in counts}
+    return out.select(
+        F.col(date_col), event_date(date_col, df.schema[date_col].dataType, date_pattern).alias(f"{base[date_col]}_FORMATTED"),
+        F.col(segment_col), normalise_key(segment_col).alias(f"{base[segment_col]}_CLEAN"), *[F.col(c) for c in keep],
+        *[x.alias(f"{base[c]}_CLEAN") for c, x in filled.items()], flag(filled[occurred] > 0).alias(occurred_out))
+
+
 def prepare_events(df: DataFrame, date_col: str, counts: Sequence[str], cut: int,
                    year_min: int | None = None, year_max: int | None = None,
                    date_pattern: str = "MM/dd/yyyy", date_out: str = "event_date",

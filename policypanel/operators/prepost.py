@@ -32,6 +32,8 @@ from policypanel.functions.columns import (
 from policypanel.operators.aggregate import count_expr, measure_aggs
 from policypanel.operators.joins import join_small
 
+# The output names of the summaries (``crashes``, ``years_in_era``, ``*_per_year``,
+# ``*_per_100k_per_year``, ``unspecified_share`` and the like) are those of the study's own tables.
 Years = str | Mapping[str, int] | DataFrame
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from policypanel import sinks
 from policypanel.functions.columns import date_from_parts as make_date
+from policypanel.functions.columns import flag
 from policypanel.operators import clean as C
 from policypanel.operators.joins import join_small
 from policypanel.plans import facts as X
@@ -44,6 +45,36 @@ def events_prepare(spark: SparkSession, d: str) -> DataFrame:
         F.col("QUANTITY").alias("quantity"), F.col("FATAL").alias("fatal"))
 
 
+def events_clean_hostile(spark: SparkSession, d: str) -> DataFrame:
+    return C.clean_events(X.hostile_text_events(spark, d), X.TEXT_DATE, X.TEXT_SEGMENT, X.TEXT_KEEP, X.TEXT_COUNTS)
+
+
+def events_prepare_hostile(spark: SparkSession, d: str) -> DataFrame:
+    # a bound inside the data, so that it has years to drop
+    prepared = C.prepare_events(X.hostile_text_events(spark, d), X.TEXT_DATE, X.TEXT_COUNTS, cut=R.EVENT_CUT,
+                                year_min=R.EVENT_WINDOW[0] + 1)
+    return prepared.select(
+        "l_orderkey", "l_linenumber", F.date_format("event_date", "yyyy-MM-dd").alias("event_date"),
+        "year", "month", "era", F.col("QUANTITY").alias("quantity"), F.col("FATAL").alias("fatal"))
+
+
+def events_wide(spark: SparkSession, d: str) -> DataFrame:
+    wide = C.clean_events_wide(X.hostile_text_events(spark, d), X.TEXT_DATE, X.TEXT_SEGMENT, X.TEXT_KEEP, X.TEXT_COUNTS, "QUANTITY")
+    named = C.snake_case_columns(wide)
+    return named.withColumn("ship_date_formatted", F.date_format("ship_date_formatted", "yyyy-MM-dd"))
+
+
+def panel_clean_hostile(spark: SparkSession, d: str) -> DataFrame:
+    return C.clean_panel(X.hostile_panel(spark, d), "year", R.EVENT_WINDOW, R.PANEL_CRITICAL,
+                         sentinels=R.PANEL_SENTINELS, ranges=R.PANEL_RANGES)
+
+
+def panel_date_flag(spark: SparkSession, d: str) -> DataFrame:
+    panel = X.hostile_panel(spark, d).select("l_orderkey", "l_linenumber", "year", "month")
+    day = F.date_format(make_date("year", "month", "l_linenumber"), "yyyy-MM-dd")
+    return panel.withColumns({"crash_date": day, "post": flag(F.col("year") >= R.EVENT_CUT)})
+
+
 def date_from_parts(spark: SparkSession, d: str) -> DataFrame:
     li = X.table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber",
@@ -222,6 +253,15 @@ def table_register_scan(spark: SparkSession, d: str) -> DataFrame:
     return scan_table(spark, _register_events(spark, d), not_null=["ship_date"])
 
 
+def table_artefact_scan(spark: SparkSession, d: str) -> DataFrame:
+    """A text table registered without regard to its files' header lines: each shows as a row whose typed key is null."""
+    root = scratch_path(spark, "artefacts")
+    sinks.write_parts(panel_clean(spark, d), f"{root}/panel", fmt="csv")
+    table = f"policypanel_db.panel_{root.rsplit('-', 1)[-1]}"
+    sinks.register_csv_table(spark, table, PANEL_SCHEMA, f"{root}/panel", header=False, database_location=f"{root}/db")
+    return scan_table(spark, table, not_null=["l_orderkey"])
+
+
 def catalog_check(spark: SparkSession, d: str) -> DataFrame:
     table = _register_events(spark, d)
     found = sinks.catalog_check(spark, table, sample=5)
@@ -267,6 +307,12 @@ ETL_QUERIES = {
     "panel_clean": panel_clean,
     "events_clean": events_clean,
     "events_prepare": events_prepare,
+    "events_clean_hostile": events_clean_hostile,
+    "events_prepare_hostile": events_prepare_hostile,
+    "events_wide": events_wide,
+    "panel_clean_hostile": panel_clean_hostile,
+    "panel_date_flag": panel_date_flag,
+    "table_artefact_scan": table_artefact_scan,
     "date_from_parts": date_from_parts,
     "yearly_union": yearly_union,
     "csv_permissive": csv_permissive,

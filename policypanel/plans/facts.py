@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from policypanel.functions.columns import flag, is_missing_token
@@ -159,7 +159,8 @@ def prepared_lines(spark: SparkSession, sf_dir: str,
 
 
 def line_label_facts(spark: SparkSession, sf_dir: str, key: str, mapping: DataFrame,
-                     map_key: str, label: str, measures: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+                     map_key: str, label: str, measures: Sequence[str],
+                     lines: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``label, era, n, measures...`` from lineitem collapsed per ``key`` to one cell per
     era and joined (left: events without a key, or with one that ``mapping`` lacks, keep a
     null label), plus ``era, years_in_era`` of the whole event log.
@@ -168,7 +169,8 @@ def line_label_facts(spark: SparkSession, sf_dir: str, key: str, mapping: DataFr
     """
     lo, hi = roles.EVENT_WINDOW
     eras = ("pre", "post")
-    wide = collapse_by_era(prepared_lines(spark, sf_dir), key, "era", "year", lo, hi,
+    lines = prepared_lines(spark, sf_dir) if lines is None else lines
+    wide = collapse_by_era(lines, key, "era", "year", lo, hi,
                            {m: m for m in measures}, eras)
     labelled = wide.join(mapping, wide[key] == mapping[map_key], "left")
     # the same cells for both, so that they read one shared aggregate exchange
@@ -223,3 +225,43 @@ def line_text_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").cast("string").alias("SUPPLIER"),
         F.col("l_quantity").cast("int").alias("QUANTITY"),
         flag(F.col("l_linestatus") == F.lit(roles.FATAL_STATUS)).alias("FATAL"))
+
+
+# -- hostile cells: what messy extracts hold, made from the rows' own keys ---------------------
+
+def _every(n: int, key: str = "l_orderkey") -> Column:
+    return F.col(key) % n == 0
+
+
+def hostile_text_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line_text_events`` with missing and blank dates, dates that do not exist, missing tokens,
+    blanks and case drift in the segment, and null counts: every filter has rows to drop."""
+    df = line_text_events(spark, sf_dir)
+    date, seg, (qty, fatal) = F.col(TEXT_DATE), F.col(TEXT_SEGMENT), TEXT_COUNTS
+    return df.withColumns({
+        TEXT_DATE: F.when(_every(17), F.lit(None)).when(_every(19), F.lit("  ")).when(_every(23), F.lit("not a date"))
+                    .when(_every(29), F.lit("02/30/1996")).otherwise(date),
+        TEXT_SEGMENT: F.when(_every(31), F.lit(None)).when(_every(37), F.lit(" ")).when(_every(11), F.lit(" null"))
+                       .when(_every(13), F.lit("0 ")).when(_every(7), F.concat(F.lit(" "), F.lower(seg), F.lit(" "))).otherwise(seg),
+        qty: F.when(_every(5), F.lit(None)).otherwise(F.col(qty)),
+        fatal: F.when(_every(3), F.lit(None)).otherwise(F.col(fatal)),
+    })
+
+
+def hostile_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line_panel`` with null keys, years and months."""
+    gaps = {"l_partkey": 7, "l_suppkey": 11, "l_quantity": 13, "year": 17, "month": 5}
+    return line_panel(spark, sf_dir).withColumns({c: F.when(~_every(n), F.col(c)) for c, n in gaps.items()})
+
+
+def hostile_lines(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """Prepared events whose ``key`` is null (all of one year, which then counts for the years per era alone) or unknown."""
+    lines = prepared_lines(spark, sf_dir)
+    return lines.withColumn(key, F.when(F.col("year") == roles.EVENT_CUT - 1, F.lit(None)).when(_every(6), F.lit(-1)).otherwise(F.col(key)))
+
+
+def hostile_label(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Labels with gaps, blanks, missing tokens and case drift."""
+    x = F.col(label)
+    return df.withColumn(label, F.when(_every(10, key), F.lit(None)).when(_every(9, key), F.lit("  "))
+                         .when(_every(8, key), F.lit(" unspecified")).when(_every(3, key), F.concat(F.lower(x), F.lit(" "))).otherwise(x))

@@ -27,6 +27,10 @@ from policypanel.sources.csv import read_csv, read_yearly
 from policypanel.sources.tables import inline_table
 
 
+# Fixed value: the analysed factor column of the collision log.
+FACTOR = "CONTRIBUTING FACTOR VEHICLE 1"
+
+
 def materialise(spark: SparkSession, df: DataFrame, name: str,
                 partition_by: Sequence[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder, read it back."""
@@ -86,6 +90,20 @@ def clean_events_job(spark: SparkSession, csv_path: str, out_path: str,
     return out
 
 
+def enrich_events_job(spark: SparkSession, csv_path: str, out_path: str) -> dict[str, DataFrame]:
+    """Collision log -> cleaned columns beside the raw ones, with a parsed date and an injury flag -> CSV parts
+    with a header -> count, statistics of the cleaned counts and read-back check."""
+    raw = read_csv(spark, csv_path, SC.collision_schema())
+    injured, killed = SC.COLLISION_COUNTS[:2]
+    wide = C.clean_events_wide(raw, "CRASH DATE", "BOROUGH", [FACTOR, "VEHICLE TYPE CODE 1"], [injured, killed], injured,
+                               missing_tokens=SC.BOROUGH_MISSING_TOKENS)
+    check = sinks.write_verified(spark, wide, out_path, wide.schema)
+    written = read_csv(spark, out_path, wide.schema)
+    numbers = [f.name for f in wide.schema.fields if f.dataType.typeName() == "integer"]
+    return {"verify": check, "sample": written.limit(20), "describe": Pr.describe_numeric(written, numbers),
+            "stats": Pr.summary_stats(written, numbers[:1])}
+
+
 # -- profiling ---------------------------------------------------------------------------------
 
 def profile_job(df: DataFrame, keys: Sequence[str], numeric: Sequence[str],
@@ -113,7 +131,6 @@ def stats_job(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # -- within-city pre/post: eight outputs -----------------------------------------------------
 
-FACTOR = "CONTRIBUTING FACTOR VEHICLE 1"
 #: The grains of ``prepost_cells``: per month, per borough and year, per factor and year.
 GRAINS = ("month", "borough", "factor")
 
@@ -188,8 +205,7 @@ def did_job(spark: SparkSession, panel: DataFrame, out_base: str | None = None,
             divisors: Mapping[int, int] = SC.DID_DIVISORS, placebo_cut: int = SC.PLACEBO_YEAR,
             placebo_divisors: Mapping[int, int] = SC.PLACEBO_DIVISORS,
             subgroup: str = "PEDS > 0", measure: str = "FATALS",
-            outcome_label: str = SC.OUTCOME_LABEL, subgroup_label: str = SC.SUBGROUP_LABEL
-            ) -> dict[str, DataFrame]:
+            labels: Sequence[str] = SC.DID_LABELS) -> dict[str, DataFrame]:
     """Yearly unit panel, total / subgroup / placebo estimates and their summary
     (one row per analysis, labelled with its cut year)."""
     units = D.label_units(panel.filter(F.col("ST_CASE").isNotNull()), codes, ["STATE", "CITY"],
@@ -207,9 +223,8 @@ def did_job(spark: SparkSession, panel: DataFrame, out_base: str | None = None,
         "yearly_trends": D.unit_panel(flagged, "CITY_NAME", "YEAR", measure=measure),
         "did_total": total, "did_subgroup": sub, "did_placebo": placebo,
         "did_summary": D.did_summary({
-            f"Real DiD ({cut}) - total {outcome_label}": total,
-            f"Real DiD ({cut}) - {subgroup_label} {outcome_label}": sub,
-            f"Placebo DiD ({placebo_cut}) - total {outcome_label}": placebo}),
+            name.format(cut=cut, placebo_cut=placebo_cut): estimated
+            for name, estimated in zip(labels, (total, sub, placebo))}),
     }
     if out_base:
         for name in ("yearly_trends", "did_summary"):

@@ -195,6 +195,20 @@ top AS (
   ORDER BY crashes_per_year DESC, factor ASC LIMIT {R.TOP_K})
 SELECT h.* FROM h WHERE factor IN (SELECT factor FROM top) ORDER BY factor, era"""
 
+def _hostile_label(key: str, label: str) -> str:
+    return (f"CASE WHEN {key} % 10 = 0 THEN NULL WHEN {key} % 9 = 0 THEN '  ' WHEN {key} % 8 = 0 THEN ' unspecified' "
+            f"WHEN {key} % 3 = 0 THEN lower({label}) || ' ' ELSE {label} END")
+
+
+# A whole year without keys counts in the years per era alone; some keys are unknown.
+_KNOWN = f"ev.year <> {R.EVENT_CUT - 1} AND ev.l_orderkey % 6 <> 0"
+SQL["segment_pre_post_hostile"] = SQL["segment_pre_post"].replace(
+    "SELECT upper(trim(n.n_name)) AS segment, ev.*", f"SELECT upper(trim({_hostile_label('s.s_suppkey', 'n.n_name')})) AS segment, ev.*").replace(
+    "WHERE n.n_name IS NOT NULL AND trim(n.n_name) <> '')", f"WHERE {_KNOWN} AND coalesce(trim({_hostile_label('s.s_suppkey', 'n.n_name')}), '') <> '')")
+SQL["topk_shift_hostile"] = SQL["topk_shift"].replace(
+    "SELECT upper(trim(p.p_brand)) AS factor", f"SELECT upper(trim({_hostile_label('p.p_partkey', 'p.p_brand')})) AS factor").replace(
+    "WHERE p.p_brand IS NOT NULL)", f"WHERE {_KNOWN} AND ({_hostile_label('p.p_partkey', 'p.p_brand')}) IS NOT NULL)")
+
 _WINDOW = f" AND year(l_shipdate) BETWEEN {_ELO} AND {_EHI}"
 SQL["monthly_series"] = f"""
 WITH {_EV.replace(_WINDOW, '')}
@@ -304,6 +318,55 @@ SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS event_date,
 FROM lineitem
 WHERE l_shipdate IS NOT NULL AND year(l_shipdate) >= {_ELO}"""
 
+# The hostile cells of plans/facts.py, in SQL.
+_HOSTILE = f"""h AS (
+  SELECT l_orderkey, l_linenumber, l_shipdate,
+         CASE WHEN l_orderkey % 17 = 0 THEN NULL WHEN l_orderkey % 19 = 0 THEN '  '
+              WHEN l_orderkey % 23 = 0 THEN 'not a date' WHEN l_orderkey % 29 = 0 THEN '02/30/1996'
+              ELSE strftime(l_shipdate, '%m/%d/%Y') END AS ship,
+         l_orderkey % 17 <> 0 AND l_orderkey % 19 <> 0 AND l_orderkey % 23 <> 0 AND l_orderkey % 29 <> 0 AS real_day,
+         CASE WHEN l_orderkey % 31 = 0 THEN NULL WHEN l_orderkey % 37 = 0 THEN ' ' WHEN l_orderkey % 11 = 0 THEN ' null'
+              WHEN l_orderkey % 13 = 0 THEN '0 ' WHEN l_orderkey % 7 = 0 THEN ' ' || lower(l_returnflag) || ' '
+              ELSE l_returnflag END AS seg,
+         l_linestatus, CAST(l_suppkey AS VARCHAR) AS supplier,
+         CASE WHEN l_orderkey % 5 = 0 THEN 0 ELSE coalesce(CAST(l_quantity AS INTEGER), 0) END AS quantity,
+         CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE {_FATAL} END AS fatal
+  FROM lineitem)"""
+_HOSTILE_KEPT = "ship IS NOT NULL AND trim(ship) <> '' AND seg IS NOT NULL AND upper(trim(seg)) NOT IN ('', 'NULL', '0')"
+SQL["events_clean_hostile"] = f"""
+WITH {_HOSTILE}
+SELECT ship AS ship_date, upper(trim(seg)) AS return_flag, l_linestatus AS line_status, supplier, quantity, fatal
+FROM h WHERE {_HOSTILE_KEPT}"""
+SQL["events_wide"] = f"""
+WITH {_HOSTILE}
+SELECT ship AS ship_date, CASE WHEN real_day THEN strftime(l_shipdate, '%Y-%m-%d') END AS ship_date_formatted,
+       seg AS return_flag, upper(trim(seg)) AS return_flag_clean, l_linestatus AS line_status, supplier,
+       quantity AS quantity_clean, fatal AS fatal_clean, CASE WHEN quantity > 0 THEN 1 ELSE 0 END AS injury_occurred
+FROM h WHERE {_HOSTILE_KEPT}"""
+SQL["events_prepare_hostile"] = f"""
+WITH {_HOSTILE}
+SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS event_date,
+       CAST(year(l_shipdate) AS INTEGER) AS year, strftime(l_shipdate, '%Y-%m') AS month,
+       CASE WHEN year(l_shipdate) >= {R.EVENT_CUT} THEN 'post' ELSE 'pre' END AS era, quantity, fatal
+FROM h WHERE real_day AND l_shipdate IS NOT NULL AND year(l_shipdate) >= {_ELO + 1}"""
+SQL["panel_clean_hostile"] = f"""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(year(l_shipdate) AS INTEGER) AS year,
+       CASE WHEN l_orderkey % 5 <> 0 THEN CAST(month(l_shipdate) AS INTEGER) END AS month,
+       {', '.join(_panel_cols)}, l_returnflag, l_linestatus
+FROM lineitem
+WHERE {_in_window} AND {_critical} AND l_orderkey % 7 <> 0 AND l_orderkey % 11 <> 0 AND l_orderkey % 13 <> 0
+  AND l_orderkey % 17 <> 0"""
+SQL["panel_date_flag"] = f"""
+WITH p AS (
+  SELECT l_orderkey, l_linenumber, l_shipdate,
+         CASE WHEN l_orderkey % 17 <> 0 THEN CAST(year(l_shipdate) AS INTEGER) END AS year,
+         CASE WHEN l_orderkey % 5 <> 0 THEN CAST(month(l_shipdate) AS INTEGER) END AS month FROM lineitem)
+SELECT l_orderkey, l_linenumber, year, month,
+       CASE WHEN year IS NOT NULL AND month IS NOT NULL THEN strftime(make_date(year, month, l_linenumber), '%Y-%m-%d') END AS crash_date,
+       CASE WHEN year >= {R.EVENT_CUT} THEN 1 ELSE 0 END AS post
+FROM p"""
+SQL["table_artefact_scan"] = SQL["panel_clean"]
+
 SQL["date_from_parts"] = """
 WITH p AS (
   SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS INTEGER) AS y,

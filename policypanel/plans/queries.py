@@ -139,6 +139,23 @@ def topk_shift(spark: SparkSession, d: str) -> DataFrame:
                         count_col="n", years=years)
 
 
+def segment_pre_post_hostile(spark: SparkSession, d: str) -> DataFrame:
+    labels = X.hostile_label(X.supplier_nations(spark, d), "s_suppkey", "segment")
+    facts, years = X.line_label_facts(spark, d, "l_suppkey", labels, "s_suppkey", "segment", ["persons_killed", "persons_injured"],
+                                      X.hostile_lines(spark, d, "l_suppkey"))
+    return P.segment_pre_post(
+        facts, "segment", {"killed": "persons_killed", "injured": "persons_injured"},
+        population=X.nation_population(spark, d), pop_key="segment", count_col="n", years=years)
+
+
+def topk_shift_hostile(spark: SparkSession, d: str) -> DataFrame:
+    labels = X.hostile_label(X.part_brands(spark, d), "p_partkey", "factor_raw")
+    facts, years = X.line_label_facts(spark, d, "l_partkey", labels, "p_partkey", "factor_raw", ["persons_killed"],
+                                      X.hostile_lines(spark, d, "l_partkey"))
+    return P.topk_shift(facts, "factor_raw", {"killed": "persons_killed"}, k=R.TOP_K,
+                        count_col="n", years=years)
+
+
 def monthly_series(spark: SparkSession, d: str) -> DataFrame:
     ev = X.prepared_lines(spark, d, window=(None, None))
     return P.period_summary(ev, "month", {"killed": "persons_killed",
@@ -179,6 +196,8 @@ QUERIES: dict[str, Query] = {
     "segment_pre_post": segment_pre_post,
     "category_pre_post": category_pre_post,
     "topk_shift": topk_shift,
+    "segment_pre_post_hostile": segment_pre_post_hostile,
+    "topk_shift_hostile": topk_shift_hostile,
     "monthly_series": monthly_series,
     "window_rate": window_rate,
     "missing_share": missing_share,
@@ -205,16 +224,24 @@ COVERS: dict[str, str] = {
     "did_flags": "P5 P6 P7 F5",
     "annual_summary": "C1 A3",
     "pre_post_summary": "C2 P8 P15 J3 U2",
-    "segment_pre_post": "C3 J1 P16 F1 P11 N4 N5 N10",
+    "segment_pre_post": "C3 P16 P11 N4 N5",
+    "segment_pre_post_hostile": "J1 J3 F1 N10",
+    "topk_shift_hostile": "F10",
+    "events_clean_hostile": "F1 F2 P4",
+    "events_prepare_hostile": "F4 F9 P4 P12 N9",
+    "events_wide": "P6 P12",
+    "panel_clean_hostile": "F8",
+    "panel_date_flag": "P6 P13",
+    "table_artefact_scan": "N7",
     "category_pre_post": "C4",
-    "topk_shift": "C5 O3 J2 F10 F11 N6",
+    "topk_shift": "C5 O3 J2 F11 N6",
     "monthly_series": "C6 P14",
     "window_rate": "C7 F3 P17",
     "missing_share": "C8 A5 P18 O2 N12",
     "pre_post_change": "C15 P19",
-    "panel_clean": "C18 P9 P10 F8 N8",
-    "events_clean": "C19 F1 F2 P1 P2 P11",
-    "events_prepare": "C20 F4 F9 P3 P4 P12 P14 N9",
+    "panel_clean": "C18 P9 P10 N8",
+    "events_clean": "C19 P1 P2 P11",
+    "events_prepare": "C20 P3 P12 P14",
     "date_from_parts": "P13",
     "yearly_union": "S2 S3 S4 U1",
     "csv_permissive": "S1",
@@ -226,7 +253,7 @@ COVERS: dict[str, str] = {
     "write_audit": "A1 A15 A18 S6",
     "table_publish": "K2 K4",
     "table_keep": "K4",
-    "table_register_scan": "K4 S5 N7",
+    "table_register_scan": "K4 S5",
     "inline_dim": "S7",
     "row_audit": "A1 A18",
     "value_counts": "A2",

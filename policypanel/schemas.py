@@ -69,9 +69,12 @@ POLICY_YEAR = 2014
 DID_DIVISORS = {0: 9, 1: 11}          # 2005-2013 / 2014-2024
 PLACEBO_YEAR = 2010
 PLACEBO_DIVISORS = {0: 5, 1: 4}       # 2005-2009 / 2010-2013
-# Wording of the DiD summary rows.
-OUTCOME_LABEL = "fatalities"
-SUBGROUP_LABEL = "pedestrian"
+# The DiD summary's row labels.
+DID_LABELS = (
+    "Real DiD ({cut}) - total fatalities",
+    "Real DiD ({cut}) - pedestrian fatalities",
+    "Placebo DiD ({placebo_cut}) - total fatalities",
+)
 
 # Borough population table (about 2020) and the collision-log rules.
 BOROUGH_POPULATION = [

@@ -8,20 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Footer schemas already read in this process, per path: later reads pass the
-# schema explicitly and skip Spark's schema-inference job.
-_SCHEMAS: dict[str, T.StructType] = {}
+#: Rows of an inline table up to which joins are told to broadcast it; beyond it Spark decides by its size.
+BROADCAST_ROWS = 100_000
 
 
 def parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``{sf_dir}/{name}.parquet``; projections and filters reach the scan."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def scan_table(spark: SparkSession, name: str, not_null: Sequence[str] = ()) -> DataFrame:
@@ -55,4 +48,4 @@ def inline_table(spark: SparkSession, rows: Iterable[tuple], ddl: str) -> DataFr
     df = spark.sql(f"SELECT * FROM VALUES {', '.join(tuples)} AS t({cols})", args=args)
     typed = df.select(*[F.col(f"c{j}").cast(f.dataType).alias(f.name)
                         for j, f in enumerate(schema.fields)])
-    return F.broadcast(typed)
+    return F.broadcast(typed) if len(tuples) <= BROADCAST_ROWS else typed

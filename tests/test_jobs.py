@@ -184,3 +184,30 @@ def test_cli_register_then_did(spark, tmp_dir, capsys):
     est = {r.analysis: float(r.did_estimate_per_year) for r in back}
     # controls Chicago 1 -> 2 and LA 1 -> 1 (Houston, Philadelphia absent): mean 1 -> 1.5
     assert est["Real DiD (2014) - total fatalities"] == pytest.approx(-1.5)
+
+
+def test_enrich_events_job(spark, tmp_dir):
+    _collision_csv(f"{tmp_dir}/in/crashes.csv", ROWS)
+    out = jobs.enrich_events_job(spark, f"{tmp_dir}/in/crashes.csv", f"{tmp_dir}/wide")
+    assert tuple(out["verify"].first()) == (5, 5, True)
+    got = spark.read.option("header", True).csv(f"{tmp_dir}/wide")
+    assert got.columns == ["CRASH DATE", "CRASH_DATE_FORMATTED", "BOROUGH", "BOROUGH_CLEAN", "CONTRIBUTING FACTOR VEHICLE 1", "VEHICLE TYPE CODE 1",
+                           "NUMBER_OF_PERSONS_INJURED_CLEAN", "NUMBER_OF_PERSONS_KILLED_CLEAN", "INJURY_OCCURRED"]
+    rows = {r["CRASH DATE"]: (r["CRASH_DATE_FORMATTED"], r["BOROUGH_CLEAN"], r["NUMBER_OF_PERSONS_INJURED_CLEAN"], r["INJURY_OCCURRED"]) for r in got.collect()}
+    assert rows["03/05/2013"] == ("2013-03-05", "BROOKLYN", "0", "0") and rows["01/05/2013"] == ("2013-01-05", "BROOKLYN", "2", "1")
+    assert rows["not a date"][0] is None
+    assert out["stats"].first()["median"] == 1.0
+
+
+def test_cli_profile_stats_and_enrich(spark, tmp_dir, capsys):
+    from policypanel.__main__ import main
+    _collision_csv(f"{tmp_dir}/in/crashes.csv", ROWS)
+    main(["profile", f"{tmp_dir}/in/crashes.csv", f"{tmp_dir}/profile"])
+    assert {"profile", "distinct", "nulls", "ranges", "describe", "lengths", "counts_BOROUGH"} <= set(os.listdir(f"{tmp_dir}/profile"))
+    main(["enrich-events", f"{tmp_dir}/in/crashes.csv", f"{tmp_dir}/wide"])
+    cols = [n for n, _ in SC.REGISTER_COLUMNS]
+    _write(f"{tmp_dir}/reg/a.csv", ",".join(cols) + "\n" + "\n".join(",".join([str(i)] * len(cols)) for i in (1, 2, 2, 7)) + "\n")
+    main(["stats", f"{tmp_dir}/reg", f"{tmp_dir}/stats", "FATALS", "PEDS"])
+    rows = spark.read.option("header", True).csv(f"{tmp_dir}/stats").collect()
+    assert [(r["column"], r["mean"], r["median"], r["mode"]) for r in rows] == [("FATALS", "3.0", "2.0", "2.0"), ("PEDS", "3.0", "2.0", "2.0")]
+    assert "INJURY_OCCURRED" in capsys.readouterr().out
