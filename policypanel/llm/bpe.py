@@ -118,10 +118,13 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, chunk: int
         F.posexplode(F.transform("cuts", lambda c, i: F.substr(F.col("text"), (c + 1).cast("int"), (F.coalesce(F.get("cuts", i + 1), F.length("text").cast("long")) - c).cast("int")))).alias("n", "piece"),
     )
 
+    # pieces travel with two bytes an id where the vocabulary allows it
+    narrow = "<u2" if max(token_bytes(ranks_path), default=0) < 1 << 16 else "<u4"
+
     def encode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(ranks_path, pattern)
         for p in parts:
-            ids = [np.array(enc.encode_ordinary(t), dtype="<u4").tobytes() for t in p["piece"]]
+            ids = [np.array(enc.encode_ordinary(t), dtype=narrow).tobytes() for t in p["piece"]]
             yield pd.DataFrame({"row": p["row"], "doc_id": p["doc_id"].astype("Int64"), "n": p["n"], "ids": ids})
 
     encoded = pieces.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row", "n").mapInPandas(encode, "row long, doc_id long, n int, ids binary")
@@ -129,6 +132,6 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, chunk: int
 
     def put_together(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            yield frame([result(None if pd.isna(d) else int(d), np.frombuffer(b"".join(ps), dtype="<u4")) for d, ps in zip(p["doc_id"], p["ps"])])
+            yield frame([result(None if pd.isna(d) else int(d), np.frombuffer(b"".join(ps), dtype=narrow)) for d, ps in zip(p["doc_id"], p["ps"])])
 
     return whole.unionByName(joined.mapInPandas(put_together, schema))
