@@ -8,8 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from policypanel.llm.common import dealt, stored
+
 #: Virtual slots. The map has one row per slot, so its size does not grow with the data.
 SLOTS = 4096
+#: Equal rows dealt out together.
+BLOCK = 4096
 
 
 def virtual_slot(*cols: Column, slots: int = SLOTS) -> Column:
@@ -92,33 +96,43 @@ def place(rows: DataFrame, slot_map: DataFrame, order: list[str]) -> DataFrame:
     return placed.withColumn("slot", (F.col("begins") + F.col("nth")).cast("long")).drop("begins", "nth")
 
 
-def slotted(docs: DataFrame, slots: int) -> DataFrame:
+def slotted(docs: DataFrame, slots: int, block: int = BLOCK) -> DataFrame:
+    """(doc_id, size, text_crc32, virtual_slot), a row per document. Rows that are equal in the first three are told apart by a number from
+    0 on, which goes into the slot's hash, so that they spread like others. They are counted, not gathered, and
+    dealt out again in blocks of ``block``, which no task or array exceeds."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
-    ).withColumn("virtual_slot", virtual_slot(F.col("doc_id"), F.col("text_crc32"), slots=slots))
+    facts = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    key = ["doc_id", "size", "text_crc32"]
+    counted = facts.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    blocks = counted.select(*key, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block).cast("long"))).alias("b"))
+    nth = F.explode(F.sequence(F.col("b") * block, F.least((F.col("b") + 1) * block, F.col("n")) - 1)).alias("copy")
+    spread = dealt(blocks, *key, "b").select(*key, nth)
+    return spread.withColumn("virtual_slot", virtual_slot(F.col("doc_id"), F.col("text_crc32"), F.col("copy"), slots=slots))
 
 
 def reshard_documents(docs: DataFrame, path: str, version: int, shards: int, slots: int = SLOTS) -> DataFrame:
     """Documents, earlier and later ones, placed by the map of ``version`` under ``path`` edited for ``shards`` shards and their present
-    sizes; writes it as the next version. Rows as in ``shard_documents``."""
+    sizes; writes it as the next version.
+
+    Rows, null and repeated ones too, as in ``shard_documents``; of an empty table none, and the next version has empty slots.
+    """
     spark = docs.sparkSession
-    rows = slotted(docs, slots)
+    rows = stored(slotted(docs, slots), "slotted")
     old = {r["virtual_slot"]: r["shard"] for r in read_map(spark, path, version).collect()}
     sizes = slot_sizes(rows, slots)
     write_map(spark, path, version + 1, rebalanced(old, sizes, shards), sizes)
-    return place(rows, read_map(spark, path, version + 1), ["doc_id", "text_crc32", "size"])
+    return place(rows, read_map(spark, path, version + 1), ["doc_id", "text_crc32", "size", "copy"]).drop("copy")
 
 
 def shard_documents(docs: DataFrame, path: str, shards: int = 16, slots: int = SLOTS) -> DataFrame:
     """Documents dealt to ``shards`` so that bytes are near equal; writes version 1 of the map under ``path``.
 
-    A row goes to a virtual slot by a hash of doc_id and of its text's checksum, so rows that share an id (null ones
-    too) still spread. Size: UTF-8 bytes of the text plus 1. Null text: size 1, checksum of the empty
-    text. Identical rows share a slot and are all kept. Extra columns are left out. Empty table: no rows.
+    A row goes to a virtual slot by a hash of doc_id, of its text's checksum and of its number among equal rows, so rows that
+    share an id (null ones too) and repeated rows still spread. Size: UTF-8 bytes of the text plus 1. Null text: size 1,
+    checksum of the empty text. Repeated rows are all kept. Extra columns are left out. Empty table: no rows.
     """
     spark = docs.sparkSession
-    rows = slotted(docs, slots)
+    rows = stored(slotted(docs, slots), "slotted")
     sizes = slot_sizes(rows, slots)
     write_map(spark, path, 1, first_map(sizes, shards), sizes)
-    return place(rows, read_map(spark, path, 1), ["doc_id", "text_crc32", "size"])
+    return place(rows, read_map(spark, path, 1), ["doc_id", "text_crc32", "size", "copy"]).drop("copy")
