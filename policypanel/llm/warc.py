@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from policypanel.llm.common import stored
+
 #: Payloads of at least so many bytes are stored as one response that equal ones revisit.
 REVISIT_BYTES = 1000
 DATE = "2024-01-01T00:00:00Z"
@@ -28,7 +30,7 @@ def write_archive(pages: DataFrame, path: str, date: str = DATE) -> None:
     page, the exact header block of its WARC record and the key of its payload. Of records with equal payloads of at least
     ``REVISIT_BYTES`` bytes the one with the largest page_id is a response and the others revisit it; smaller ones are all
     responses. Null html: empty payload. Null url: an empty target. Null page_id: never the largest unless all are null. Rows
-    repeated with the largest page_id are all responses. Line breaks in a url are percent-encoded, so a header is never split. Extra columns
+    repeated with the largest page_id are all responses, each record with an id of its own; revisits refer to the first. Line breaks in a url are percent-encoded, so a header is never split. Extra columns
     are left out. Empty table: two empty tables.
     """
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
@@ -36,14 +38,18 @@ def write_archive(pages: DataFrame, path: str, date: str = DATE) -> None:
     src.groupBy("key").agg(F.first("payload").alias("payload")).write.parquet(f"{path}/payloads")
 
     facts = src.select("page_id", "url", "key", F.concat(F.lit("sha1:"), F.sha1("payload")).alias("digest"), F.octet_length("payload").alias("n"))
-    heads = facts.where(F.col("n") >= REVISIT_BYTES).groupBy("key").agg(F.max("page_id").alias("head_id"))
+    # the number that tells repeated rows apart is written with them, as two plans read it
+    facts = stored(facts.withColumn("row", F.monotonically_increasing_id()), "warc-facts")
+    last = F.max(F.struct("page_id", (-F.col("row")).alias("row")))
+    heads = facts.where(F.col("n") >= REVISIT_BYTES).groupBy("key").agg(last.alias("head")).select(
+        "key", F.col("head.page_id").alias("head_id"), (-F.col("head.row")).alias("head_row"))
     facts = facts.join(heads, "key", "left")
     revisit = F.col("head_id").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("head_id")))
     target = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
-    record_id = lambda page_id: _uuid(page_id, F.col("key"))
+    record_id = lambda page_id, row: _uuid(page_id, row, F.col("key"))
     header = F.concat(
         F.lit(f"WARC/1.1{CRLF}WARC-Type: "), F.when(revisit, "revisit").otherwise("response"),
-        F.lit(f"{CRLF}WARC-Record-ID: "), record_id(F.col("page_id")),
+        F.lit(f"{CRLF}WARC-Record-ID: "), record_id(F.col("page_id"), F.col("row")),
         F.lit(f"{CRLF}WARC-Date: {date}{CRLF}WARC-Target-URI: "), target,
         F.lit(f"{CRLF}WARC-Page-ID: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
         F.lit(f"{CRLF}WARC-Payload-Digest: "), F.col("digest"),
@@ -51,7 +57,7 @@ def write_archive(pages: DataFrame, path: str, date: str = DATE) -> None:
             revisit,
             F.concat(
                 F.lit(f"{CRLF}WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest{CRLF}WARC-Refers-To: "),
-                record_id(F.col("head_id")), F.lit(f"{CRLF}WARC-Refers-To-Page-ID: "), F.col("head_id").cast("string"),
+                record_id(F.col("head_id"), F.col("head_row")), F.lit(f"{CRLF}WARC-Refers-To-Page-ID: "), F.col("head_id").cast("string"),
             ),
         ).otherwise(""),
         F.lit(f"{CRLF}Content-Type: text/html{CRLF}Content-Length: "), F.when(revisit, 0).otherwise(F.col("n")).cast("string"),

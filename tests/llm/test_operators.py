@@ -230,6 +230,20 @@ def test_shards_are_even_and_rebalancing_moves_little(spark):
     assert sharding.shard_documents(documents(spark, rows).limit(0), scratch(spark, "test-map")).count() == 0
 
 
+def test_repeated_rows_spread_over_shards(spark, monkeypatch):
+    """A third of all rows is one row; sizes and checksums against Python, for blocks smaller than the group too."""
+    rows = [(i, "é" * (i % 50)) for i in range(2000)] + [(7, "the same row")] * 1000 + [(None, None)] * 20
+    for block in (sharding.BLOCK, 7):
+        monkeypatch.setattr(sharding.slotted, "__defaults__", (block,))
+        got = sharding.shard_documents(documents(spark, rows), scratch(spark, "test-map")).toPandas()
+        want = sorted((-1 if i is None else i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+        assert sorted(zip(got["doc_id"].fillna(-1).astype(int), got["size"], got["text_crc32"])) == want
+        sizes = got.groupby("shard")["size"].sum()
+        assert len(sizes) == 16 and sizes.max() - sizes.min() <= 2 * got["size"].max()
+        for _, g in got.groupby("shard"):
+            assert sorted(g["slot"]) == list(range(len(g)))
+
+
 def test_later_rows_are_placed_by_the_stored_map(spark):
     rows = [(i, "x" * (i % 97)) for i in range(300)]
     path = scratch(spark, "test-map")
@@ -419,6 +433,11 @@ def test_warc_reads_back_what_was_written(spark):
         head, _, body = bytes(r["record"]).partition(b"\r\n\r\n")
         assert head.startswith(b"WARC/1.1\r\nWARC-Type: ") and b"\nX: y" not in head
         assert body == (bytes(r["payload"]) if r["record_type"] == "response" else b"") + b"\r\n\r\n"
+    ids = [re.search(rb"WARC-Record-ID: (\S+)", bytes(r["record"])).group(1) for r in records]
+    assert len(set(ids)) == len(ids)
+    heads = {i for i, r in zip(ids, records) if r["record_type"] == "response" and r["page_id"] == 3}
+    refs = {re.search(rb"WARC-Refers-To: (\S+)", bytes(r["record"])).group(1) for r in records if r["record_type"] == "revisit"}
+    assert len(refs) == 1 and refs < heads
     empty = scratch(spark, "test-warc")
     warc.write_archive(spark.createDataFrame([], "page_id long, url string, html string"), empty)
     assert warc.archive_report(spark, empty).count() == 0
