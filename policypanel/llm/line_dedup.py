@@ -30,12 +30,12 @@ def exploded(docs: DataFrame) -> DataFrame:
     return lines.where(F.col("line").rlike(r"\S"))
 
 
-def shingles(line: Column) -> Column:
-    """Sorted distinct hashes of the runs of ``CHARS`` characters (code points) at every position, in lower case; a shorter line is one run.
+def shingles(low: Column) -> Column:
+    """Sorted distinct hashes of the runs of ``CHARS`` characters (code points) at every position of a line in lower case; a shorter line is one run.
 
-    One pass from each of the first ``CHARS`` positions takes every ``CHARS``-th run, which together are all runs.
+    One pass from each of the first ``CHARS`` positions takes every ``CHARS``-th run, which together are all runs. ``low`` is read
+    several times, so it is to be a column and not an expression.
     """
-    low = F.lower(line)
     runs = F.concat(*(F.regexp_extract_all(F.substring(low, k + 1, (1 << 31) - 1), F.lit(r"(?s).{%d}" % CHARS), F.lit(0)) for k in range(CHARS)))
     hashes = F.transform(F.when(F.length(low) < CHARS, F.array(low)).otherwise(runs), lambda x: F.xxhash64(x))
     return F.sort_array(F.array_distinct(hashes))
@@ -101,7 +101,8 @@ def line_nodes(docs: DataFrame) -> DataFrame:
     """One row per different line: node, copies, its first place (order, then doc_key), size, sketch and band keys."""
     lines = exploded(docs)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no", "doc_key")
-    h = lines.select(node_of(F.col("line")).alias("node"), order.alias("first"), shingles(F.col("line")).alias("h"))
+    low = lines.select(node_of(F.col("line")).alias("node"), order.alias("first"), F.lower("line").alias("low"))
+    h = low.select("node", "first", shingles(F.col("low")).alias("h"))
     keyed = h.select("node", "first", F.size("h").alias("n"), sketch(F.col("h")).alias("sketch"), band_keys(F.col("h")).alias("keys"))
     return keyed.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("first", "n", "sketch", "keys")).alias("r")).select(
         "node", "copies", "r.first", "r.n", "r.sketch", "r.keys"
@@ -168,15 +169,17 @@ def compared(docs: DataFrame, ids: DataFrame, pairs: DataFrame) -> DataFrame:
     likely = pairs.join(of("u"), "u").join(of("v"), "v").where(_likely(F.col("sketch_u"), F.col("sketch_v"))).select("u", "v")
     likely = stored(likely, "line-pairs")
     wanted = likely.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    texts = stored(wanted_lines(exploded(docs), ids.select("node", "place").join(wanted, "node", "left_semi")), "line-texts")
+    found = wanted_lines(exploded(docs), ids.select("node", "place").join(wanted, "node", "left_semi"))
+    texts = stored(found.select("node", F.lower("line").alias("low")), "line-texts")
     return stored(verified(likely, texts), "line-links")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (u, v) of nodes whose shingle sets are similar enough."""
-    both = pairs.join(texts.select(F.col("node").alias("v"), F.col("line").alias("lv")), "v").join(texts.select(F.col("node").alias("u"), F.col("line").alias("lu")), "u")
+    """The pairs (u, v) of nodes whose shingle sets are similar enough, by ``texts`` (node, low)."""
+    of = lambda end: texts.select(F.col("node").alias(end), F.col("low").alias(f"low_{end}"))
+    both = pairs.join(of("v"), "v").join(of("u"), "u")
     # in an array of one, so that the sets are made once for a pair
-    sets = F.array(F.struct(shingles(F.col("lu")).alias("a"), shingles(F.col("lv")).alias("b")))
+    sets = F.array(F.struct(shingles(F.col("low_u")).alias("a"), shingles(F.col("low_v")).alias("b")))
     return both.where(F.exists(sets, lambda x: _linked(x["a"], x["b"]))).select("u", "v")
 
 
