@@ -13,9 +13,9 @@ def test_stream_equals_batch(spark, tmp_dir):
     schema = spark.read.parquet(src).schema
     measures = {m: m for m in ["persons_killed", "persons_injured", "ped_killed",
                                "cyc_killed", "mot_killed"]}
-    lo, hi = X.roles.EVENT_WINDOW
+    # the batch summary reads every year from the first on
     out = stream_period_summary(spark, src, schema, "l_shipdate", X.LINE_MEASURES, measures,
-                                cut=X.roles.EVENT_CUT, year_min=lo, year_max=hi,
+                                cut=X.roles.EVENT_CUT, year_min=X.roles.EVENT_WINDOW[0],
                                 max_files_per_trigger=1)
     batch = annual_summary(spark, SF)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, batch.collect()))
