@@ -47,7 +47,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the folders of ``stored`` tables that nothing reads any more: what was made of them is stored itself."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._stored_at)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def dealt(df: DataFrame, *cols: str) -> DataFrame:
@@ -81,7 +90,8 @@ def connected_components(edges: DataFrame, name: str = "components", max_rounds:
         small = large.join(low2, F.col("u") == F.col("k")).select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")
         ).select("e.u", "e.v")
-        cur = stored(small.distinct(), name)
+        last, cur = cur, stored(small.distinct(), name)
+        discard(last)
         now = _print(cur)
         if now == seen:
             break

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from policypanel.llm.common import connected_components, dealt, stored
+from policypanel.llm.common import connected_components, dealt, discard, stored
 
 #: Characters of a shingle; there is one at every position.
 CHARS = 5
@@ -128,9 +128,11 @@ def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     rest = still_mixed(placed(without(met, "lo", "hi"), comps))
     # the heads come from grouped minima, so a frequent key is not gathered in one task
     heads = rest.groupBy("key").agg(F.min(turn).alias("lo"), F.max(turn).alias("hi"))
-    met = stored(rest.join(heads, "key"), "line-met")
+    first, met = met, stored(rest.join(heads, "key"), "line-met")
+    discard(first, links)
     links = compared(docs, ids, pairs_with(met.where("component <> lo.component OR component <> hi.component"), "lo", "hi"))
-    comps = stored(connected_components(links.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v")))), "line-components")
+    first, comps = comps, stored(connected_components(links.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v")))), "line-components")
+    discard(first, links)
 
     apart = stored(still_mixed(placed(without(met, "lo", "hi"), comps)).join(ids.select("node", "sketch"), "node"), "line-apart")
     a, b = apart.alias("a"), apart.alias("b")
@@ -140,6 +142,7 @@ def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         & _near(F.col("a.n"), F.col("b.n")) & _likely(F.col("a.sketch"), F.col("b.sketch")),
     ).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
     links = compared(docs, ids, across)
+    discard(met, apart)
     return connected_components(links.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
 
@@ -171,7 +174,9 @@ def compared(docs: DataFrame, ids: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = likely.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     found = wanted_lines(exploded(docs), ids.select("node", "place").join(wanted, "node", "left_semi"))
     texts = stored(found.select("node", F.lower("line").alias("low")), "line-texts")
-    return stored(verified(likely, texts), "line-links")
+    links = stored(verified(likely, texts), "line-links")
+    discard(likely, texts)
+    return links
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
