@@ -11,7 +11,9 @@ from policypanel.llm.common import connected_components, dealt, discard, stored
 CHARS = 5
 #: Hashes per band key. Lines with fewer shingles than ``SHORT`` have a key from every run of sorted hashes, others
 #: one from the start of each of 8 equal ranges of hashes.
-ROWS, SHORT = 3, 24
+ROWS, SHORT, RANGES = 3, 24, 8
+#: Words of 64 parity bits by which lines that share a key are told apart without an error.
+WORDS = 16
 THRESHOLD = (80, 100)
 #: Hashes in a line's sketch, and how many of them two lines must share before their texts are compared.
 BOTTOM, AGREE = 16, 6
@@ -30,26 +32,62 @@ def exploded(docs: DataFrame) -> DataFrame:
     return lines.where(F.col("line").rlike(r"\S"))
 
 
+def runs(low: Column) -> Column:
+    """Hashes of the runs of ``CHARS`` characters (code points) at every position of a line in lower case; a shorter line is one run.
+
+    Runs are cut from the bytes, where a place is found in constant time: from the line's own if each character is one byte, else
+    from four for each character. ``low`` is read several times, so it is to be a column and not an expression.
+    """
+
+    def cut(raw: Column, width: int, run) -> Column:
+        # in an array of one, so that the bytes are made once for a line
+        at = lambda b: F.sequence(F.lit(1), F.greatest(F.lit(1), F.octet_length(b) - (CHARS * width - 1)), F.lit(width))
+        return F.flatten(F.transform(F.array(raw), lambda b: F.transform(at(b), lambda i: F.xxhash64(run(F.substring(b, i, F.lit(CHARS * width)))))))
+
+    wide = cut(F.encode(low, "UTF-32"), 4, lambda x: F.decode(x, "UTF-32"))
+    return F.when(F.octet_length(low) == F.length(low), cut(low.cast("binary"), 1, lambda x: x)).otherwise(wide)
+
+
 def shingles(low: Column) -> Column:
-    """Sorted distinct hashes of the runs of ``CHARS`` characters (code points) at every position of a line in lower case; a shorter line is one run.
+    """The sorted distinct ``runs`` of a line."""
+    return F.sort_array(F.array_distinct(runs(low)))
+
+
+def with_ranges(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` (h, sorted hashes, ...) with columns s0 to s<n>: at which place of h each of ``n`` equal ranges of hashes begins, and its size.
 
-    One pass from each of the first ``CHARS`` positions takes every ``CHARS``-th run, which together are all runs. ``low`` is read
-    several times, so it is to be a column and not an expression.
+    The ranges' bounds are sorted in among the hashes, and their places are looked up.
     """
-    runs = F.concat(*(F.regexp_extract_all(F.substring(low, k + 1, (1 << 31) - 1), F.lit(r"(?s).{%d}" % CHARS), F.lit(0)) for k in range(CHARS)))
-    hashes = F.transform(F.when(F.length(low) < CHARS, F.array(low)).otherwise(runs), lambda x: F.xxhash64(x))
-    return F.sort_array(F.array_distinct(hashes))
+    bounds = [(r - n // 2) * ((1 << 64) // n) for r in range(1, n)]
+    marked = rows.withColumn("marked", F.sort_array(F.concat("h", F.array(*map(F.lit, bounds)))))
+    starts = {f"s{r}": (F.array_position("marked", F.lit(b)) - r).cast("int") for r, b in enumerate(bounds, 1)}
+    return marked.withColumns({"s0": F.lit(0), f"s{n}": F.size("h")} | starts).drop("marked")
 
 
-def band_keys(h: Column) -> Column:
-    """Band keys of sorted hashes: a hash of ``ROWS`` neighbours, the last ones followed by the first.
+def band_keys() -> Column:
+    """Band keys of sorted hashes h ``with_ranges``: a hash of ``ROWS`` neighbours, the last ones followed by the first.
 
     The smallest hashes of a range are minima of a one-permutation MinHash, so two sets agree on a key with about
     their similarity to the power ``ROWS``.
     """
-    run = lambda x, i: F.xxhash64(x, *(F.get(h, (i + k) % F.size(h)) for k in range(1, ROWS)))
-    starts = F.transform(h, lambda x, i: F.when((i == 0) | (F.shiftright(x, 61) != F.shiftright(F.get(h, i - 1), 61)), run(x, i)))
-    return F.when(F.size(h) >= SHORT, F.array_compact(starts)).otherwise(F.transform(h, run))
+    h = F.col("h")
+    run = lambda i: F.xxhash64(*(F.get(h, (i + k) % F.size(h)) for k in range(ROWS)))
+    starts = F.array(*(F.when(F.col(f"s{r}") < F.col(f"s{r + 1}"), run(F.col(f"s{r}"))) for r in range(RANGES)))
+    return F.when(F.size(h) >= SHORT, F.array_compact(starts)).otherwise(F.transform(h, lambda x, i: run(i)))
+
+
+def parity_bits() -> list[Column]:
+    """Of sorted hashes h ``with_ranges``, a bit for each of 64 cells of each of ``WORDS`` ranges: whether it holds an odd number of hashes."""
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
+    part = lambda r: F.slice("h", F.col(f"s{r}") + 1, F.col(f"s{r + 1}") - F.col(f"s{r}"))
+    return [F.aggregate(part(r), F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x))).alias(f"bits{r}") for r in range(WORDS)]
+
+
+def _may_link(a: str, b: str) -> Column:
+    """Whether two sets can be linked: every cell of unequal parity holds a hash that only one of them has. Never false for linked sets."""
+    num, den = THRESHOLD
+    odd = sum((F.bit_count(F.col(f"{a}.bits{r}").bitwiseXOR(F.col(f"{b}.bits{r}"))) for r in range(WORDS)), F.lit(0))
+    return odd * (num + den) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (den - num)
 
 
 def node_of(line: Column) -> Column:
@@ -67,10 +105,10 @@ def _near(a: Column, b: Column) -> Column:
     return F.least(a, b) * den >= F.greatest(a, b) * num
 
 
-def _linked(a: Column, b: Column) -> Column:
-    """Exact Jaccard similarity of two shingle sets at or over the threshold."""
+def _linked(a: Column, b: Column, sizes: Column) -> Column:
+    """Exact Jaccard similarity of two lines' ``runs``, of ``sizes`` distinct ones together, at or over the threshold."""
     num, den = THRESHOLD
-    return F.size(F.array_intersect(a, b)) * (num + den) >= num * (F.size(a) + F.size(b))
+    return F.size(F.array_intersect(a, b)) * (num + den) >= num * sizes
 
 
 def sketch(h: Column) -> Column:
@@ -103,7 +141,7 @@ def line_nodes(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no", "doc_key")
     low = lines.select(node_of(F.col("line")).alias("node"), order.alias("first"), F.lower("line").alias("low"))
     h = low.select("node", "first", shingles(F.col("low")).alias("h"))
-    keyed = h.select("node", "first", F.size("h").alias("n"), sketch(F.col("h")).alias("sketch"), band_keys(F.col("h")).alias("keys"))
+    keyed = with_ranges(h, RANGES).select("node", "first", F.size("h").alias("n"), sketch(F.col("h")).alias("sketch"), band_keys().alias("keys"))
     return keyed.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("first", "n", "sketch", "keys")).alias("r")).select(
         "node", "copies", "r.first", "r.n", "r.sketch", "r.keys"
     )
@@ -115,7 +153,8 @@ def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     Band keys are met in three rounds: first each key's nodes with the smallest and the largest of them; then its other nodes, if they are
     still in different components, with two of those; then what is left of a key, if still mixed, all pairs across components. So every two nodes of
     a key are compared or in one component, and pairs inside a component, which cannot change it, are not made. Pairs are
-    told apart by size and sketch before any text is fetched.
+    told apart by size and sketch before any text is fetched. In the last round, where a group of lines that are alike but not
+    linked would give all its pairs, they are first told apart by the bits of ``_may_link``.
     """
     ids = nodes.select(short_id(F.col("node")).alias("node"), "n", "sketch", F.xxhash64("first.doc_key", "first.line_no").alias("place"))
     keys = dealt(nodes.select(F.explode(F.array_distinct("keys")).alias("key"), short_id(F.col("node")).alias("node"), "n"), "key")
@@ -135,17 +174,30 @@ def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     discard(first, links)
 
     apart = stored(still_mixed(placed(without(met, "lo", "hi"), comps)).join(ids.select("node", "sketch"), "node"), "line-apart")
-    a, b = apart.alias("a"), apart.alias("b")
-    across = a.join(
-        b,
-        (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
-        & _near(F.col("a.n"), F.col("b.n")) & _likely(F.col("a.sketch"), F.col("b.sketch")),
-    ).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
-    links = compared(docs, ids, across)
-    discard(met, apart)
+    discard(met)
+    # only nodes that share a key with a likely one need bits, for which their texts are read
+    some = stored(apart.alias("a").join(apart.alias("b"), apart_pair(F.col("a.node") != F.col("b.node")), "left_semi"), "line-some")
+    discard(apart)
+    texts = stored(texts_of(docs, ids, some.select("node").distinct()), "line-texts")
+    bits = with_ranges(texts.select("node", shingles(F.col("low")).alias("h")), WORDS).select("node", *parity_bits())
+    apart = stored(some.join(bits, "node"), "line-apart")
+    discard(some)
+    across = apart.alias("a").join(apart.alias("b"), apart_pair(F.col("a.node") < F.col("b.node"), _may_link("a", "b"))).select(
+        F.col("a.node").alias("u"), F.col("b.node").alias("v"), (F.col("a.n") + F.col("b.n")).alias("sizes")
+    ).distinct()
+    links = stored(verified(across, texts), "line-links")
+    discard(apart, texts)
     return connected_components(links.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
 
+def apart_pair(order: Column, *also: Column) -> Column:
+    """Rows a and b of one key whose nodes, told apart by ``order``, are in different components and likely linked."""
+    apart = (F.col("a.key") == F.col("b.key")) & order & (F.col("a.component") != F.col("b.component")) & _near(F.col("a.n"), F.col("b.n"))
+    for x in also:
+        apart = apart & x
+    return apart & _likely(F.col("a.sketch"), F.col("b.sketch"))
+
+
 def pairs_with(met: DataFrame, *heads: str) -> DataFrame:
     """Pairs (u, v) of each row's node and the heads of its key that are of similar size."""
     both = met.select("node", "n", F.explode(F.array(*(F.struct(f"{h}.node", f"{h}.n") for h in heads))).alias("head"))
@@ -168,24 +220,26 @@ def placed(rows: DataFrame, comps: DataFrame) -> DataFrame:
 
 def compared(docs: DataFrame, ids: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (u, v) that are linked: those of likely sketches, verified on their texts."""
-    of = lambda end: ids.select(F.col("node").alias(end), F.col("sketch").alias(f"sketch_{end}"))
-    likely = pairs.join(of("u"), "u").join(of("v"), "v").where(_likely(F.col("sketch_u"), F.col("sketch_v"))).select("u", "v")
-    likely = stored(likely, "line-pairs")
-    wanted = likely.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    found = wanted_lines(exploded(docs), ids.select("node", "place").join(wanted, "node", "left_semi"))
-    texts = stored(found.select("node", F.lower("line").alias("low")), "line-texts")
+    of = lambda end: ids.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"sketch_{end}"))
+    likely = pairs.join(of("u"), "u").join(of("v"), "v").where(_likely(F.col("sketch_u"), F.col("sketch_v")))
+    likely = stored(likely.select("u", "v", (F.col("n_u") + F.col("n_v")).alias("sizes")), "line-pairs")
+    texts = stored(texts_of(docs, ids, likely.select(F.explode(F.array("u", "v")).alias("node")).distinct()), "line-texts")
     links = stored(verified(likely, texts), "line-links")
     discard(likely, texts)
     return links
 
 
+def texts_of(docs: DataFrame, ids: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, low) of the ``wanted`` nodes."""
+    found = wanted_lines(exploded(docs), ids.select("node", "place").join(wanted, "node", "left_semi"))
+    return found.select("node", F.lower("line").alias("low"))
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (u, v) of nodes whose shingle sets are similar enough, by ``texts`` (node, low)."""
+    """The pairs (u, v) of nodes whose shingle sets, of ``sizes`` together, are similar enough, by ``texts`` (node, low)."""
     of = lambda end: texts.select(F.col("node").alias(end), F.col("low").alias(f"low_{end}"))
     both = pairs.join(of("v"), "v").join(of("u"), "u")
-    # in an array of one, so that the sets are made once for a pair
-    sets = F.array(F.struct(shingles(F.col("low_u")).alias("a"), shingles(F.col("low_v")).alias("b")))
-    return both.where(F.exists(sets, lambda x: _linked(x["a"], x["b"]))).select("u", "v")
+    return both.where(_linked(runs(F.col("low_u")), runs(F.col("low_v")), F.col("sizes"))).select("u", "v")
 
 
 def still_mixed(placed: DataFrame) -> DataFrame:

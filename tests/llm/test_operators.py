@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 from policypanel.llm import bpe, chat, html_extract, line_dedup, ngram_join, nn_descent, packing, quality, sharding, warc
 from policypanel.llm.common import connected_components, scratch
@@ -456,3 +457,43 @@ def test_bpe_of_shuffled_and_grouped_frames(spark):
         got = bpe.encode_documents(frame, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, chunk=700, overlap=60)
         assert sorted((r["doc_id"], r["ids_sha256"]) for r in got.collect()) == want
     assert bpe.encode_documents(df.limit(0), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).count() == 0
+
+
+def test_alike_but_unlinked_lines_are_not_all_verified(spark, monkeypatch):
+    """A group of lines at a similarity of about 0.65: all pairs share keys and sketches, none is linked; only a few may reach their texts."""
+    rng = random.Random(3)
+    base = [rng.choice("abcdefghijklmnopqrstuvwxyz é") for _ in range(300)]
+
+    def edited(n):
+        line = list(base)
+        for at in rng.sample(range(5, 295), n):
+            line[at] = rng.choice("ABCDEFGHIJ0123456789ß")
+        return "".join(line)
+
+    lines = [edited(7) for _ in range(60)]
+    near = lines[7][:150] + "#" + lines[7][151:]
+    sent = []
+    verified = line_dedup.verified
+    monkeypatch.setattr(line_dedup, "verified", lambda pairs, texts: sent.append(pairs.count()) or verified(pairs, texts))
+    got = {r["doc_id"]: r["kept"] for r in line_dedup.line_decisions(documents(spark, list(enumerate([*lines, near])))).collect()}
+
+    def runs(x):
+        return {x.lower()[i : i + 5] for i in range(len(x) - 4)}
+
+    a = [runs(x) for x in lines]
+    assert max(len(x & y) / len(x | y) for i, x in enumerate(a) for y in a[:i]) < 0.8
+    assert got == {**{i: True for i in range(60)}, 60: False}
+    assert sent[-1] < 60, sent
+
+
+def test_parity_bits_keep_every_linked_pair(spark):
+    """Pairs right at the threshold pass the bits, whatever their size."""
+    rng = random.Random(5)
+    rows = []
+    for k, n in enumerate((9, 18, 90, 450, 1800)):
+        a = sorted(rng.getrandbits(64) - 2**63 for _ in range(n + n // 9))
+        rows += [(k, 0, a[:n]), (k, 1, a[n // 9 :])]
+    h = spark.createDataFrame(rows, "k int, side int, h array<bigint>")
+    bits = line_dedup.with_ranges(h, line_dedup.WORDS).select("k", "side", F.size("h").alias("n"), *line_dedup.parity_bits())
+    a, b = bits.where("side = 0").alias("a"), bits.where("side = 1").alias("b")
+    assert a.join(b, F.col("a.k") == F.col("b.k")).where(line_dedup._may_link("a", "b")).count() == 5
