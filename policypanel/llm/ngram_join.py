@@ -11,16 +11,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from policypanel.llm.common import connected_components, stored
+from policypanel.llm.common import connected_components, dealt, discard, stored
 
 #: Counters that order shingles by how often they occur: a fixed number, so what is broadcast does not grow.
 #: They only set the order; any order gives the same links, a coarser one more candidates.
 COUNTERS, CHUNK = 1 << 22, 1 << 12
 #: Bits that say which rows may hold a candidate (8 MB). False positives cost time, never a result.
 BITS = 1 << 26
-#: Cells that a set's shingles are counted in by their last bits: two sets share at most the sum of the smaller counts.
-CELLS = 64
-#: Bytes of text hashed at a time.
+#: Words of 64 parity bits of a set: its shingles fall into 64 cells a word by their last bits, and a bit says whether a cell holds an odd number.
+WORDS = 8
+#: Bytes of text hashed, and shingles counted, at a time.
 SLICE = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -99,8 +99,13 @@ def shingle_counts(docs: DataFrame, n: int) -> bytes:
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros(COUNTERS, dtype=np.uint32)
         for p in parts:
-            found = [np.empty(0, np.uint64), *shingle_runs(list(p["text"]), n)]
-            sums += np.bincount((np.concatenate(found) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+            found, size = [], 0
+            for last, run in enumerate(shingle_runs(list(p["text"]), n), 1):
+                found.append((run & np.uint64(COUNTERS - 1)).astype(np.uint32))
+                size += len(run)
+                if size >= SLICE or last == len(p):
+                    sums += np.bincount(np.concatenate(found), minlength=COUNTERS).astype(np.uint32)
+                    found, size = [], 0
         for at in range(0, COUNTERS, CHUNK):
             part = sums[at : at + CHUNK]
             if part.any():
@@ -133,25 +138,26 @@ def row_key(*cols: Column | str) -> Column:
 
 
 def document_sets(docs: DataFrame, n: int, num: int, den: int, levels) -> DataFrame:
-    """One row per document: doc_id, row_key, n_shingles, node (a hash of the set; null without words) and its prefix."""
+    """One row per document: doc_id, row_key, n_shingles, node (a hash of the set; null without words), its prefix and its parity bits."""
 
     def sets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lv = np.frombuffer(levels.value, dtype=np.uint8)
         for p in parts:
-            sizes, nodes, prefixes, cells = [], [], [], []
+            sizes, nodes, prefixes, bits = [], [], [], []
             for run in shingle_runs(list(p["text"]), n):
                 x = rare_first(run, lv)
                 size = len(x)
                 sizes.append(size)
                 nodes.append(xxhash.xxh64_intdigest(x.tobytes()) - (1 << 63) if size else None)
                 prefixes.append(x[: size - -(-num * size // den) + 1].astype(np.int64) if size else None)
-                cells.append(np.bincount((x & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.int32))
-            out = pd.DataFrame({"n_shingles": sizes, "node": pd.array(nodes, dtype="Int64"), "prefix": prefixes, "cells": cells})
+                odd = np.bincount((x & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+                bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            out = pd.DataFrame({"n_shingles": sizes, "node": pd.array(nodes, dtype="Int64"), "prefix": prefixes, "bits": bits})
             out.insert(0, "row_key", p["row_key"])
             out.insert(0, "doc_id", p["doc_id"].astype("Int64"))
             yield out
 
-    return docs.mapInPandas(sets, "doc_id long, row_key long, n_shingles long, node long, prefix array<long>, cells array<int>")
+    return docs.mapInPandas(sets, "doc_id long, row_key long, n_shingles long, node long, prefix array<long>, bits array<long>")
 
 
 def candidate_sets(docs: DataFrame, nodes: DataFrame, n: int, levels) -> DataFrame:
@@ -225,10 +231,11 @@ def _passes(na: Column, pa: Column, nb: Column, pb: Column, num: int, den: int)
     return (F.least(na, nb) * den >= F.greatest(na, nb) * num) & (F.least(na - pa, nb - pb) * (num + den) >= (na + nb) * num)
 
 
-def _shared_at_most(a: Column, b: Column) -> Column:
-    """The suffix filter on counts: both sets are split into cells by their shingles' last bits, and cells share no
-    more than the smaller of the two."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+def _may_link(bits_a: Column, bits_b: Column, sizes: Column, num: int, den: int) -> Column:
+    """The suffix filter on parity bits: every cell of unequal parity holds a shingle that only one of the sets has, and linked
+    sets of ``sizes`` together have no more such shingles than the threshold leaves. Never false for linked sets."""
+    odd = sum((F.bit_count(F.get(bits_a, i).bitwiseXOR(F.get(bits_b, i))) for i in range(WORDS)), F.lit(0))
+    return odd * (num + den) <= sizes * (den - num)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -239,7 +246,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
 
     Equal sets are one node. A prefix of each set, the rarest shingles first, is joined in two rounds: first each prefix shingle's
     nodes with the smallest and the largest of them, then, among nodes that are still in different components, every
-    pair that meets in a prefix shingle. Each pair passes the length and positional filters, is made distinct, and is verified
+    pair that meets in a prefix shingle. Each pair passes the length, positional and suffix filters, is made distinct, and is verified
     once. Pairs inside a component need no check, as they cannot change it, so a group of near copies
     does not give all its pairs.
 
@@ -250,38 +257,54 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     levels = src.sparkSession.sparkContext.broadcast(shingle_counts(src, n))
     found = stored(document_sets(src, n, num, den, levels), "ngram-sets")
 
-    nodes = stored(
-        found.where("node IS NOT NULL").groupBy("node").agg(F.min_by(F.struct("row_key", "n_shingles", "prefix", "cells"), "row_key").alias("r")).select(
-            "node", "r.row_key", F.col("r.n_shingles").alias("n"), "r.prefix", "r.cells"),
+    wide = stored(
+        found.where("node IS NOT NULL").groupBy("node").agg(F.min_by(F.struct("row_key", "n_shingles", "prefix", "bits"), "row_key").alias("r")).select(
+            "node", "r.row_key", F.col("r.n_shingles").alias("n"), "r.prefix", "r.bits"),
         "ngram-nodes",
     )
-    tokens = nodes.select("node", "n", F.posexplode("prefix").alias("p", "token"))
+    first, found = found, stored(found.drop("prefix", "bits"), "ngram-rows")
+    nodes = stored(wide.drop("prefix"), "ngram-nodes")
+    discard(first)
 
-    # round 1: a prefix shingle's nodes against the smallest of them
+    # most prefix shingles are in one set only: they are left out before anything else is made of them
+    tokens = dealt(wide.select("node", "n", F.posexplode("prefix").alias("p", "token")), "token")
+    shared = tokens.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("token")
+    tokens = stored(tokens.join(shared, "token", "left_semi"), "ngram-shared")
+    discard(wide)
+
+    # round 1: a prefix shingle's nodes against the smallest and the largest of them
     row = F.struct("node", "n", "p")
-    ends = tokens.groupBy("token").agg(F.min(row).alias("lo"), F.max(row).alias("hi")).where(F.col("lo.node") != F.col("hi.node"))
+    ends = tokens.groupBy("token").agg(F.min(row).alias("lo"), F.max(row).alias("hi"))
     heads = tokens.join(ends, "token")
     star = heads.select("node", "n", "p", F.explode(F.array("lo", "hi")).alias("h")).where(
         (F.col("node") != F.col("h.node")) & _passes(F.col("n"), F.col("p"), F.col("h.n"), F.col("h.p"), num, den)
     )
-    pairs = stored(star.select(F.least("node", "h.node").alias("u"), F.greatest("node", "h.node").alias("v")).distinct(), "ngram-pairs")
-    met = _ends(pairs).join(nodes.select("node", "row_key"), "node")
-    sets = stored(candidate_sets(src, met, n, levels).join(met.select("node"), "node", "left_semi").dropDuplicates(["node"]), "ngram-tokens")
-    links = stored(verified(pairs, sets, num, den), "ngram-links")
+    star = star.select(F.least("node", "h.node").alias("u"), F.greatest("node", "h.node").alias("v")).distinct()
+    of = lambda end: nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
+    may = _may_link(F.col("bits_u"), F.col("bits_v"), F.col("n_u") + F.col("n_v"), num, den)
+    pairs = stored(star.join(of("u"), "u").join(of("v"), "v").where(may).select("u", "v"), "ngram-pairs")
+    links = stored(verified(pairs, sets_of(src, nodes, pairs, n, levels), num, den), "ngram-links")
     comps = stored(connected_components(links), "ngram-components")
+    discard(links)
 
     # round 2: pairs across components
     placed = tokens.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ends = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     mixed = placed.join(ends.select("token"), "token", "left_semi").select("token", "node", "n", "p", "component")
-    mixed = stored(mixed.join(nodes.select("node", "cells"), "node"), "ngram-mixed")
+    mixed = stored(mixed.join(nodes.select("node", "bits"), "node"), "ngram-mixed")
+    discard(tokens)
     a, b = mixed.alias("a"), mixed.alias("b")
-    across = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & _passes(F.col("a.n"), F.col("a.p"), F.col("b.n"), F.col("b.p"), num, den) & (_shared_at_most(F.col("a.cells"), F.col("b.cells")) * (num + den) >= (F.col("a.n") + F.col("b.n")) * num))
+    across = a.join(
+        b,
+        (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
+        & _passes(F.col("a.n"), F.col("a.p"), F.col("b.n"), F.col("b.p"), num, den)
+        & _may_link(F.col("a.bits"), F.col("b.bits"), F.col("a.n") + F.col("b.n"), num, den),
+    )
     more = stored(across.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti"), "ngram-across")
-    met2 = _ends(more).join(nodes.select("node", "row_key"), "node")
-    sets2 = stored(candidate_sets(src, met2, n, levels).join(met2.select("node"), "node", "left_semi").dropDuplicates(["node"]), "ngram-tokens")
-    links2 = verified(more, sets2, num, den)
-    comps = stored(connected_components(links2.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v")))), "ngram-components")
+    discard(mixed, pairs)
+    links = stored(verified(more, sets_of(src, nodes, more, n, levels), num, den), "ngram-links")
+    first, comps = comps, stored(connected_components(links.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v")))), "ngram-components")
+    discard(first, links, more, nodes)
 
     heads = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
     by_node = found.where("node IS NOT NULL").groupBy("node").agg(F.min(heads).alias("h")).join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -293,8 +316,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     )
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+def sets_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, levels) -> DataFrame:
+    """(node, tokens) of the nodes in ``pairs`` (u, v)."""
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    met = stored(ends.join(nodes.select("node", "row_key"), "node"), "ngram-met")
+    sets = stored(candidate_sets(docs, met, n, levels).join(met.select("node"), "node", "left_semi").dropDuplicates(["node"]), "ngram-tokens")
+    discard(met)
+    return sets
 
 
 def one_per_group(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:

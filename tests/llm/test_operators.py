@@ -486,6 +486,33 @@ def test_alike_but_unlinked_lines_are_not_all_verified(spark, monkeypatch):
     assert sent[-1] < 60, sent
 
 
+def test_alike_but_unlinked_documents_are_not_all_verified(spark, monkeypatch):
+    """A group of documents at a similarity of about 0.85 to each other, where 0.9 links: their pairs are told apart before their sets are fetched."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(800)]
+
+    def edited(n):
+        words = list(base)
+        for at in rng.sample(range(3, 797), n):
+            words[at] = f"x{rng.randrange(10**6)}"
+        return " ".join(words)
+
+    texts = [edited(11) for _ in range(40)]
+    sent = []
+    verified = ngram_join.verified
+    monkeypatch.setattr(ngram_join, "verified", lambda pairs, *a: sent.append(pairs.count()) or verified(pairs, *a))
+    got = ngram_join.near_duplicates(documents(spark, list(enumerate(texts))), 3, 90, 100).collect()
+
+    def sets(x):
+        w = x.split()
+        return {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+
+    a = [sets(x) for x in texts]
+    assert max(len(x & y) / len(x | y) for i, x in enumerate(a) for y in a[:i]) < 0.9
+    assert all(r["doc_id"] == r["component_id"] for r in got)
+    assert sum(sent) < 40, sent
+
+
 def test_parity_bits_keep_every_linked_pair(spark):
     """Pairs right at the threshold pass the bits, whatever their size."""
     rng = random.Random(5)
