@@ -147,8 +147,15 @@ def line_nodes(docs: DataFrame) -> DataFrame:
     )
 
 
-def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node (its short id) and component (the smallest short id) of each node with a link.
+def met_keys(nodes: DataFrame) -> DataFrame:
+    """(key, node, n) of the band keys of several nodes, with the smallest and the largest of them, lo and hi."""
+    keys = dealt(nodes.select(F.explode(F.array_distinct("keys")).alias("key"), short_id(F.col("node")).alias("node"), "n"), "key")
+    ends = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).where(F.col("lo.node") != F.col("hi.node"))
+    return keys.join(ends, "key")
+
+
+def line_components(docs: DataFrame, nodes: DataFrame, met: DataFrame) -> DataFrame:
+    """node (its short id) and component (the smallest short id) of each node with a link. ``met``, a stored table of ``met_keys``, is removed.
 
     Band keys are met in three rounds: first each key's nodes with the smallest and the largest of them; then its other nodes, if they are
     still in different components, with two of those; then what is left of a key, if still mixed, all pairs across components. So every two nodes of
@@ -157,9 +164,6 @@ def line_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     linked would give all its pairs, they are first told apart by the bits of ``_may_link``.
     """
     ids = nodes.select(short_id(F.col("node")).alias("node"), "n", "sketch", F.xxhash64("first.doc_key", "first.line_no").alias("place"))
-    keys = dealt(nodes.select(F.explode(F.array_distinct("keys")).alias("key"), short_id(F.col("node")).alias("node"), "n"), "key")
-    ends = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).where(F.col("lo.node") != F.col("hi.node"))
-    met = stored(keys.join(ends, "key"), "line-met")
     links = compared(docs, ids, pairs_with(met, "lo", "hi"))
     comps = stored(connected_components(links), "line-components")
 
@@ -256,14 +260,18 @@ def line_decisions(docs: DataFrame) -> DataFrame:
     lines. Null doc_id: comes last. Identical rows share their decisions, so each of them has the kept line; ``without_near_copies``
     leaves one. Extra columns are left out. Empty table: no rows.
     """
-    nodes = stored(line_nodes(docs), "line-nodes")
-    comps = stored(line_components(docs, nodes), "line-components")
+    wide = stored(line_nodes(docs), "line-nodes")
+    met = stored(met_keys(wide), "line-met")
+    nodes = stored(wide.drop("keys"), "line-nodes")
+    discard(wide)
+    comps = stored(line_components(docs, nodes, met), "line-components")
     ids = nodes.select("node", "copies", "first", short_id(F.col("node")).alias("id"))
     some = ids.join(comps.toDF("id", "component"), "id", "left").where("copies > 1 OR component IS NOT NULL")
     some = some.withColumn("component", F.coalesce("component", "id"))
     heads = some.groupBy("component").agg(F.min("first").alias("head"))
     repeated = some.select("node", "component").join(heads, "component").select("node", "component", "head.doc_key", "head.line_no")
-    repeated = repeated.toDF("node", "component", "head_key", "head_line")
+    repeated = stored(repeated.toDF("node", "component", "head_key", "head_line"), "line-repeated")
+    discard(nodes, comps)
     lines = exploded(docs).select("doc_id", "doc_key", "line_no", node_of(F.col("line")).alias("node"))
     return lines.join(repeated, "node", "left").select(
         "doc_id", "doc_key", "line_no", F.lower(F.hex(F.coalesce("component", short_id(F.col("node"))))).alias("component"),
