@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,11 +44,24 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def run_once(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of what is run inside are removed when it ends, and not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: cuts the lineage, survives lost executors."""
+    """``df`` written to the shared folder and read again: cuts the lineage, survives lost executors. The write's shuffle files go with its end."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    with run_once(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
@@ -103,7 +118,8 @@ def connected_components(edges: DataFrame, name: str = "components", max_rounds:
 
 def _print(edges: DataFrame) -> tuple:
     """Count and order-free checksum of an edge set."""
-    row = edges.where("u <> v").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")
-    ).first()
+    with run_once(edges.sparkSession):
+        row = edges.where("u <> v").agg(
+            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")
+        ).first()
     return row["n"], row["x"]

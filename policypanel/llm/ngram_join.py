@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from policypanel.llm.common import connected_components, dealt, discard, stored
+from policypanel.llm.common import connected_components, dealt, discard, run_once, stored
 
 #: Counters that order shingles by how often they occur: a fixed number, so what is broadcast does not grow.
 #: They only set the order; any order gives the same links, a coarser one more candidates.
@@ -122,7 +122,9 @@ def shingle_counts(docs: DataFrame, n: int) -> bytes:
     parts = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInPandas(count, "chunk int, counts binary")
     levels = np.zeros(COUNTERS, dtype=np.uint8)
     # at most COUNTERS bytes in COUNTERS / CHUNK rows
-    for r in parts.repartition(16, "chunk").mapInPandas(add, "chunk int, level binary").collect():
+    with run_once(docs.sparkSession):
+        rows = parts.repartition(16, "chunk").mapInPandas(add, "chunk int, level binary").collect()
+    for r in rows:
         levels[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(bytes(r["level"]), dtype=np.uint8)
     return levels.tobytes()
 
@@ -165,7 +167,9 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, n: int, levels) -> DataFra
     wanted row keys lets through are shingled, so no text is shuffled."""
     bit = F.pmod("row_key", F.lit(BITS))
     # buckets of Spark's bitmaps are numbered from 1 and hold the values from 1 on
-    maps = nodes.select((bit + 1).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m")).collect()
+    maps = nodes.select((bit + 1).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
+    with run_once(docs.sparkSession):
+        maps = maps.collect()
     bitmap = np.zeros(BITS // 8, dtype=np.uint8)
     for r in maps:
         at = (r["k"] - 1) * 4096

@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -13,7 +14,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from policypanel.llm import bpe, chat, html_extract, line_dedup, ngram_join, nn_descent, packing, quality, sharding, warc
+from policypanel.llm import bpe, chat, common, html_extract, line_dedup, ngram_join, nn_descent, packing, quality, sharding, warc
 from policypanel.llm.common import connected_components, scratch
 
 DOCS = "doc_id long, text string, lang string, row_key string, node long"
@@ -524,3 +525,35 @@ def test_parity_bits_keep_every_linked_pair(spark):
     bits = line_dedup.with_ranges(h, line_dedup.WORDS).select("k", "side", F.size("h").alias("n"), *line_dedup.parity_bits())
     a, b = bits.where("side = 0").alias("a"), bits.where("side = 1").alias("b")
     assert a.join(b, F.col("a.k") == F.col("b.k")).where(line_dedup._may_link("a", "b")).count() == 5
+
+
+def shuffle_files(spark):
+    return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ").count("shuffle_")
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark, monkeypatch):
+    """The shuffles of a stored table and of component rounds go when they end, not when the driver collects its garbage; settings stay."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def left(make):
+        before = shuffle_files(spark)
+        out = make()
+        for _ in range(50):  # the files are removed in the background
+            if shuffle_files(spark) <= before:
+                break
+            time.sleep(0.1)
+        return out, shuffle_files(spark) - before
+
+    counts = spark.range(5000).groupBy((F.col("id") % 700).alias("k")).count()
+    out, files = left(lambda: common.stored(counts, "counts"))
+    assert files <= 0 and out.count() == 700 and counts.count() == 700
+    edges = spark.range(400).select(F.col("id").alias("u"), (F.col("id") - F.col("id") % 20).alias("v"))
+    comps, files = left(lambda: common.connected_components(edges))
+    assert files <= 0 and comps.select("component").distinct().count() == 20
+    levels, files = left(lambda: ngram_join.shingle_counts(documents(spark, [(1, "a b c d"), (2, "b c d e")]), 3))
+    assert files <= 0 and sum(x > 0 for x in levels) == 3
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "false")
+    common.stored(counts, "counts")
+    assert spark.conf.get(key) == "false"
+    spark.conf.unset(key)
