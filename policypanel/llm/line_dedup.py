@@ -35,17 +35,13 @@ def exploded(docs: DataFrame) -> DataFrame:
 def runs(low: Column) -> Column:
     """Hashes of the runs of ``CHARS`` characters (code points) at every position of a line in lower case; a shorter line is one run.
 
-    Runs are cut from the bytes, where a place is found in constant time: from the line's own if each character is one byte, else
-    from four for each character. ``low`` is read several times, so it is to be a column and not an expression.
+    Runs are cut from four bytes for each character, where a place is found in constant time, and hashed as they are.
     """
-
-    def cut(raw: Column, width: int, run) -> Column:
-        # in an array of one, so that the bytes are made once for a line
-        at = lambda b: F.sequence(F.lit(1), F.greatest(F.lit(1), F.octet_length(b) - (CHARS * width - 1)), F.lit(width))
-        return F.flatten(F.transform(F.array(raw), lambda b: F.transform(at(b), lambda i: F.xxhash64(run(F.substring(b, i, F.lit(CHARS * width)))))))
-
-    wide = cut(F.encode(low, "UTF-32"), 4, lambda x: F.decode(x, "UTF-32"))
-    return F.when(F.octet_length(low) == F.length(low), cut(low.cast("binary"), 1, lambda x: x)).otherwise(wide)
+    size = 4 * CHARS
+    at = lambda raw: F.sequence(F.lit(1), F.greatest(F.lit(1), F.octet_length(raw) - (size - 1)), F.lit(4))
+    cut = lambda raw: F.transform(at(raw), lambda i: F.xxhash64(F.substring(raw, i, F.lit(size))))
+    # in an array of one, so that the bytes are made once for a line
+    return F.get(F.transform(F.array(F.encode(low, "UTF-32")), cut), 0)
 
 
 def shingles(low: Column) -> Column:
@@ -72,8 +68,9 @@ def band_keys() -> Column:
     """
     h = F.col("h")
     run = lambda i: F.xxhash64(*(F.get(h, (i + k) % F.size(h)) for k in range(ROWS)))
+    # an empty range has null: ``array_compact`` and other functions with a lambda would take all below them out of generated code
     starts = F.array(*(F.when(F.col(f"s{r}") < F.col(f"s{r + 1}"), run(F.col(f"s{r}"))) for r in range(RANGES)))
-    return F.when(F.size(h) >= SHORT, F.array_compact(starts)).otherwise(F.transform(h, lambda x, i: run(i)))
+    return F.when(F.size(h) >= SHORT, starts).otherwise(F.transform(h, lambda x, i: run(i)))
 
 
 def parity_bits() -> list[Column]:
@@ -112,8 +109,9 @@ def _linked(a: Column, b: Column, sizes: Column) -> Column:
 
 
 def sketch(h: Column) -> Column:
-    """The ``BOTTOM`` smallest of sorted hashes, 32 bits of each."""
-    return F.transform(F.slice(h, 1, BOTTOM), lambda x: x.bitwiseAND((1 << 31) - 1).cast("int"))
+    """The ``BOTTOM`` smallest of sorted hashes, 31 bits of each."""
+    short = lambda x: x.bitwiseAND((1 << 31) - 1).cast("int")
+    return F.when(F.size(h) >= BOTTOM, F.array(*(short(F.get(h, i)) for i in range(BOTTOM)))).otherwise(F.transform(h, short))
 
 
 def _likely(a: Column, b: Column) -> Column:
@@ -149,7 +147,7 @@ def line_nodes(docs: DataFrame) -> DataFrame:
 
 def met_keys(nodes: DataFrame) -> DataFrame:
     """(key, node, n) of the band keys of several nodes, with the smallest and the largest of them, lo and hi."""
-    keys = dealt(nodes.select(F.explode(F.array_distinct("keys")).alias("key"), short_id(F.col("node")).alias("node"), "n"), "key")
+    keys = dealt(nodes.select(F.explode(F.array_distinct("keys")).alias("key"), short_id(F.col("node")).alias("node"), "n").where("key IS NOT NULL"), "key")
     ends = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).where(F.col("lo.node") != F.col("hi.node"))
     return keys.join(ends, "key")
 

@@ -557,3 +557,19 @@ def test_a_stored_table_leaves_no_shuffle_files(spark, monkeypatch):
     common.stored(counts, "counts")
     assert spark.conf.get(key) == "false"
     spark.conf.unset(key)
+
+
+def test_line_hashes_are_cut_in_generated_code(spark):
+    """Characters are not decoded one by one, and band keys and sketches of long lines are not read below a lambda; a run has one hash in lines of any characters."""
+    lines = ["abcdefg", "\u00e9abcdefg", "abcdefg\u4e2d", "abcdefg\U0001f600", "ab", "", "\u4e2dx", "\u00e4\u00b8\u00adx"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, low string").repartition(1)
+    h = {r["i"]: r["h"] for r in df.select("i", line_dedup.runs(F.col("low")).alias("h")).collect()}
+    assert [len(h[i]) for i in range(8)] == [3, 4, 4, 4, 1, 1, 1, 1]
+    assert all(set(h[0]) <= set(h[i]) for i in (1, 2, 3)) and len({x for v in h.values() for x in v}) == 3 + 3 + 4
+    long = "".join(chr(97 + k % 23) + str(k) for k in range(60))
+    rows = line_dedup.line_nodes(documents(spark, [(1, long), (2, "a short line")]))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "decode" not in plan.lower() and "filter(array" not in plan and "transform(slice" not in plan
+    got = {r["first"]["doc_id"]: r for r in rows.collect()}
+    assert len(got[1]["keys"]) == line_dedup.RANGES and len(got[1]["sketch"]) == line_dedup.BOTTOM
+    assert got[2]["n"] == len(got[2]["keys"]) == len(got[2]["sketch"]) == 8 and min(got[2]["sketch"]) >= 0
