@@ -9,9 +9,9 @@ from policypanel.llm.common import connected_components, dealt, discard, stored
 
 #: Characters of a shingle; there is one at every position.
 CHARS = 5
-#: Hashes per band key. Lines with fewer shingles than ``SHORT`` have a key from every run of sorted hashes, others
-#: one from the start of each of 8 equal ranges of hashes.
-ROWS, SHORT, RANGES = 3, 24, 8
+#: Hashes per band key. Lines with fewer shingles than ``SHORT`` have a key from every run of ``FEW`` sorted hashes, others
+#: one of ``ROWS`` from the start of each of 16 equal ranges of hashes; lines that may link with both kinds have both.
+ROWS, FEW, SHORT, RANGES = 5, 3, 24, 16
 #: Words of 64 parity bits by which lines that share a key are told apart without an error.
 WORDS = 16
 THRESHOLD = (80, 100)
@@ -61,16 +61,18 @@ def with_ranges(rows: DataFrame, n: int) -> DataFrame:
 
 
 def band_keys() -> Column:
-    """Band keys of sorted hashes h ``with_ranges``: a hash of ``ROWS`` neighbours, the last ones followed by the first.
+    """Band keys of sorted hashes h ``with_ranges``: a hash of ``ROWS`` neighbours (``FEW`` in short lines), the last ones followed by the first.
 
     The smallest hashes of a range are minima of a one-permutation MinHash, so two sets agree on a key with about
     their similarity to the power ``ROWS``.
     """
-    h = F.col("h")
-    run = lambda i: F.xxhash64(*(F.get(h, (i + k) % F.size(h)) for k in range(ROWS)))
+    h, (num, den) = F.col("h"), THRESHOLD
+    run = lambda i, rows=ROWS: F.xxhash64(*(F.get(h, (i + k) % F.size(h)) for k in range(rows)))
     # an empty range has null: ``array_compact`` and other functions with a lambda would take all below them out of generated code
     starts = F.array(*(F.when(F.col(f"s{r}") < F.col(f"s{r + 1}"), run(F.col(f"s{r}"))) for r in range(RANGES)))
-    return F.when(F.size(h) >= SHORT, starts).otherwise(F.transform(h, lambda x, i: run(i)))
+    few, all_of = F.transform(h, lambda x, i: run(i, FEW)), F.transform(h, lambda x, i: run(i))
+    # from ``SHORT`` on, up to the largest size that links with a shorter line, lines are met by either kind of key
+    return F.when(F.size(h) * num >= SHORT * den, starts).when(F.size(h) >= SHORT, F.concat(all_of, few)).otherwise(few)
 
 
 def parity_bits() -> list[Column]:
@@ -120,17 +122,21 @@ def _likely(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) * BOTTOM >= AGREE * F.least(F.size(a), F.size(b))
 
 
-def wanted_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, line) of the lines at the places in ``wanted`` (node, place). The lines are read again, those that a
-    bitmap of the places lets through, so neither all lines nor any shingles, eight times their size, are stored or shuffled."""
-    slot = lambda place: F.pmod(place, F.lit(BITS))
-    bits = wanted.select(slot(F.col("place")).alias("s")).groupBy(F.shiftright("s", 6).alias("word")).agg(
+def let_through(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``key`` a bitmap of the keys of ``wanted`` lets through: all that have such a key, and few others."""
+    slot = F.pmod(key, F.lit(BITS))
+    bits = wanted.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits")
     )
-    at = lines.withColumn("place", F.xxhash64("doc_key", "line_no"))
-    at = at.withColumn("s", slot(F.col("place"))).withColumn("word", F.shiftright("s", 6))
-    some = at.join(F.broadcast(bits), "word").where(F.expr("shiftrightunsigned(bits, cast(s & 63 as int)) & 1") == 1)
-    return some.select("place", "line").join(wanted, "place").dropDuplicates(["node"]).select("node", "line")
+    at = rows.withColumn("s", slot).withColumn("word", F.shiftright("s", 6))
+    return at.join(F.broadcast(bits), "word").where(F.expr("shiftrightunsigned(bits, cast(s & 63 as int)) & 1") == 1).select(*rows.columns)
+
+
+def wanted_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (node, place, ...) with the lines at its places. The lines are read again, those that a
+    bitmap of the places lets through, so neither all lines nor any shingles, eight times their size, are stored or shuffled."""
+    at = lines.select(F.xxhash64("doc_key", "line_no").alias("place"), "line")
+    return let_through(at, "place", wanted).join(wanted, "place").dropDuplicates(["node"]).drop("place")
 
 
 def line_nodes(docs: DataFrame) -> DataFrame:
@@ -157,12 +163,12 @@ def line_components(docs: DataFrame, nodes: DataFrame, met: DataFrame) -> DataFr
 
     Band keys are met in three rounds: first each key's nodes with the smallest and the largest of them; then its other nodes, if they are
     still in different components, with two of those; then what is left of a key, if still mixed, all pairs across components. So every two nodes of
-    a key are compared or in one component, and pairs inside a component, which cannot change it, are not made. Pairs are
-    told apart by size and sketch before any text is fetched. In the last round, where a group of lines that are alike but not
-    linked would give all its pairs, they are first told apart by the bits of ``_may_link``.
+    a key are compared or in one component, and pairs inside a component, which cannot change it, are not made. The lines with a key that
+    is met are read again once and stored. Pairs are told apart by size and sketch before any text is fetched. In the last round, where a group
+    of lines that are alike but not linked would give all its pairs, they are first told apart by the bits of ``_may_link``.
     """
-    ids = nodes.select(short_id(F.col("node")).alias("node"), "n", "sketch", F.xxhash64("first.doc_key", "first.line_no").alias("place"))
-    links = compared(docs, ids, pairs_with(met, "lo", "hi"))
+    texts = stored(texts_of(docs, nodes, met.select("node").distinct()), "line-texts")
+    links = compared(texts, pairs_with(met, "lo", "hi"))
     comps = stored(connected_components(links), "line-components")
 
     turn = F.struct(F.xxhash64("key", "node").alias("turn"), "node", "n", "component")
@@ -171,23 +177,23 @@ def line_components(docs: DataFrame, nodes: DataFrame, met: DataFrame) -> DataFr
     heads = rest.groupBy("key").agg(F.min(turn).alias("lo"), F.max(turn).alias("hi"))
     first, met = met, stored(rest.join(heads, "key"), "line-met")
     discard(first, links)
-    links = compared(docs, ids, pairs_with(met.where("component <> lo.component OR component <> hi.component"), "lo", "hi"))
+    links = compared(texts, pairs_with(met.where("component <> lo.component OR component <> hi.component"), "lo", "hi"))
     first, comps = comps, stored(connected_components(links.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v")))), "line-components")
     discard(first, links)
 
-    apart = stored(still_mixed(placed(without(met, "lo", "hi"), comps)).join(ids.select("node", "sketch"), "node"), "line-apart")
+    apart = stored(still_mixed(placed(without(met, "lo", "hi"), comps)).join(texts.select("node", "sketch"), "node"), "line-apart")
     discard(met)
     # only nodes that share a key with a likely one need bits, for which their texts are read
     some = stored(apart.alias("a").join(apart.alias("b"), apart_pair(F.col("a.node") != F.col("b.node")), "left_semi"), "line-some")
     discard(apart)
-    texts = stored(texts_of(docs, ids, some.select("node").distinct()), "line-texts")
-    bits = with_ranges(texts.select("node", shingles(F.col("low")).alias("h")), WORDS).select("node", *parity_bits())
+    few = let_through(texts.select("node", "low"), "node", some)
+    bits = with_ranges(few.select("node", shingles(F.col("low")).alias("h")), WORDS).select("node", *parity_bits())
     apart = stored(some.join(bits, "node"), "line-apart")
     discard(some)
     across = apart.alias("a").join(apart.alias("b"), apart_pair(F.col("a.node") < F.col("b.node"), _may_link("a", "b"))).select(
         F.col("a.node").alias("u"), F.col("b.node").alias("v"), (F.col("a.n") + F.col("b.n")).alias("sizes")
-    ).distinct()
-    links = stored(verified(across, texts), "line-links")
+    )
+    links = linked(stored(across.distinct(), "line-pairs"), texts)
     discard(apart, texts)
     return connected_components(links.unionByName(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
@@ -220,21 +226,26 @@ def placed(rows: DataFrame, comps: DataFrame) -> DataFrame:
     return rows.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def compared(docs: DataFrame, ids: DataFrame, pairs: DataFrame) -> DataFrame:
+def compared(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (u, v) that are linked: those of likely sketches, verified on their texts."""
-    of = lambda end: ids.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"sketch_{end}"))
+    of = lambda end: texts.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"sketch_{end}"))
     likely = pairs.join(of("u"), "u").join(of("v"), "v").where(_likely(F.col("sketch_u"), F.col("sketch_v")))
-    likely = stored(likely.select("u", "v", (F.col("n_u") + F.col("n_v")).alias("sizes")), "line-pairs")
-    texts = stored(texts_of(docs, ids, likely.select(F.explode(F.array("u", "v")).alias("node")).distinct()), "line-texts")
-    links = stored(verified(likely, texts), "line-links")
-    discard(likely, texts)
+    return linked(stored(likely.select("u", "v", (F.col("n_u") + F.col("n_v")).alias("sizes")), "line-pairs"), texts)
+
+
+def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The ``verified`` ones of a stored table of pairs (u, v, sizes), which is removed."""
+    few = let_through(texts.select("node", "low"), "node", pairs.select(F.explode(F.array("u", "v")).alias("node")))
+    links = stored(verified(pairs, few), "line-links")
+    discard(pairs)
     return links
 
 
-def texts_of(docs: DataFrame, ids: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, low) of the ``wanted`` nodes."""
-    found = wanted_lines(exploded(docs), ids.select("node", "place").join(wanted, "node", "left_semi"))
-    return found.select("node", F.lower("line").alias("low"))
+def texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, n, sketch, low) of the ``nodes`` whose short ids are ``wanted``."""
+    ids = nodes.select(short_id(F.col("node")).alias("node"), "n", "sketch", F.xxhash64("first.doc_key", "first.line_no").alias("place"))
+    found = wanted_lines(exploded(docs), ids.join(wanted, "node", "left_semi"))
+    return found.select("node", "n", "sketch", F.lower("line").alias("low"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:

@@ -573,3 +573,29 @@ def test_line_hashes_are_cut_in_generated_code(spark):
     got = {r["first"]["doc_id"]: r for r in rows.collect()}
     assert len(got[1]["keys"]) == line_dedup.RANGES and len(got[1]["sketch"]) == line_dedup.BOTTOM
     assert got[2]["n"] == len(got[2]["keys"]) == len(got[2]["sketch"]) == 8 and min(got[2]["sketch"]) >= 0
+
+
+def test_unrelated_lines_meet_in_few_keys_and_are_read_again_once(spark, monkeypatch):
+    """Lines of the same few syllables share many shingles without being near copies; those with a key that is met are fetched once, not in each round."""
+    rng = random.Random(17)
+    parts = "tion the an er in re on at en nd or es ed th of ing ou ea st ha".split()
+    lines = ["".join(rng.choice(parts) + rng.choice(("", " ")) for _ in range(rng.randint(120, 200))) for _ in range(300)]
+    lines += [x[:90] + "#" + x[91:] for x in lines[:5]]
+    df = documents(spark, list(enumerate(lines)))
+    pairs = line_dedup.pairs_with(line_dedup.met_keys(line_dedup.line_nodes(df)), "lo", "hi").count()
+    assert 5 <= pairs < 150, pairs
+    read, again = [], line_dedup.wanted_lines
+    monkeypatch.setattr(line_dedup, "wanted_lines", lambda *a: read.append(1) or again(*a))
+    got = {r["doc_id"]: r["kept"] for r in line_dedup.line_decisions(df).collect()}
+    assert len(read) == 1 and got == {i: i < 300 for i in range(305)}
+
+
+def test_lines_around_the_short_size_meet(spark):
+    """Lines with a band key from every hash meet those of similar size with a key for each range."""
+    base = "abcdefghijklmnopqrstuvwxyz0123456789"
+    sizes = [(x, y) for x in range(line_dedup.SHORT - 4, line_dedup.SHORT + 1) for y in range(line_dedup.SHORT, 31) if x < y and 100 * x >= 80 * y]
+    # the k-th pair shares its shingles with no other pair: its letters are shifted in code points
+    shift = lambda text, k: "".join(chr(0x4E00 + 40 * k + base.index(c)) for c in text)
+    rows = [(2 * k + j, shift(base[: n + 4], k)) for k, pair in enumerate(sizes) for j, n in enumerate(pair)]
+    got = {r["doc_id"]: r["kept"] for r in line_dedup.line_decisions(documents(spark, rows)).collect()}
+    assert got == {i: i % 2 == 0 for i, _ in rows} and len(sizes) > 10
